@@ -1,0 +1,5 @@
+"""No streaming operators: all work here is batch derivation over bounded tables.
+
+Late information is modelled by bitemporal vintages (``operators.asof`` and
+``operators.macro``), which is a batch problem.
+"""
