@@ -6,10 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values.
-MONTHS = [
-    "january", "february", "march", "april", "may", "june",
-    "july", "august", "september", "october", "november", "december",
-]
+MONTHS = " january february march april may june july august september october november december"
 EXCLUDED = r"(?iU)unscheduled|conference\s+call|notation\s+vote|cancell?ed"
 HEADING = r"(?iU)^([a-z]+(?:/[a-z]+)?)\s+(\d{1,2})(?:-(\d{1,2}))?\s+(.+?)\s*-\s*(\d{4})\s*$"
 ENTITIES = [  # the last one undoes the escape the others start with
@@ -45,53 +42,56 @@ def heading_fragments(html: Column, levels: tuple[int, ...] = (4, 5)) -> Column:
 
 def headings(pages: DataFrame, key: str, levels: tuple[int, ...] = (4, 5)) -> DataFrame:
     """(key, position, title): one row per heading."""
-    found = pages.select(key, F.posexplode(heading_fragments(F.col("html"), levels)).alias("position", "fragment"))
-    return found.select(key, "position", strip_tags(F.col("fragment")).alias("title"))
+    # cleaned inside the generator, so later filters test a plain column instead of repeating the cleaning
+    titles = F.transform(heading_fragments(F.col("html"), levels), strip_tags)
+    return pages.select(key, F.posexplode(titles).alias("position", "title"))
 
 
 def month_number(name: Column) -> Column:
     """1-12: the first month whose name starts with the text's first three letters; else NULL."""
-    names = F.array(*[F.lit(m) for m in MONTHS])
     key = F.substring(F.lower(F.trim(name)), 1, 3)
-    return F.nullif(F.array_position(F.transform(names, lambda m: m.startswith(key)), F.lit(True)), F.lit(0)).cast("int")
+    at = F.instr(F.lit(MONTHS), F.concat(F.lit(" "), key))
+    return F.when(at > 0, F.size(F.split(F.substring(F.lit(MONTHS), F.lit(1), at), " ")) - 1)
 
 
-def with_final_day(df: DataFrame, months: Column, first: Column, last: Column, year: Column, out: str) -> DataFrame:
-    """Add the last day of 'Month[/Month] d1[-d2]'; NULL if any part is missing or the day impossible.
+def with_final_day(df: DataFrame, parts: str, out: str) -> DataFrame:
+    """Rows whose ``parts`` = [months, d1, d2, year] text name a possible day, with that day added.
 
-    A second month earlier in the year than the first is in the next year.
+    Months are 'Month' or 'Month/Month'; a second month earlier in the year than
+    the first is in the next year.  The day is made inside a generator, which
+    drops the missing ones: a filter would repeat the whole expression.
     """
-    x = df.withColumns({"_months": F.split(months, "/"), "_d1": first, "_d2": last, "_year": year})
-    x = x.withColumns({
-        "_m1": month_number(F.col("_months")[0]),
-        "_m2": month_number(F.coalesce(F.get("_months", F.lit(1)), F.col("_months")[0])),
-    })
-    crosses = F.col("_d2").isNotNull() & (F.col("_m1") != F.col("_m2"))
-    y = F.when(crosses & (F.col("_m2") < F.col("_m1")), F.col("_year") + 1).otherwise(F.col("_year"))
-    text = F.format_string("%04d-%02d-%02d", y, F.when(crosses, F.col("_m2")).otherwise(F.col("_m1")), F.coalesce("_d2", "_d1"))
-    known = F.col("_m1").isNotNull() & F.col("_m2").isNotNull() & F.col("_d1").isNotNull()
-    return x.withColumn(out, F.when(known, F.try_to_date(text, "yyyy-MM-dd"))).drop(
-        "_months", "_d1", "_d2", "_year", "_m1", "_m2"
+    p = F.col(parts)
+    months = F.split(p[0], "/")
+    x = df.withColumns({"_m1": month_number(months[0]), "_m2": month_number(F.element_at(months, -1))})
+    d1, d2, year = (F.nullif(p[i], F.lit("")).try_cast("int") for i in (1, 2, 3))
+    crosses = d2.isNotNull() & (F.col("_m1") != F.col("_m2"))
+    text = F.format_string(
+        "%04d-%02d-%02d",
+        F.when(crosses & (F.col("_m2") < F.col("_m1")), year + 1).otherwise(year),
+        F.when(crosses, F.col("_m2")).otherwise(F.col("_m1")),
+        F.coalesce(d2, d1),
     )
+    known = F.col("_m1").isNotNull() & F.col("_m2").isNotNull() & d1.isNotNull()
+    day = F.when(known, F.try_to_date(text, "yyyy-MM-dd"))
+    return x.select(*df.columns, F.explode(F.array_compact(F.array(day))).alias(out))
 
 
-def _int(c: Column) -> Column:
-    return F.nullif(c, F.lit("")).try_cast("int")
+def scheduled_heading(title: Column) -> Column:
+    """Condition: a meeting heading of no excluded kind."""
+    return ~title.rlike(EXCLUDED) & title.rlike(r"(?iU)\bmeeting\b") & title.rlike(HEADING)
 
 
-def with_heading_day(df: DataFrame, title: str = "title", out: str = "event_date") -> DataFrame:
-    """Add the final day of a scheduled meeting heading; NULL if excluded or no meeting."""
+def heading_days(titles: DataFrame, title: str = "title") -> DataFrame:
+    """Scheduled meeting headings with their final day; excluded kinds and non-meetings drop out."""
     t = F.regexp_replace(title, r"(?U)^\s+|\s+$", "")
-    fits = ~t.rlike(EXCLUDED) & t.rlike(r"(?iU)\bmeeting\b") & t.rlike(HEADING)
-    x = df.withColumn("_t", F.when(fits, t))
-    part = lambda i: F.regexp_extract("_t", HEADING, i)
-    return with_final_day(x, part(1), _int(part(2)), _int(part(3)), _int(part(5)), out).drop("_t")
+    parts = F.split(F.regexp_replace(t, HEADING, "$1|$2|$3|$5"), r"\|")
+    return with_final_day(titles.where(scheduled_heading(t)).withColumn("_p", parts), "_p", "event_date").drop("_p")
 
 
 def meeting_days(pages: DataFrame, key: str, levels: tuple[int, ...] = (4, 5)) -> DataFrame:
-    """Scheduled meeting days on year pages made of headings."""
-    h = headings(pages, key, levels)
-    return with_heading_day(h).select(key, "event_date").where("event_date IS NOT NULL")
+    """(key, event_date): scheduled meeting days on year pages made of headings."""
+    return heading_days(headings(pages, key, levels)).select(key, "event_date")
 
 
 # ------------------------------------------------------------ panel pages
@@ -114,11 +114,10 @@ def panel_meeting_days(pages: DataFrame, key: str, years: Column | None = None)
         blocks = blocks.where(years)
     rows = blocks.select(key, "year", F.explode(F.split("block", f"(?={ROW_MARK})")).alias("row"))
     rows = rows.where(F.col("row").rlike("^" + ROW_MARK))
-    month = F.nullif(F.regexp_extract("row", PANEL_MONTH, 1), F.lit(""))
-    rows = rows.select(
-        key, "year", month.alias("months"),
+    found = rows.select(
+        key, "year", F.regexp_extract("row", PANEL_MONTH, 1).alias("months"),
         F.regexp_replace(F.regexp_extract("row", PANEL_DATES, 1), r"[^\d\-]", "").alias("dates"),
-    ).where("months IS NOT NULL")
-    part = lambda i: _int(F.regexp_extract("dates", r"^(\d+)(?:-(\d+))?$", i))
-    dated = with_final_day(rows, F.col("months"), part(1), part(2), F.col("year"), "event_date")
-    return dated.select(key, "year", "event_date").where("event_date IS NOT NULL")
+    ).where(F.col("months") != "")
+    day = r"^(\d+)(?:-(\d+))?$"
+    parts = F.array("months", F.regexp_extract("dates", day, 1), F.regexp_extract("dates", day, 2), F.col("year").cast("string"))
+    return with_final_day(found.withColumn("_p", parts), "_p", "event_date").select(key, "year", "event_date")
