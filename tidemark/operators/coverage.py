@@ -122,10 +122,11 @@ def duplicates(df: DataFrame, pk: list[str]) -> DataFrame:
 
 
 def checksum(df: DataFrame, name: str) -> DataFrame:
-    """(table, rows, close, adj_close): a cheap before/after comparison."""
-    return df.agg(
-        F.count("*").alias("rows"), F.sum("close").alias("close"), F.sum("adj_close").alias("adj_close")
-    ).select(F.lit(name).alias("table"), "rows", "close", "adj_close")
+    """(table, rows, close, adj_close): a cheap before/after comparison; sums are exact, so order cannot change them."""
+    exact = lambda c: F.sum(F.col(c).cast("decimal(28,8)")).alias(c)
+    return df.agg(F.count("*").alias("rows"), exact("close"), exact("adj_close")).select(
+        F.lit(name).alias("table"), "rows", "close", "adj_close"
+    )
 
 
 def diagnostics(tables: dict[str, DataFrame]) -> DataFrame:

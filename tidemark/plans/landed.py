@@ -83,7 +83,7 @@ def artifact_documents(spark: SparkSession, sf: str) -> DataFrame:
         status.alias("status"), F.when(i % 3 == 0, "boom").alias("error"), F.when(i % 4 == 1, "derive").alias("failure_stage"),
         F.when(F.col("event_type") == "error", "FAIL").otherwise("PASS").alias("validation_result"),
         (i % 3 != 0).alias("snapshot_capture"), (i % 4 != 0).alias("exact_rebuild_capable"),
-        F.expr("transform(sequence(1, cast(event_id % 4 as int), 1), x -> named_struct('snapshot_id', concat('s', x)))").alias("snapshots"),
+        F.expr("transform(slice(sequence(1, 3), 1, cast(event_id % 4 as int)), x -> named_struct('snapshot_id', concat('s', x)))").alias("snapshots"),
         F.array(F.lit("t")).alias("table_fingerprints"),
         F.lit('a "api_key": in a value').alias("note"),
         F.when(i % 7 == 0, "k").alias("api_key"),
