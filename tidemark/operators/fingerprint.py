@@ -26,20 +26,23 @@ def table_digest(df: DataFrame, table: str, pk: list[str], limit: int = EXACT_RO
     )
 
 
+LANES = ((1, 18), (19, 18), (37, 18), (55, 10))  # start and length of hex digits
+
+
 def block_digest(df: DataFrame, table: str) -> DataFrame:
     """(table, row_count, sha256): a digest of the set of rows for tables of any size.
 
-    Each row's SHA-256 is cut into four 60-bit lanes whose exact sums do not
-    depend on order, so partial sums are made where the rows are and no row is
-    moved.  Equal tables give equal digests; a changed, lost or added row changes the sums.
+    Each row's SHA-256 is read as four numbers (hex digits a-f taken as 0-5) that
+    are combined by exclusive or, so partial results are made where the rows are,
+    no row is moved and no order matters.  Rows are unique by key, and the row
+    count is part of the digest; a changed, lost or added row changes it.
     """
-    h = df.select(F.sha2(canonical_line(df), 256).alias("h"))
-    lanes = [
-        F.sum(F.conv(F.substring("h", 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)")).alias(f"l{i}") for i in range(4)
-    ]
-    sums = h.agg(F.count("*").alias("row_count"), *lanes)
-    text = F.concat_ws(":", F.col("row_count").cast("string"), *[F.coalesce(F.col(f"l{i}").cast("string"), F.lit("0")) for i in range(4)])
-    return sums.select(F.lit(table).alias("table"), "row_count", F.concat(F.lit("sha256:"), F.sha2(text, 256)).alias("sha256"))
+    digits = F.translate(F.sha2(canonical_line(df), 256), "abcdef", "012345")
+    lanes = [F.bit_xor(F.substring("d", a, n).cast("bigint")).alias(f"l{a}") for a, n in LANES]
+    folded = df.select(digits.alias("d")).agg(F.count("*").alias("row_count"), *lanes)
+    parts = [F.coalesce(F.col(f"l{a}"), F.lit(0)).cast("string") for a, _ in LANES]
+    text = F.concat_ws(":", F.col("row_count").cast("string"), *parts)
+    return folded.select(F.lit(table).alias("table"), "row_count", F.concat(F.lit("sha256:"), F.sha2(text, 256)).alias("sha256"))
 
 
 def database_digest(fingerprints: DataFrame, order: list[str]) -> DataFrame:

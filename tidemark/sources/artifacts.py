@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,14 @@ from pyspark.sql import functions as F
 SECRET_KEY = r"(?i)api[_-]?key|password|secret|authorization|postgresql\+psycopg://[^@]+@"
 SECRET_METADATA_KEY = r"(?i)api[_-]?key|^token$|authorization|password|secret|credential|database[_-]?url"
 SECRET_VALUE = r"(?i)postgresql\+psycopg://[^@]+@|Token\s+[A-Za-z0-9]+"
+# every text a pattern matches holds one of its words in lower case
+PLAIN_WORDS = {
+    SECRET_KEY: ["apikey", "api_key", "api-key", "password", "secret", "authorization", "psycopg"],
+    SECRET_METADATA_KEY: [
+        "apikey", "api_key", "api-key", "token", "authorization", "password", "secret", "credential",
+        "databaseurl", "database_url", "database-url",
+    ],
+}
 SUCCESS_STATUSES = ["SUCCESS_NO_CHANGE", "SUCCESS_UPDATED"]
 
 MANIFEST = (
@@ -29,40 +39,55 @@ def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
 
 def json_keys(text: Column) -> Column:
     """Every object key at any depth, in text order: string tokens that a colon follows."""
-    tokens = F.regexp_extract_all(text, F.lit(r'"((?:[^"\\]|\\.)*)"\s*(:?)'), F.lit(0))
+    tokens = F.regexp_extract_all(text, F.lit(r'"[^"\\]*+(?:\\.[^"\\]*+)*+"\s*+:?'), F.lit(0))
     keys = F.filter(tokens, lambda t: t.endswith(":"))
     return F.transform(keys, lambda t: F.regexp_replace(t, r'^"|"\s*:$', ""))
 
 
 def secret_keys(text: Column, pattern: str = SECRET_KEY) -> Column:
-    """Keys, at any depth, that look like secrets."""
-    return F.filter(json_keys(text), lambda k: k.rlike(pattern))
-
-
-def artifact_error(text: Column) -> Column:
-    """Why a document is not usable: malformed, no object, or secret-like keys; else NULL."""
-    parsed = F.try_parse_json(text)
-    hits = secret_keys(text)
-    return (
-        F.when(parsed.isNull(), "malformed JSON")
-        .when(~F.schema_of_variant(parsed).startswith("OBJECT"), "root is not an object")
-        .when(F.size(hits) > 0, F.concat(F.lit("secret-like keys: "), F.array_join(hits, ",")))
+    """Keys, at any depth, that look like secrets.
+
+    Text without any of the words has none, so only suspicious text is cut into tokens.
+    """
+    low = F.lower(text)
+    suspicious = reduce(lambda a, b: a | b, [low.contains(w) for w in PLAIN_WORDS[pattern]])
+    none = F.array().cast("array<string>")
+    return F.when(suspicious, F.filter(json_keys(text), lambda k: k.rlike(pattern))).when(text.isNotNull(), none)
+
+
+def with_error(docs: DataFrame) -> DataFrame:
+    """Add why a document is not usable: malformed, no object, or secret-like keys; else NULL.
+
+    Made inside a generator, so that what tests or shows the error reads a column
+    and the document is parsed and searched once.
+    """
+    kind = F.coalesce(F.schema_of_variant(F.try_parse_json("text")), F.lit(""))
+    root = F.when(F.json_object_keys("text").isNotNull(), "OBJECT").otherwise(kind)  # the cheap test first
+    x = docs.select("*", F.inline(F.array(F.struct(
+        root.alias("_root"), secret_keys(F.col("text")).alias("_hits")
+    ))))
+    error = (
+        F.when(F.col("_root") == "", "malformed JSON")
+        .when(~F.col("_root").startswith("OBJECT"), "root is not an object")
+        .when(F.size("_hits") > 0, F.concat(F.lit("secret-like keys: "), F.array_join("_hits", ",")))
     )
+    return x.withColumn("error", error).drop("_root", "_hits")
 
 
 def scan(docs: DataFrame, kind: str) -> DataFrame:
     """(path, kind, artifact_id, started_at, error, text): unusable documents stay, with their error."""
     prefix, ident = {"manifest": ("manifest_", "build_id"), "run_report": ("run_", "run_id")}[kind]
     stem = F.regexp_replace(F.regexp_extract("path", r"([^/]*?)(?:\.json)?$", 1), "^" + prefix, "")
-    x = docs.where(F.col("path").rlike(rf"(^|/){prefix}[^/]*\.json$")).withColumn("error", artifact_error(F.col("text")))
-    usable = F.when(F.col("error").isNull(), F.col("text"))
-    started = F.get_json_object(usable, "$.started_at")
+    x = with_error(docs.where(F.col("path").rlike(rf"(^|/){prefix}[^/]*\.json$")))
+    head = F.from_json("text", f"struct<{ident}:string,build_started_at:string,started_at:string>")
+    x = x.withColumn("_h", F.when(F.col("error").isNull(), head))
+    blank = lambda c: F.nullif(c, F.lit(""))
+    started = blank(F.col("_h.started_at"))
     if kind == "manifest":
-        started = F.coalesce(F.nullif(F.get_json_object(usable, "$.build_started_at"), F.lit("")), started)
+        started = F.coalesce(blank(F.col("_h.build_started_at")), started)
     return x.select(
-        "path", F.lit(kind).alias("kind"),
-        F.coalesce(F.get_json_object(usable, "$." + ident), stem).alias("artifact_id"),
-        F.nullif(started, F.lit("")).alias("started_at"), "error", usable.alias("text"),
+        "path", F.lit(kind).alias("kind"), F.coalesce(F.col("_h")[ident], stem).alias("artifact_id"),
+        started.alias("started_at"), "error", F.when(F.col("error").isNull(), F.col("text")).alias("text"),
     )
 
 
