@@ -127,7 +127,8 @@ def sessions_between(df: DataFrame, spine: DataFrame, after: str, through: str,
         .join(a, F.col("_ka") == F.col("_da"), "left")
         .join(b, F.col("_kb") == F.col("_db"), "left")
     )
-    return x.select(*df.columns, F.greatest(F.col("_ib") - F.col("_ia"), F.lit(0)).alias(out))
+    n = F.col("_ib") - F.col("_ia")
+    return x.select(*df.columns, F.when(n >= 0, n).when(n < 0, 0).alias(out))
 
 
 # ------------------------------------------------------- bitemporal state

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans import recipes as r
+from tidemark.plans.store import stored
 from tidemark.sources.observations import concat_pages
 
 PAGE_ROWS = 100
@@ -67,7 +68,7 @@ def vintage_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return concat_pages(vintage_pages(spark, sf), "series")
 
 
-def artifact_documents(spark: SparkSession, sf: str) -> DataFrame:
+def build_artifact_documents(spark: SparkSession, sf: str) -> DataFrame:
     """(path, text): a manifest or run report per event; some malformed, no object, or with secret-like keys."""
     e = r.table(spark, sf, "events")
     i = F.col("event_id")
@@ -97,6 +98,11 @@ def artifact_documents(spark: SparkSession, sf: str) -> DataFrame:
     return x.select(F.concat(F.lit("reports/"), kind, i, F.lit(".json")).alias("path"), text.alias("text"))
 
 
+def artifact_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The artifact documents as landed (written once, then read)."""
+    return stored(spark, sf, "artifact_documents", build_artifact_documents)
+
+
 def identities(spark: SparkSession, sf: str) -> DataFrame:
     """(event_id, identity, ordinal, snapshot_id): request identities of landed payloads, keys in varying order."""
     e = r.table(spark, sf, "events")
