@@ -59,7 +59,7 @@ def test_running_folds(series, data, fold):
 def test_expanding_rank_with_many_ties(spark, data):
     known = data[0].where("v IS NOT NULL")
     s = longseries.numbered(known, ["k"], "t", block_rows=100)
-    out = longseries.expanding_rank(longseries.Series(s.rows.withColumnRenamed("k", "key"), ["key"], s.block), "v").collect()
+    out = longseries.expanding_rank(longseries.Series(s.rows.withColumnRenamed("k", "key"), ["key"], s.block, s.parts), "v").collect()
     got = {(r.key, r.i): (r.k, r.n) for r in out}
     for k, rows in data[1].items():
         v = [x for _, x in rows if x is not None]

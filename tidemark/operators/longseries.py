@@ -26,20 +26,23 @@ BLOCK_ROWS = 1_000_000
 
 @dataclass(frozen=True)
 class Series:
-    """Rows numbered from 0 within each key (column ``i``), and the block length in rows."""
+    """Written rows numbered from 0 within each key (column ``i``), the block length, and how many blocks that makes."""
 
     rows: DataFrame
     keys: list[str]
     block: int
+    parts: int
 
 
 def _ranged(df: DataFrame, by: list[str], parts: int, name: str, part: str) -> DataFrame:
     """The rows with the number of their range partition, written so that the numbering is fixed."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    out = df.repartitionByRange(parts, *by).withColumn(part, F.spark_partition_id())
-    out.write.parquet(path)
-    return spark.read.schema(out.schema).parquet(path)
+    return _written(df.repartitionByRange(parts, *by).withColumn(part, F.spark_partition_id()), name)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def numbered(df: DataFrame, keys: list[str], order: str, block_rows: int = BLOCK_ROWS) -> Series:
@@ -59,7 +62,7 @@ def numbered(df: DataFrame, keys: list[str], order: str, block_rows: int = BLOCK
     # the offsets are one row per (key, partition); rows and offsets share their partitioning
     rows = x.withColumn("_here", here).join(offsets, [*keys, "_part"])
     rows = rows.select(*df.columns, (F.col("_offset") + F.col("_here") - 1).alias("i"))
-    return Series(rows, keys, max(1, -(-n // parts)))
+    return Series(_written(rows, "numbered"), keys, max(1, -(-n // parts)), parts)
 
 
 def with_windows(s: Series, back: int, ahead: int, columns: Callable[[Window], dict[str, Column]]) -> DataFrame:
@@ -113,10 +116,7 @@ def expanding_rank(s: Series, value: str) -> DataFrame:
     """
     keys = s.keys
     rows = s.rows.select(*keys, "i", F.col(value).alias("_v")).where("_v IS NOT NULL")
-    parts = max(1, int(s.rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    n = rows.count()
-    parts = max(parts, -(-n // max(s.block, 1)))
-    x = _ranged(rows, [*keys, "_v", "i"], parts, "ranked", "_vb").withColumn("_ib", F.expr(f"i div {s.block}"))
+    x = _ranged(rows, [*keys, "_v", "i"], s.parts, "ranked", "_vb").withColumn("_ib", F.expr(f"i div {s.block}"))
 
     cells = x.groupBy(*keys, "_ib", "_vb").agg(F.count("*").alias("_c"))
     edges = cells.groupBy(*keys).agg(F.max("_ib").alias("ib"), F.min("_vb").alias("v0"), F.max("_vb").alias("v1"))

@@ -19,28 +19,28 @@ def ticks(spark, sf):
     return longseries.numbered(e, ["event_type"], "event_id")
 
 
-@query("w1_returns_on_ticks", f"SELECT event_type, event_id, row_number() OVER w - 1 AS i, value / lag(value) OVER w - 1 AS return_1 {S}", "return_1")
+@query("w1_returns_on_ticks", f"SELECT event_type, event_id, row_number() OVER w - 1 AS i, value / nullif(lag(value) OVER w, 0) - 1 AS return_1 {S}", "return_1")
 def _(spark, sf):
     x = longseries.with_windows(ticks(spark, sf), 1, 0, lambda w: {"return_1": change(F.col("p"), F.lag("p").over(w))})
     return x.select("event_type", "event_id", F.col("i").cast("bigint").alias("i"), "return_1")
 
 
-@query("w4_drawdown_on_ticks", "SELECT event_type, event_id, value / max(value) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) - 1 AS drawdown FROM events", "drawdown")
+@query("w4_drawdown_on_ticks", "SELECT event_type, event_id, value / nullif(max(value) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING), 0) - 1 AS drawdown FROM events", "drawdown")
 def _(spark, sf):
     x = longseries.running(ticks(spark, sf), "p", "max", "high")
     return x.select("event_type", "event_id", change(F.col("p"), F.col("high")).alias("drawdown"))
 
 
-@query("w5_forward_returns_on_ticks", f"""SELECT event_type, event_id, lead(value, 5) OVER w / value - 1 AS return_5,
-  lead(value, 20) OVER w / value - 1 AS return_20 {S}""", "return_5 return_20")
+@query("w5_forward_returns_on_ticks", f"""SELECT event_type, event_id, lead(value, 5) OVER w / nullif(value, 0) - 1 AS return_5,
+  lead(value, 20) OVER w / nullif(value, 0) - 1 AS return_20 {S}""", "return_5 return_20")
 def _(spark, sf):
     ahead = lambda w, n: change(F.lead("p", n).over(w), F.col("p"))
     x = longseries.with_windows(ticks(spark, sf), 0, 20, lambda w: {"return_5": ahead(w, 5), "return_20": ahead(w, 20)})
     return x.select("event_type", "event_id", "return_5", "return_20")
 
 
-@query("w6_forward_extremes_on_ticks", """SELECT event_type, event_id, CASE WHEN count(value) OVER f = 20 THEN max(value) OVER f / value - 1 END AS max_up,
-  CASE WHEN count(value) OVER f = 20 THEN min(value) OVER f / value - 1 END AS max_down FROM events
+@query("w6_forward_extremes_on_ticks", """SELECT event_type, event_id, CASE WHEN count(value) OVER f = 20 THEN max(value) OVER f / nullif(value, 0) - 1 END AS max_up,
+  CASE WHEN count(value) OVER f = 20 THEN min(value) OVER f / nullif(value, 0) - 1 END AS max_down FROM events
 WINDOW f AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND 20 FOLLOWING)""", "max_up max_down")
 def _(spark, sf):
     def cols(w):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -25,24 +25,29 @@ def read_bar_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
 
 
-def document_errors(docs: DataFrame, key: list[str]) -> DataFrame:
-    """(key, error) of payloads that are no array, empty, or whose first row lacks a required field."""
-    p = F.col("payload")
-    first = F.get_json_object(p, "$[0]")
-    lacking = F.array_except(F.array(*[F.lit(f) for f in REQUIRED_FIELDS]), F.coalesce(F.json_object_keys(first), F.array().cast("array<string>")))
-    is_array = F.coalesce(F.schema_of_variant(F.try_parse_json(p)).startswith("ARRAY"), F.lit(False))
-    error = (
-        F.when(~is_array, "not an array")
-        .when(F.json_array_length(p) == 0, "empty")
+def document_error(payload: Column) -> Column:
+    """Why a payload is refused: no array, empty, or a first row without a required field; else NULL."""
+    held = F.coalesce(F.json_object_keys(F.get_json_object(payload, "$[0]")), F.array().cast("array<string>"))
+    lacking = F.array_except(F.array(*[F.lit(f) for f in REQUIRED_FIELDS]), held)
+    n = F.json_array_length(payload)  # NULL for anything but an array
+    return (
+        F.when(n.isNull(), "not an array")
+        .when(n == 0, "empty")
         .when(F.size(lacking) > 0, F.concat(F.lit("missing fields: "), F.array_join(F.array_sort(lacking), ",")))
     )
-    return docs.select(*key, error.alias("error")).where("error IS NOT NULL")
+
+
+def document_errors(docs: DataFrame, key: list[str]) -> DataFrame:
+    """(key, error) of the refused payloads."""
+    return docs.select(*key, document_error(F.col("payload")).alias("error")).where("error IS NOT NULL")
 
 
 def bar_rows(docs: DataFrame, key: list[str]) -> DataFrame:
-    """One row per bar of the sound payloads, provider names, values still text; other fields ignored."""
-    bad = document_errors(docs, key).select(*key)
-    good = docs.join(bad, key, "left_anti")
+    """One row per bar of the sound payloads, provider names, values still text; other fields ignored.
+
+    Refused payloads are filtered where they are read, so no payload is shuffled.
+    """
+    good = docs.where(document_error(F.col("payload")).isNull())
     return good.select(*key, F.inline(F.from_json("payload", BAR_ARRAY)))
 
 
