@@ -1,11 +1,12 @@
 """Counting earlier rows with a value not above the current one.
 
 Spark's rank functions refuse running frames, and a self-join is quadratic.
-Number a group's rows 0..n-1 in order; any earlier row j and later row i first
-differ, from the top, at one bit, where j has 0 and i has 1.  So for each bit
-level, rows sharing the higher bits form a group in which a window ordered by
-value counts the rows with that bit 0, and rows with the bit 1 add that count.
-Every pair is counted once: n log n rows, one shuffle for all levels.
+Number a group's rows 0..n-1 in order and write the numbers in base 16.  An
+earlier row j and a later row i first differ, from the top, at one digit, where
+j's is the smaller.  So for each digit position, rows sharing the higher digits
+form a group in which one window ordered by value keeps a running count per
+digit, and each row adds the counts of the smaller digits.  Every pair is counted
+once: n log16 n rows, one shuffle for all positions.
 """
 
 from __future__ import annotations
@@ -13,24 +14,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BITS = 4
+
 
 def earlier_not_above(
     df: DataFrame, keys: list[str], order: list[str], value: str, weight: Column | None = None, out: str = "k"
 ) -> DataFrame:
     """Add ``out``: total weight (1 by default) of rows strictly before each row, in
     ``order`` within ``keys``, whose ``value`` is <= the row's.  (keys, order) is unique."""
-    w = Window.partitionBy(*keys) if keys else Window
-    n = df.withColumn("_w", weight if weight is not None else F.lit(1))
-    n = n.withColumn("_i", F.row_number().over(w.orderBy(*order)) - 1)
-    n = n.withColumn("_n", F.count("*").over(w.partitionBy(*keys) if keys else w.partitionBy()))
-    top = F.ceil(F.log2(F.greatest(F.col("_n"), F.lit(2)))).cast("int") - 1
-    levels = n.select(*keys, "_i", "_w", F.col(value).alias("_v"), F.explode(F.sequence(F.lit(0), top)).alias("_l"))
-    group = F.expr("shiftright(_i, _l + 1)")
-    one = F.expr("shiftright(_i, _l) & 1") == 1
-    below = Window.partitionBy(*keys, "_l", group).orderBy("_v").rangeBetween(Window.unboundedPreceding, 0)
-    part = levels.select(*keys, "_i", F.when(one, F.sum(F.when(~one, F.col("_w"))).over(below)).alias("_c"))
-    counted = part.groupBy(*keys, "_i").agg(F.coalesce(F.sum("_c"), F.lit(0)).alias(out))
-    return n.join(counted, [*keys, "_i"]).drop("_i", "_n", "_w")
+    w = Window.partitionBy(*keys)
+    n = df.withColumn("_w", (weight if weight is not None else F.lit(1)).cast("bigint"))
+    n = n.withColumn("_i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_n", F.count("*").over(w))
+    top = F.ceil(F.log2(F.greatest(F.col("_n"), F.lit(2))) / BITS).cast("int") - 1
+    at = n.select(*keys, "_i", "_w", F.col(value).alias("_v"), F.explode(F.sequence(F.lit(0), top)).alias("_l"))
+    at = at.withColumn("_g", F.expr(f"shiftright(_i, {BITS} * (_l + 1))"))
+    at = at.withColumn("_d", F.expr(f"shiftright(_i, {BITS} * _l) & {2**BITS - 1}"))
+    below = Window.partitionBy(*keys, "_l", "_g").orderBy("_v").rangeBetween(Window.unboundedPreceding, 0)
+    counts = [F.sum(F.when(F.col("_d") < d, F.col("_w"))).over(below).alias(f"_c{d}") for d in range(1, 2**BITS)]
+    part = at.select(*keys, "_i", "_d", *counts).where("_d > 0")
+    mine = F.array(*[F.col(f"_c{d}") for d in range(1, 2**BITS)])[F.col("_d") - 1]
+    counted = part.groupBy(*keys, "_i").agg(F.sum(mine).alias("_k"))
+    joined = n.join(counted, [*keys, "_i"], "left")
+    return joined.select(*df.columns, F.coalesce("_k", F.lit(0)).alias(out))
 
 
 def tercile(k: Column, n: Column, least: int) -> Column:
