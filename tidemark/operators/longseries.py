@@ -22,6 +22,7 @@ from tidemark.operators.rank import earlier_not_above
 from tidemark.session import scratch_path
 
 BLOCK_ROWS = 1_000_000
+SMALL_ROWS = 1_000
 
 
 @dataclass(frozen=True)
@@ -48,12 +49,12 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 def numbered(df: DataFrame, keys: list[str], order: str, block_rows: int = BLOCK_ROWS) -> Series:
     """Number each key's rows in order, in groups no larger than a range partition.
 
-    At least as many partitions as the session shuffles into; more once blocks
-    would exceed ``block_rows``.
+    As many partitions as the session shuffles into, fewer on small data, more
+    once blocks would exceed ``block_rows``.
     """
-    spark = df.sparkSession
     n = df.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // block_rows))
+    usual = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // SMALL_ROWS))
+    parts = max(1, usual, -(-n // block_rows))
     x = _ranged(df, [*keys, order], parts, "ranged", "_part")
     sizes = x.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
