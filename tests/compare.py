@@ -45,7 +45,7 @@ def rows(arrow) -> list[tuple]:
 
 def differences(spark_df, con, statement: str) -> list[str]:
     a = spark_df.toArrow()
-    b = con.execute(statement).to_arrow_table()
+    b = con.sql(statement).to_arrow_table()
     if sorted(a.schema.names) != sorted(b.schema.names):
         return [f"columns {sorted(a.schema.names)} against {sorted(b.schema.names)}"]
     x, y = rows(a), rows(b)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators.asof import on_spine, session_index, sessions_between
+from tidemark.operators.asof import session_index, sessions_between
 
 
 def table_coverage(tables: dict[str, DataFrame]) -> DataFrame:
