@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, sentence_pieces, sharding, token_files
+from tidemark.llm import decontamination, language_id, sentence_pieces, sharding, token_files, toxicity
 from tidemark.llm.common import documents
 
 
@@ -24,12 +24,20 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digests(sharding.deal(documents(spark, sf_dir).select("doc_id", "text")))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.digests(documents(spark, sf_dir).select("doc_id", "text", "lang"))
+
+
 def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digests(sentence_pieces.encode(documents(spark, sf_dir).select("doc_id", "text"), sentence_pieces.model_path()))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digests(documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_token_files, op3_sharding, op5_sentence_pieces)
+    f.__name__: f for f in (op1_decontamination, op2_token_files, op3_sharding, op4_language_id, op5_sentence_pieces, op8_toxicity)
 }
 
 ORACLES: dict[str, str] = {}
