@@ -34,7 +34,7 @@ def tokenizer_path() -> str:
 
 
 #: Letters below U+0250 with some marks after them: one or two words to the tokenizer, whatever stands around them.
-PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?%$&*#]*)")
+PLAIN = re.compile(r"([^\W\d_]*)([.,;:!?%$&*#]*)")
 
 
 class Encoder:
@@ -47,9 +47,14 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same merges over lower-case words between blanks: what the normaliser and the splitting do to plain words
+        # has been done already.
+        self.merges = Tokenizer.from_file(path)
+        self.merges.normalizer = None
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)], bool)
@@ -60,17 +65,18 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _learn_words(self, words: list[str]) -> None:
-        if not words:
-            return
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) == len(words) and ends[-1] == len(ids):
-            raw, a = ids.tobytes(), 0
-            for w, b in zip(words, (4 * ends).tolist(), strict=True):
-                self.words[w] = raw[a:b]
-                a = b
-        else:
-            self.words.update(zip(words, self._library(words), strict=True))
+        for k in range(0, len(words), 500):
+            some = words[k : k + 500]
+            low = [w.lower() for w in some]
+            ids = np.array(self.merges.encode_batch_fast([" ".join(low)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids) and all(map(PLAIN.fullmatch, low)):
+                raw, a = ids.tobytes(), 0
+                for w, b in zip(some, (4 * ends).tolist(), strict=True):
+                    self.words[w] = raw[a:b]
+                    a = b
+            else:
+                self.words.update(zip(some, self._library(some), strict=True))
 
     def _learn(self, new: set[bytes]) -> None:
         if len(self.pieces) + len(new) > KEPT:
@@ -80,27 +86,25 @@ class Encoder:
         plain, rest = [], []
         for raw in new:
             text = raw.decode()
-            m = PLAIN.fullmatch(text) if raw.isascii() or max(text) < "ɐ" else None
+            m = PLAIN.fullmatch(text) if raw.isascii() or max(text) < "ɐ" and "İ" not in text else None  # İ becomes a letter and a mark
             if m:
                 plain.append((raw, *m.groups()))
             else:
                 rest.append((raw, text))
         self._learn_words([w for w in dict.fromkeys(x for _, a, b in plain for x in (a, b) if x) if w not in self.words])
         for raw, a, b in plain:
-            self.pieces[raw] = self.words[a] + self.words[b] if b else self.words[a]
+            self.pieces[raw] = (self.words[a] if a else b"") + (self.words[b] if b else b"")
         self.pieces.update(zip([raw for raw, _ in rest], self._library([t for _, t in rest]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        known = self.pieces
-        new = {p for pieces in split for p in pieces if p not in known}
+        got = [list(map(self.pieces.get, pieces)) for pieces in split]
+        new = {p for pieces, g in zip(split, got, strict=True) if None in g for p, x in zip(pieces, g, strict=True) if x is None}
         if new:
-            if len(known) + len(new) > KEPT:
-                known.clear()
-                new = {p for pieces in split for p in pieces}
             self._learn(new)
-        get = known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in split]
+            get = self.pieces.get
+            got = [[x if x is not None else get(p) for p, x in zip(pieces, g, strict=True)] if None in g else g for pieces, g in zip(split, got, strict=True)]
+        return [b"".join(g) for g in got]
 
 
 _ENCODERS: dict[str, Encoder] = {}
