@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, language_id, order_minhash, sentence_pieces, sharding, token_files, toxicity
+from tidemark.llm import decontamination, language_id, order_minhash, repeats, sentence_pieces, sharding, token_files, toxicity
 from tidemark.llm.common import documents
 
 
@@ -36,12 +36,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digests(documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.digests(documents(spark, sf_dir).select("doc_id", "text"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_token_files, op3_sharding, op4_language_id, op5_sentence_pieces, op8_toxicity, op10_order_minhash)
+    f.__name__: f for f in (op1_decontamination, op2_token_files, op3_sharding, op4_language_id, op5_sentence_pieces, op8_toxicity, op9_repeats, op10_order_minhash)
 }
 
 ORACLES: dict[str, str] = {}
