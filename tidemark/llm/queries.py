@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontamination, language_id, order_minhash, product_quantisation, repeats, sentence_pieces, sharding, token_files, toxicity
+from tidemark.llm import context_tree, decontamination, language_id, order_minhash, product_quantisation, repeats, sentence_pieces, sharding, token_files, toxicity
 from tidemark.llm.common import documents, ship
 
 
@@ -32,6 +32,10 @@ def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digests(sentence_pieces.encode(documents(spark, sf_dir).select("doc_id", "text"), sentence_pieces.model_path()))
 
 
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.digests(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op7_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return product_quantisation.near_copies(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -50,7 +54,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_token_files, op3_sharding, op4_language_id, op5_sentence_pieces, op7_product_quantisation, op8_toxicity, op9_repeats, op10_order_minhash)
+    f.__name__: f for f in (op1_decontamination, op2_token_files, op3_sharding, op4_language_id, op5_sentence_pieces, op6_context_tree, op7_product_quantisation, op8_toxicity, op9_repeats, op10_order_minhash)
 }
 
 ORACLES: dict[str, str] = {}
