@@ -163,20 +163,29 @@ def _verify(batches):
             yield pa.RecordBatch.from_arrays([part.column("node"), part.column("centre"), pa.array(score, pa.float64())], ["node", "centre", "similarity"])
 
 
-def links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
-    """(a, b) of verified links that join all near copies; a and b are nodes (digests of texts)."""
+def labels(docs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(node, label) of every text (by its digest) with a verified link: the least node of its component.
+
+    Rounds: every bucket aligns its members with its least one; members that are not in the same component by then stay,
+    and their least one is next. Pairs of one component are never aligned. The rounds end when none finds a link.
+    """
     narrow = docs.select(F.col("text").cast("string").alias("text"))
     member = C.stored(
         sketched.filter("node is not null").select("node", "sketches").dropDuplicates(["node"]).select("node", F.explode(F.array_distinct("sketches")).alias("bucket")), "buckets"
     )
-    texts, found, tried = None, None, None
+    texts = found = tried = None
+    near = member.sparkSession.createDataFrame([], "node binary, label binary")
     while True:
         centres = member.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1").select("bucket", "centre")
-        held = C.stored(member.join(centres, "bucket").filter("node <> centre"), "held")
+        held = member.join(centres, "bucket").filter("node <> centre")
         pairs = held.select("node", "centre").distinct()
         if tried is not None:
-            pairs = pairs.join(tried, ["node", "centre"], "left_anti")
+            held = C.stored(held, "held")
+            pairs = held.select("node", "centre").distinct().join(tried, ["node", "centre"], "left_anti")
+            pairs = _apart(pairs, near).select("node", "centre")
         pairs = C.stored(pairs, "pairs")
+        if pairs.isEmpty():
+            return near
         if texts is None:
             wanted = pairs.select("node").union(pairs.select("centre")).distinct()
             # Documents that are in no bucket with another never move; later rounds stay within these texts.
@@ -184,14 +193,18 @@ def links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
         both = pairs.join(texts, "node").join(texts.select(F.col("node").alias("centre"), F.col("text").alias("centre_text")), "centre")
         scored = C.stored(both.select("node", "centre", "text", "centre_text").mapInArrow(_verify, "node binary, centre binary, similarity double"), "scored")
         new = scored.filter(F.col("similarity") >= SIMILAR).select(F.col("centre").alias("a"), F.col("node").alias("b"))
-        found = new if found is None else found.union(new)
         if new.isEmpty():
-            return found
+            return near
+        found = new if found is None else found.union(new)
         tried = scored.select("node", "centre") if tried is None else tried.union(scored.select("node", "centre"))
-        # Members linked to their centre by any bucket are done; the others elect their next centre.
         near = components(found)
-        same = held.join(near.select("node", "label"), "node", "left").join(near.select(F.col("node").alias("centre"), F.col("label").alias("centre_label")), "centre", "left")
-        member = C.stored(same.filter(~F.coalesce(F.col("label") == F.col("centre_label"), F.lit(False))).select("node", "bucket"), "buckets")
+        member = C.stored(_apart(held, near).select("node", "bucket"), "buckets")
+
+
+def _apart(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """Pairs of nodes that are not in one component."""
+    known = pairs.join(near.select("node", "label"), "node", "left").join(near.select(F.col("node").alias("centre"), F.col("label").alias("centre_label")), "centre", "left")
+    return known.filter(~F.coalesce(F.col("label") == F.col("centre_label"), F.lit(False)))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -204,7 +217,7 @@ def classes(docs: DataFrame) -> DataFrame:
     """
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     sketched = C.stored(narrow.mapInArrow(C.over_slices(_sketch, "text"), "doc_id " + dict(narrow.dtypes)["doc_id"] + ", node binary, sketches array<bigint>"), "sketches")
-    label = components(links(docs, sketched))
+    label = labels(docs, sketched)
     least = sketched.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     named = least.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     group = named.groupBy("label").agg(F.min("least").alias("class_id"), F.sum("rows").alias("rows")).filter("rows > 1")
