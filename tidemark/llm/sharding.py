@@ -117,12 +117,12 @@ def deal(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, pa
     """All columns of the documents with ``size`` (bytes of the text plus 1), ``shard`` and ``slot``.
 
     The shards' bytes are equal within the tolerance and one row's size. Within a shard the slots follow the key and
-    have no gaps. Columns called size, shard or slot are replaced. A null text has size 1; rows that are equal in every
+    have no gaps. Columns called size, shard or slot, or as the working columns (_h, _d, _at, _part, _shift), are replaced. A null text has size 1; rows that are equal in every
     column are told apart by their place only, and stay together. A null doc_id counts as the lowest document. An
     empty table gives an empty result, and the rows of fewer documents than shards leave shards empty.
     """
     spark = docs.sparkSession
-    keep = C.without(docs, [*RESULTS, "_h", "_d"])
+    keep = C.without(docs, [*RESULTS, "_h", "_d", "_at", "_part", "_shift"])
     keyed = docs.select(
         *map(C.quoted, keep), (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.xxhash64("text").alias("_h"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("_d"),
