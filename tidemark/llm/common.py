@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.session import scratch_path
 
@@ -97,6 +98,21 @@ def over_slices(fn: Callable[[pa.RecordBatch], pa.RecordBatch], column: str, lim
     return run
 
 
+def mapped(df: DataFrame, fn, schema: T.StructType) -> DataFrame:
+    """mapInArrow for columns of any name: it can't refer to names with dots, so they travel under numbers."""
+    names, results = df.columns, schema.names
+
+    def renamed(batches, to):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(b.columns, to)
+
+    def run(batches):
+        return renamed(fn(renamed(batches, names)), [f"r{i}" for i in range(len(results))])
+
+    numbered = T.StructType([T.StructField(f"r{i}", f.dataType) for i, f in enumerate(schema.fields)])
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(run, numbered).toDF(*results)
+
+
 def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column end to end, and the row boundaries; nulls are empty."""
     column = pc.fill_null(column, "")

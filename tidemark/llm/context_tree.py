@@ -161,7 +161,7 @@ def _scored(texts: list, train: np.ndarray, grams, words, tokens: int, kinds: in
     row = np.repeat(np.arange(len(texts)), s.words)
     # A word of a training text that is not in the table occurs there alone.
     c = np.maximum(_found(words[:2], s.hashes, 0), train[row].astype(np.int32))
-    base = np.bincount(row, np.log10((c + 1) / (tokens + kinds + 1)), len(texts))
+    base = np.bincount(row, np.log10((c + 1) / (tokens + kinds + 1)), len(texts)).astype(np.float64)
     ends = int(words[2])
     base += math.log10((ends + 1) / (tokens + kinds + 1))
     known = np.bincount(row, c > 0, len(texts)).astype(np.int64) + (ends > 0)

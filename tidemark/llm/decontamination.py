@@ -205,7 +205,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, cleaned: bool = True, b
     for k, block in enumerate(item_blocks(benchmark, block_bytes)):
         if k:
             found = C.stored(found, "decontaminated")
-        found = found.mapInArrow(C.over_slices(_scan(block, others, cleaned), "text"), schema)
+        found = C.mapped(found, C.over_slices(_scan(block, others, cleaned), "text"), schema)
     return found
 
 

@@ -90,7 +90,7 @@ def _label(model, others: list[str], spans: bool):
         out |= {"text": text, "lang_pred": C.strings(pred), "score": pa.array(np.where(np.array(pred) == UNKNOWN, 0.0, np.clip(score, 0, 1)), pa.float64())}
         kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
         found = [[] for _ in range(batch.num_rows)]
-        if spans and len(p):
+        if spans and len(p) and m.languages:
             lab = p.argmax(axis=1)
             new = np.ones(len(lab), bool)
             new[1:] = (lab[1:] != lab[:-1]) | (tokens.row[1:] != tokens.row[:-1])
@@ -114,7 +114,7 @@ def label(docs: DataFrame, model: Model, spans: bool = True) -> DataFrame:
     others = [c for c in C.without(docs, RESULTS.names) if c != "text"]
     narrow = docs.select(*map(C.quoted, others), F.col("text").cast("string").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return narrow.mapInArrow(C.over_slices(_label(sent, others, spans), "text"), T.StructType([*narrow.schema.fields, *RESULTS.fields]))
+    return C.mapped(narrow, C.over_slices(_label(sent, others, spans), "text"), T.StructType([*narrow.schema.fields, *RESULTS.fields]))
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:

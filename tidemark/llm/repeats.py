@@ -340,7 +340,7 @@ def remove_repeats(docs: DataFrame, keep_first: bool = True) -> DataFrame:
     joined = joined.withColumn("_all", F.coalesce(F.col("_node").isNotNull() & copy, F.lit(False))).drop("_node", "_least", "_copies")
     schema = T.StructType([*narrow.schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("removed", T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())]))),
                            T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType())])
-    return joined.mapInArrow(C.over_slices(_apply(others, keep_first), "text"), schema)
+    return C.mapped(joined, C.over_slices(_apply(others, keep_first), "text"), schema)
 
 
 def strip(docs: DataFrame) -> DataFrame:

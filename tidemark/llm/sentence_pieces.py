@@ -268,7 +268,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """
     others = [c for c in C.without(docs, RESULTS.names) if c != "text"]
     narrow = docs.select(*map(C.quoted, others), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(C.over_slices(_encode(model, others), "text"), T.StructType([*narrow.schema.fields, *RESULTS.fields]))
+    return C.mapped(narrow, C.over_slices(_encode(model, others), "text"), T.StructType([*narrow.schema.fields, *RESULTS.fields]))
 
 
 def digests(encoded: DataFrame) -> DataFrame:

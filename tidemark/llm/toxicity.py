@@ -158,7 +158,7 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
     others = [c for c in C.without(docs, RESULTS.names) if c != "text"]
     narrow = docs.select(*map(C.quoted, others), F.col("text").cast("string").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return narrow.mapInArrow(C.over_slices(_tag(sent, others), "text"), T.StructType([*narrow.schema.fields, *RESULTS.fields]))
+    return C.mapped(narrow, C.over_slices(_tag(sent, others), "text"), T.StructType([*narrow.schema.fields, *RESULTS.fields]))
 
 
 def digests(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int = 0) -> DataFrame:
