@@ -116,3 +116,37 @@ def test_snapshot_check_order(spark):
         "snapshot_id string, content binary, sidecar string")
     got = {r.entry: r.status for r in snapshots.verify(entries, blobs).collect()}
     assert got == {1: "ok", 2: "corrupt", 3: "invalid_metadata", 4: "invalid_metadata", 5: "invalid_metadata", 6: "missing", 7: "missing", 8: "invalid_metadata", 9: "invalid_metadata"}
+
+
+def test_character_references(spark):
+    text = "a&#8211;b&#x2013;c&eacute;&hellip;d&amp;lt;&nbsp;&bogus;&#0;&#x1F600;&#xD800; & &AMP;"
+    want = "a–b–cé…d&lt;\u00a0&bogus;\ufffd\U0001f600\ufffd & &"
+    assert spark.createDataFrame([(text,)], "x string").select(html.unescaped(F.col("x")).alias("t")).first().t == want
+
+
+def test_secrets_behind_escapes_and_at_depth(spark):
+    rows = [(r'{"api\u005fkey":1}',), ('{"o":{"api_key":1,"x":[{"token":2,"y":"Token abc"}]}}',), ('{"plain":1}',), (None,)]
+    df = spark.createDataFrame(rows, "j string")
+    got = df.select(F.size(artifacts.secret_keys(F.col("j"))).alias("n"), artifacts.scrubbed(F.col("j")).alias("s")).collect()
+    assert [r.n for r in got[:3]] == [1, 1, 0]
+    assert got[0].s.text == "{}" and got[1].s.text == '{"o":{"x":[{"y":"Token abc"}]}}' and got[1].s.leaks and not got[2].s.leaks and got[3].s.text is None
+
+
+def test_sidecars_name_their_digest(spark):
+    import hashlib
+
+    d = hashlib.sha256(b"x").hexdigest()
+    sides = [f'{{"sha256":"{d}"}}', f'{{"digest":"{d}"}}', '{"size":1}', '{"digest":"00"}']
+    blobs = spark.createDataFrame([(f"sha256:{d}", bytearray(b"x"), s) for s in sides], "snapshot_id string, content binary, sidecar string")
+    entries = spark.createDataFrame([(1, f"sha256:{d}", "{}")], "entry int, snapshot_id string, meta string")
+    got = [snapshots.verify(entries, blobs.where(F.col("sidecar") == s)).first().status for s in sides]
+    assert got == ["ok", "ok", "invalid_metadata", "invalid_metadata"]
+
+
+def test_eligibility_reasons(spark):
+    doc = lambda i, **k: (f"p{i}", "manifest", f"b{i}", "t", None, json.dumps({"build_id": f"b{i}", "schema_version": "1.1", "snapshot_capture": True, "exact_rebuild_capable": True, "snapshots": ["s"], "database_fingerprint": "f"} | k))
+    rows = [doc(1), doc(2, schema_version="1.0"), doc(3, exact_rebuild_capable=False), doc(4, database_fingerprint=None), doc(5)]
+    frame = spark.createDataFrame(rows, "path string, kind string, artifact_id string, started_at string, error string, text string")
+    verified = spark.createDataFrame([("b1", "ok"), ("b5", "ok"), ("b5", "corrupt")], "build_id string, status string")
+    got = {r.build_id: r.reason for r in artifacts.rebuild_eligibility(frame, verified).collect()}
+    assert got == {"b1": None, "b2": "schema version", "b3": "not exact-rebuild capable", "b4": "no database fingerprint", "b5": "snapshot verification failed"}

@@ -108,6 +108,7 @@ def spread(a: Column, b: Column) -> Column:
 
 
 # -------------------------------------------------------- canonical values
+# Fixed value.
 NULL_TOKEN = "\\N"
 
 
@@ -118,15 +119,27 @@ def _plain_decimal(c: Column) -> Column:
     return F.when(text == "-0", F.lit("0")).otherwise(text)
 
 
+def _moved_point(shown: Column) -> Column:
+    """Plain text of d.dddE[-]n: the digits with zeros before or behind."""
+    form = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+    part = lambda i: F.regexp_extract(shown, form, i)
+    rest = F.regexp_replace(part(3), "0+$", "")
+    digits, n = F.concat(part(2), rest), part(4).cast("int")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -n - 1), digits)
+    behind = n - F.length(rest)
+    point = F.concat(F.substring(digits, F.lit(1), n + 1), F.lit("."), F.substring(digits, n + 2, F.length(digits)))
+    large = F.when(behind >= 0, F.concat(digits, F.repeat(F.lit("0"), behind))).otherwise(point)
+    return F.concat(part(1), F.when(n < 0, small).otherwise(large))
+
+
 def canonical_text(c: Column, dtype: T.DataType) -> Column:
     """One value as fingerprint text: NULL token, true/false, ISO dates, plain numbers.
 
-    A double is written with the digits of its shortest decimal form, so
-    scientific notation goes through an exact decimal; values that no 38-digit
-    decimal holds keep their scientific form.
+    A double is written with every digit of its shortest decimal form; where that
+    form is scientific, the decimal point is moved in the text.
     """
     if isinstance(dtype, T.BooleanType):
-        text = F.when(c, F.lit("true")).otherwise(F.lit("false"))
+        text = F.when(c, F.lit("true")).when(~c, F.lit("false"))
     elif isinstance(dtype, T.DateType):
         text = F.date_format(c, "yyyy-MM-dd")
     elif isinstance(dtype, T.TimestampType):
@@ -137,13 +150,9 @@ def canonical_text(c: Column, dtype: T.DataType) -> Column:
         text = _plain_decimal(c)
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
         shown = c.cast("string")
-        wide = _plain_decimal(shown.try_cast(T.DecimalType(38, 0)))
-        narrow = _plain_decimal(shown.try_cast(T.DecimalType(38, 37)))
-        small = shown.contains("E-")
         text = (
             F.when(F.isnan(c) | (F.abs(c) == float("inf")), shown)
-            .when(small, F.coalesce(narrow, shown))
-            .when(shown.contains("E"), F.coalesce(wide, shown))
+            .when(shown.contains("E"), _moved_point(shown))
             .otherwise(F.when(shown == "-0.0", F.lit("0")).otherwise(F.regexp_replace(shown, r"\.0$", "")))
         )
     else:

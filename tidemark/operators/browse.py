@@ -168,14 +168,17 @@ def export(
     return filtered(df, spec, filters or Filters()).orderBy(*sort_keys(spec, column, way)).limit(max_rows)
 
 
-def rows_on(df: DataFrame, key: str, day: Column, symbol: str | None = None, limit: int = MAX_PAGE_SIZE) -> DataFrame:
-    """Rows of one day, by symbol (events by id), capped."""
+def rows_on(df: DataFrame, key: str, day: Column, symbol: str | None = None, limit: int | None = None) -> DataFrame:
+    """Rows of one day, by symbol (events by id); all of them, or the first ``limit`` with the day's ``total_count``."""
     spec = spec_of(key)
     hits = df.where(F.col(spec.date_column) == day)
     if symbol and spec.symbol_column:
         hits = hits.where(F.col(spec.symbol_column) == symbol)
     order = ["event_id"] if key == "scheduled_events" else ([spec.symbol_column] if spec.symbol_column else [])
-    return (hits.orderBy(*order) if order else hits).limit(limit)
+    rows = hits.orderBy(*order) if order else hits
+    if limit is None:
+        return rows
+    return rows.limit(limit).select("*", hits.agg(F.count("*")).scalar().alias("total_count"))
 
 
 def top_k(df: DataFrame, column: str, k: int, ties: list[str]) -> DataFrame:
@@ -187,7 +190,7 @@ def inspect_day(tables: dict[str, DataFrame], day: Column, universe: DataFrame,
     """One nested row about a calendar day; market parts only when it is a session.
 
     Every part is a filter on one date before anything is gathered, so a part
-    holds at most a page of rows.
+    holds one row a symbol at most, or one an event of the day.
     """
     spine = tables["trading_days"]
     one = spine.sparkSession.range(1).select(day.alias("calendar_date"))

@@ -8,40 +8,22 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import canonical_line
 
 VERSION = "1.0"
-EXACT_ROWS = 1_000_000
+LANES = (1, 17, 33, 49)  # starts of the four 16-digit words of a row's hash
 
 
-def table_digest(df: DataFrame, table: str, pk: list[str], limit: int = EXACT_ROWS) -> DataFrame:
-    """(table, row_count, sha256): SHA-256 over the key-ordered text of a calendar-sized table.
+def table_digest(df: DataFrame, table: str) -> DataFrame:
+    """(table, row_count, sha256): a digest of the rows of a table of any size, each as often as it occurs.
 
-    One digest over one text needs the text in one place, so only tables within
-    ``limit`` rows are taken; more raise an error.  Use ``block_digest`` there.
+    The SHA-256 of a row's canonical text is read as four 64-bit numbers, and each is summed exactly over all rows, so
+    partial sums are made where the rows are, no row is moved and no order matters. A changed, lost, added or doubled
+    row changes the sums; the row count is part of the digest.
     """
-    n = df.agg(F.count("*")).scalar()
-    lines = df.select(F.struct(*pk).alias("k"), F.concat(canonical_line(df), F.lit("\n")).alias("line"))
-    checked = lines.where(F.when(n > limit, F.raise_error(F.lit(f"{table} is too large for one digest")).cast("boolean")).otherwise(True))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "line"))), lambda s: s["line"]), "")
-    return checked.agg(text.alias("t"), F.count("*").alias("row_count")).select(
-        F.lit(table).alias("table"), "row_count", F.concat(F.lit("sha256:"), F.sha2("t", 256)).alias("sha256")
+    words = [F.conv(F.substring("d", a, 16), 16, 10).cast("decimal(20,0)") for a in LANES]
+    folded = df.select(F.sha2(canonical_line(df), 256).alias("d")).agg(
+        F.count("*").alias("row_count"), *[F.sum(w.cast("decimal(38,0)")).alias(f"l{a}") for w, a in zip(words, LANES)]
     )
-
-
-LANES = ((1, 18), (19, 18), (37, 18), (55, 10))  # start and length of hex digits
-
-
-def block_digest(df: DataFrame, table: str) -> DataFrame:
-    """(table, row_count, sha256): a digest of the set of rows for tables of any size.
-
-    Each row's SHA-256 is read as four numbers (hex digits a-f taken as 0-5) that
-    are combined by exclusive or, so partial results are made where the rows are,
-    no row is moved and no order matters.  Rows are unique by key, and the row
-    count is part of the digest; a changed, lost or added row changes it.
-    """
-    digits = F.translate(F.sha2(canonical_line(df), 256), "abcdef", "012345")
-    lanes = [F.bit_xor(F.substring("d", a, n).cast("bigint")).alias(f"l{a}") for a, n in LANES]
-    folded = df.select(digits.alias("d")).agg(F.count("*").alias("row_count"), *lanes)
-    parts = [F.coalesce(F.col(f"l{a}"), F.lit(0)).cast("string") for a, _ in LANES]
-    text = F.concat_ws(":", F.col("row_count").cast("string"), *parts)
+    sums = [F.coalesce(F.col(f"l{a}"), F.lit(0)).cast("string") for a in LANES]
+    text = F.concat_ws(":", F.col("row_count").cast("string"), *sums)
     return folded.select(F.lit(table).alias("table"), "row_count", F.concat(F.lit("sha256:"), F.sha2(text, 256)).alias("sha256"))
 
 

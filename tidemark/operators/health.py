@@ -201,18 +201,24 @@ def report(tables: dict[str, DataFrame], universe: DataFrame, close_only: list[s
     return tables["trading_days"].sparkSession.range(1).select(F.to_json(body).alias("report"))
 
 
+def manifest_entries(build_id: str, snapshots: DataFrame) -> DataFrame:
+    """(build_id, entry, snapshot_id, ...): the manifest's snapshots, one row each, whatever their number."""
+    return snapshots.select(F.lit(build_id).alias("build_id"), *snapshots.columns)
+
+
 def manifest(build_id: str, coverage: DataFrame, snapshots: DataFrame, fingerprints: DataFrame, success: bool, validation: str) -> DataFrame:
-    """(manifest): dataset counts, snapshot entries and capability flags as one JSON document.
+    """(manifest): dataset counts, digests, number of snapshots and capability flags as one JSON document.
 
-    Snapshots are captured if the build succeeded with at least 23 of them, and
-    the build can be replayed exactly if its validation also passed.
+    The snapshots themselves are rows of ``manifest_entries``. They are captured if
+    the build succeeded with at least 23 of them, and the build can be replayed
+    exactly if its validation also passed.
     """
     n = snapshots.agg(F.count("*")).scalar()
     capture = F.lit(success) & (n >= MIN_SNAPSHOTS)
     body = F.struct(
         F.lit(build_id).alias("build_id"), _documents(coverage, "table").alias("datasets"),
         (capture & F.lit(validation == "PASS")).alias("exact_rebuild_capable"), F.lit("1.1").alias("schema_version"),
-        capture.alias("snapshot_capture"), _documents(snapshots, "snapshot_id").alias("snapshots"),
+        capture.alias("snapshot_capture"), n.alias("snapshot_count"),
         F.lit(success).alias("success"), _documents(fingerprints, "table").alias("table_fingerprints"),
         F.lit(validation).alias("validation_result"),
     )

@@ -43,16 +43,18 @@ def verify(entries: DataFrame, blobs: DataFrame) -> DataFrame:
 
     ``entries``: (entry, snapshot_id, meta JSON); ``blobs``: (snapshot_id, content,
     sidecar JSON or NULL), one per id.  Digests are recomputed next to the
-    payloads, so the join carries a flag, not the bytes.
+    payloads, so the join carries a flag, not the bytes.  A sidecar names its digest
+    as ``sha256`` or else ``digest``; one without either agrees with nothing.
     """
     recomputed = F.sha2("content", 256)
+    told = F.coalesce(F.get_json_object("sidecar", "$.sha256"), F.get_json_object("sidecar", "$.digest"))
     b = blobs.select(
         F.col("snapshot_id").alias("_id"),
         F.col("content").isNotNull().alias("_payload"),
         (F.concat(F.lit(PREFIX), recomputed) == F.col("snapshot_id")).alias("_sound"),
         F.col("sidecar").isNotNull().alias("_side"),
         (F.size(secret_keys(F.col("sidecar"), SECRET_METADATA_KEY)) > 0).alias("_leaks"),
-        (F.concat(F.lit(PREFIX), F.get_json_object("sidecar", "$.sha256")) == F.col("snapshot_id")).alias("_agrees"),
+        (F.concat(F.lit(PREFIX), told) == F.col("snapshot_id")).alias("_agrees"),
     )
     ident = F.col("snapshot_id")
     formed = F.coalesce(ident.startswith(PREFIX), F.lit(False))
@@ -63,7 +65,7 @@ def verify(entries: DataFrame, blobs: DataFrame) -> DataFrame:
         .when(F.coalesce("_leaks", F.lit(False)), "invalid_metadata")
         .when(~F.coalesce("_payload", F.lit(False)), "missing")
         .when(~F.col("_sound"), "corrupt")
-        .when(~F.coalesce("_agrees", F.lit(True)), "invalid_metadata")
+        .when(~F.coalesce("_agrees", F.lit(False)), "invalid_metadata")
         .otherwise("ok")
     )
     return entries.join(b, ident == F.col("_id"), "left").select("entry", "snapshot_id", status.alias("status"))

@@ -248,32 +248,51 @@ def _(spark, sf):
 @query("h6_manifest")
 def _(spark, sf):
     t = b.tables(spark, sf)
-    prints = quality.union([fingerprint.block_digest(t[n], n) for n in t])
-    # one entry per provider host, so the manifest stays a manifest
-    entries = r.table(spark, sf, "pages").groupBy(F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host")).agg(
-        F.min(F.sha2(F.col("html").cast("binary"), 256)).alias("digest")
-    ).select(F.concat(F.lit("sha256:"), "digest").alias("snapshot_id"), "host")
-    return health.manifest("build", coverage.table_coverage(t), entries, prints, True, "PASS")
+    return health.manifest("build", coverage.table_coverage(t), _entries(spark, sf), _prints(spark, sf), True, "PASS")
+
+
+def _entries(spark, sf):
+    pages = r.table(spark, sf, "pages")
+    digest = F.concat(F.lit("sha256:"), F.sha2(F.col("html").cast("binary"), 256))
+    return pages.select(F.col("page_id").alias("entry"), digest.alias("snapshot_id"), F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("host"))
+
+
+@query("h6_manifest_entries", """SELECT 'build' AS build_id, page_id AS entry, 'sha256:' || sha256(html) AS snapshot_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host FROM pages""")
+def _(spark, sf):
+    return health.manifest_entries("build", _entries(spark, sf))
 
 
 # ------------------------------------------------------------- fingerprints
 def _text(col: str, dtype: str) -> str:
+    if dtype == "double":  # see six_places
+        return f"coalesce(nullif(regexp_replace(CAST(CAST({col} AS DECIMAL(28,6)) AS VARCHAR), '\\.?0+$', ''), '-0'), '\\N')"
     if dtype == "boolean":
         return f"CASE WHEN {col} THEN 'true' WHEN NOT {col} THEN 'false' ELSE '\\N' END"
     return f"coalesce(CAST({col} AS VARCHAR), '\\N')"
 
 
-def _line(table: str) -> str:
-    return " || '|' || ".join(_text(c, t) for c, t in sorted(schemas.TABLE_COLUMNS[table]))
+def six_places(df):
+    """Doubles at six places: two engines agree on them where they may differ in a last bit."""
+    return df.select(*[F.col(f.name).cast("decimal(28,6)").alias(f.name) if f.dataType.typeName() in ("double", "float") else f.name for f in df.schema.fields])
+
+
+def _line(columns) -> str:
+    return " || '|' || ".join(_text(c, t) for c, t in sorted(columns))
+
+
+ALL_TABLES = list(schemas.TABLE_COLUMNS)
+_WORDS = [f"sum(CAST('0x' || substr(d, {a}, 16) AS UBIGINT))" for a in fingerprint.LANES]
 
 
-SMALL = ["trading_days", "calendar_context", "scheduled_events"]
+def _digest(table: str, source: str = "", columns=None) -> str:
+    sums = " || ':' || ".join(f"CAST(coalesce({w}, 0) AS VARCHAR)" for w in _WORDS)
+    return f"""SELECT '{table}' AS "table", count(*) AS row_count, 'sha256:' || sha256(CAST(count(*) AS VARCHAR) || ':' || {sums}) AS sha256
+FROM (SELECT sha256({_line(columns or schemas.TABLE_COLUMNS[table])}) AS d FROM {source or table})"""
 
 
-def _digest(table: str) -> str:
-    pk = ", ".join(schemas.PRIMARY_KEYS[table])
-    return f"""SELECT '{table}' AS "table", count(*) AS row_count, 'sha256:' || sha256(string_agg(line, '' ORDER BY {pk})) AS sha256
-FROM (SELECT {pk}, {_line(table)} || chr(10) AS line FROM {table})"""
+def _prints(spark, sf, **edited):
+    tables = {t: edited.get(t, tbl(spark, sf, t)) for t in ALL_TABLES}
+    return quality.union([fingerprint.table_digest(six_places(df), t) for t, df in tables.items()])
 
 
 @query("p13_canonical_text", """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '\\N' WHEN o_totalprice = floor(o_totalprice) THEN CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR)
@@ -293,53 +312,62 @@ def _(spark, sf):
     )
 
 
-@query("p14_row_lines", f"SELECT event_id, {_line('scheduled_events')} AS line FROM scheduled_events")
+@query("p13_canonical_doubles", """SELECT l_orderkey, l_linenumber, true AS plain, true AS exact, CAST(CASE WHEN e >= 0 THEN length(CAST(l_partkey + 1 AS VARCHAR)) + e ELSE 1 END AS INTEGER) AS whole_digits
+  FROM (SELECT *, CAST(CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey % 280 ELSE -20 - l_suppkey % 280 END AS INTEGER) AS e FROM lineitem)""")
+def _(spark, sf):
+    from pyspark.sql import types as T
+
+    e = F.when(F.col("l_suppkey") % 2 == 0, F.col("l_suppkey") % 280).otherwise(-20 - F.col("l_suppkey") % 280)
+    x = F.concat((F.col("l_partkey") + 1).cast("string"), F.lit("E"), e.cast("string")).cast("double")
+    text = r.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", x.alias("x"), scalar.canonical_text(x, T.DoubleType()).alias("text"))
+    return text.select(
+        "l_orderkey", "l_linenumber", F.col("text").rlike(r"^\d+(\.\d*[1-9])?$").alias("plain"), (F.col("text").cast("double") == F.col("x")).alias("exact"),
+        F.length(F.substring_index("text", ".", 1)).alias("whole_digits"),
+    )
+
+
+@query("p14_row_lines", f"SELECT event_id, {_line(schemas.TABLE_COLUMNS['scheduled_events'])} AS line FROM scheduled_events")
 def _(spark, sf):
     e = tbl(spark, sf, "scheduled_events")
     return e.select("event_id", scalar.canonical_line(e).alias("line"))
 
 
-@query("a11_exact_digests", " UNION ALL ".join(f"({_digest(t)})" for t in SMALL))
+@query("a11_exact_digests", " UNION ALL ".join(f"({_digest(t)})" for t in ALL_TABLES))
 def _(spark, sf):
-    return quality.union([fingerprint.table_digest(tbl(spark, sf, t), t, schemas.PRIMARY_KEYS[t]) for t in SMALL])
+    return _prints(spark, sf)
 
 
-LI = ["l_linenumber", "l_orderkey", "l_partkey", "l_returnflag", "l_shipdate", "l_suppkey"]
-LANES = ", ".join(f"CAST(bit_xor(CAST(substr(d, {a}, {n}) AS BIGINT)) AS VARCHAR) AS l{a}" for a, n in fingerprint.LANES)
+LINEITEM = [
+    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
+    ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "date"),
+]
 
 
-@query("a11_block_digest", f"""SELECT 'lineitem' AS "table", n AS row_count, 'sha256:' || sha256(CAST(n AS VARCHAR) || ':' || l1 || ':' || l19 || ':' || l37 || ':' || l55) AS sha256 FROM (
-  SELECT count(*) AS n, {LANES} FROM (SELECT translate(sha256(l_linenumber || '|' || l_orderkey || '|' || l_partkey || '|' || l_returnflag || '|'
-    || CAST(CAST(l_shipdate AS DATE) AS VARCHAR) || '|' || l_suppkey), 'abcdef', '012345') AS d FROM lineitem))""")
+@query("a11_block_digest", _digest("lineitem", "(SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem)", LINEITEM))
 def _(spark, sf):
-    li = r.table(spark, sf, "lineitem").select(*LI).withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
-    return fingerprint.block_digest(li, "lineitem")
+    li = r.table(spark, sf, "lineitem")
+    return fingerprint.table_digest(six_places(li.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))), "lineitem")
 
 
 @query("a12_database_digest", f"""SELECT 'sha256:' || sha256(string_agg("table" || ':' || sha256 || ':' || CAST(row_count AS VARCHAR) || ':1.0' || chr(10), '' ORDER BY pos)) AS database_fingerprint
-FROM ({' UNION ALL '.join(f'SELECT *, {i} AS pos FROM ({_digest(t)})' for i, t in enumerate(SMALL))})""")
+FROM ({' UNION ALL '.join(f'SELECT *, {i} AS pos FROM ({_digest(t)})' for i, t in enumerate(ALL_TABLES))})""")
 def _(spark, sf):
-    prints = quality.union([fingerprint.table_digest(tbl(spark, sf, t), t, schemas.PRIMARY_KEYS[t]) for t in SMALL])
-    return fingerprint.database_digest(prints, SMALL)
+    return fingerprint.database_digest(_prints(spark, sf), ALL_TABLES)
 
 
 def _two_prints(spark, sf):
-    td, cc = tbl(spark, sf, "trading_days"), tbl(spark, sf, "calendar_context")
-    now = quality.union([fingerprint.table_digest(td, "trading_days", ["date"]), fingerprint.table_digest(cc, "calendar_context", ["date"])])
+    cc = tbl(spark, sf, "calendar_context")
     edited = cc.withColumn("holiday_name", F.when(F.col("is_election_day"), "X").otherwise(F.col("holiday_name")))
-    before = quality.union(
-        [fingerprint.table_digest(td, "trading_days", ["date"]), fingerprint.table_digest(edited, "calendar_context", ["date"])]
-    )
-    return before, now
+    return _prints(spark, sf, calendar_context=edited), _prints(spark, sf)
 
 
-EDITED = _digest("calendar_context").replace(
-    " FROM calendar_context)", " FROM (SELECT * REPLACE (CASE WHEN is_election_day THEN 'X' ELSE holiday_name END AS holiday_name) FROM calendar_context))"
-)
+EDITED = _digest("calendar_context", "(SELECT * REPLACE (CASE WHEN is_election_day THEN 'X' ELSE holiday_name END AS holiday_name) FROM calendar_context)")
+_NOW = " UNION ALL ".join(f"({_digest(t)})" for t in ALL_TABLES)
+_BEFORE = " UNION ALL ".join(f"({EDITED if t == 'calendar_context' else _digest(t)})" for t in ALL_TABLES)
 
 
 @query("j18_fingerprint_comparison", f"""SELECT a."table", e.sha256 AS expected, a.sha256 AS actual, e.sha256 = a.sha256 AS match
-FROM ({_digest('trading_days')} UNION ALL {_digest('calendar_context')}) a JOIN ({_digest('trading_days')} UNION ALL {EDITED}) e ON e."table" = a."table" """)
+FROM ({_NOW}) a JOIN ({_BEFORE}) e ON e."table" = a."table" """)
 def _(spark, sf):
     before, now = _two_prints(spark, sf)
     return fingerprint.compare(before, now)
@@ -348,8 +376,7 @@ def _(spark, sf):
 @query("a13_change_classification", "SELECT CASE WHEN count(*) FILTER (event_type = 'election') > 0 THEN 'UPDATED' ELSE 'NO_CHANGE' END AS change FROM scheduled_events")
 def _(spark, sf):
     before, now = _two_prints(spark, sf)
-    order = ["trading_days", "calendar_context"]
-    return fingerprint.change(fingerprint.database_digest(before, order), fingerprint.database_digest(now, order))
+    return fingerprint.change(fingerprint.database_digest(before, ALL_TABLES), fingerprint.database_digest(now, ALL_TABLES))
 
 
 # ------------------------------------------------------------------- checks

@@ -107,7 +107,9 @@ def _(spark, sf):
 
 
 CLEAN = r"""regexp_replace(regexp_replace(frag, '<[^>]+>', '', 'g'), '\s+', ' ', 'g')"""
-for _e, _c in html.ENTITIES:
+for _e, _c in [  # the references that the pages hold; the last one undoes the escape the others start with
+    ("&nbsp;", "\u00a0"), ("&ndash;", "–"), ("&mdash;", "—"), ("&rsquo;", "’"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
+]:
     CLEAN = f"replace({CLEAN}, '{_e.replace(chr(39), chr(39) * 2)}', '{_c.replace(chr(39), chr(39) * 2)}')"
 
 
@@ -119,6 +121,14 @@ def _(spark, sf):
     return html.headings(r.table(spark, sf, "pages"), "page_id", (1, 2, 3)).withColumn("position", F.col("position").cast("int"))
 
 
+@query("p10_character_references", """SELECT event_id, 'x' || chr(n) || 'a' || chr(n) || 'b' || chr(128512 + n % 60) || 'é…&bogus;&lt;' AS title FROM (SELECT event_id, CAST(200 + event_id % 20000 AS INTEGER) AS n FROM events)""")
+def _(spark, sf):
+    n = (200 + F.col("event_id") % 20000).cast("int")
+    parts = ["<b>x&#", n.cast("string"), ";</b>a&#x", F.hex(n), ";b&#", (128512 + n % 60).cast("string"), ";&eacute;&hellip;&bogus;&amp;lt;"]
+    text = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    return r.table(spark, sf, "events").select("event_id", html.strip_tags(text).alias("title"))
+
+
 @query("p9_meeting_headings", "SELECT event_date FROM (SELECT CASE WHEN n % 5 = 4 THEN CAST(date_trunc('month', d) + INTERVAL 1 MONTH AS DATE) ELSE d END AS event_date FROM headings WHERE n % 8 NOT IN (0, 1, 2, 3))")
 def _(spark, sf):
     return html.meeting_days(r.heading_pages(spark, sf), "page_id").select("event_date")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +9,6 @@ from pyspark.sql import functions as F
 SECRET_KEY = r"(?i)api[_-]?key|password|secret|authorization|postgresql\+psycopg://[^@]+@"
 SECRET_METADATA_KEY = r"(?i)api[_-]?key|^token$|authorization|password|secret|credential|database[_-]?url"
 SECRET_VALUE = r"(?i)postgresql\+psycopg://[^@]+@|Token\s+[A-Za-z0-9]+"
-# every text a pattern matches holds one of its words in lower case
-PLAIN_WORDS = {
-    SECRET_KEY: ["apikey", "api_key", "api-key", "password", "secret", "authorization", "psycopg"],
-    SECRET_METADATA_KEY: [
-        "apikey", "api_key", "api-key", "token", "authorization", "password", "secret", "credential",
-        "databaseurl", "database_url", "database-url",
-    ],
-}
 SUCCESS_STATUSES = ["SUCCESS_NO_CHANGE", "SUCCESS_UPDATED"]
 
 MANIFEST = (
@@ -38,19 +28,20 @@ def read_artifacts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def json_keys(text: Column) -> Column:
-    """Every object key at any depth, in text order: string tokens that a colon follows."""
+    """Every object key at any depth, in text order, escapes resolved: string tokens that a colon follows."""
     tokens = F.regexp_extract_all(text, F.lit(r'"[^"\\]*+(?:\\.[^"\\]*+)*+"\s*+:?'), F.lit(0))
-    keys = F.filter(tokens, lambda t: t.endswith(":"))
-    return F.transform(keys, lambda t: F.regexp_replace(t, r'^"|"\s*:$', ""))
+    keys = F.transform(F.filter(tokens, lambda t: t.endswith(":")), lambda t: F.regexp_replace(t, r"\s*:$", ""))
+    plain = F.transform(keys, lambda t: F.substring(t, F.lit(2), F.length(t) - 2))
+    escaped = F.transform(keys, lambda t: F.get(F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>"), 0))
+    return F.when(text.contains("\\"), escaped).otherwise(plain)
 
 
 def secret_keys(text: Column, pattern: str = SECRET_KEY) -> Column:
     """Keys, at any depth, that look like secrets.
 
-    Text without any of the words has none, so only suspicious text is cut into tokens.
+    Only text in which the pattern occurs anywhere, or that has escapes, is cut into tokens.
     """
-    low = F.lower(text)
-    suspicious = reduce(lambda a, b: a | b, [low.contains(w) for w in PLAIN_WORDS[pattern]])
+    suspicious = text.rlike(pattern.replace("^token$", "token")) | text.contains("\\")
     none = F.array().cast("array<string>")
     return F.when(suspicious, F.filter(json_keys(text), lambda k: k.rlike(pattern))).when(text.isNotNull(), none)
 
@@ -149,27 +140,75 @@ def operational_runs(artifacts: DataFrame) -> DataFrame:
     )
 
 
-def rebuild_eligibility(artifacts: DataFrame) -> DataFrame:
-    """(build_id, reason): first unmet condition for an exact rebuild; NULL when eligible."""
+def rebuild_eligibility(artifacts: DataFrame, verified: DataFrame | None = None) -> DataFrame:
+    """(build_id, reason): first unmet condition for an exact rebuild; NULL when eligible.
+
+    ``verified``: (build_id, status) of each snapshot of each build, see ``snapshots.verify``; a build with one that is
+    not ok can't be rebuilt.
+    """
     s = manifest_summaries(artifacts)
+    failed = F.lit(False)
+    if verified is not None:
+        bad = verified.where("status <> 'ok'").select("build_id", F.lit(True).alias("_bad")).distinct()
+        s = s.join(bad, "build_id", "left")
+        failed = F.coalesce("_bad", F.lit(False))
     reason = (
         F.when(F.coalesce("schema_version", F.lit("1.0")) != "1.1", "schema version")
         .when(~F.col("exact_rebuild_capable"), "not exact-rebuild capable")
         .when(F.col("database_fingerprint").isNull(), "no database fingerprint")
         .when(F.col("snapshot_count") == 0, "no snapshots")
+        .when(failed, "snapshot verification failed")
     )
     return s.select("build_id", reason.alias("reason"))
 
 
 # ---------------------------------------------------------------- metadata
+def scrubbed(identity: Column) -> Column:
+    """struct<text, leaks>: JSON without secret-like keys at any depth, and whether a kept value looks like a secret.
+
+    Spark has no expression that walks JSON of unknown depth, so documents go through a small function in Arrow batches.
+    The function holds all it needs, so workers need not import this package.
+    """
+    key_pattern, value_pattern = SECRET_METADATA_KEY, SECRET_VALUE
+
+    @F.pandas_udf("text string, leaks boolean")
+    def clean(texts):
+        import json
+        import re
+
+        import pandas as pd
+
+        secret_key, secret_value = re.compile(key_pattern), re.compile(value_pattern)
+
+        def walk(x, found):
+            if isinstance(x, dict):
+                return {k: walk(v, found) for k, v in x.items() if not secret_key.search(k)}
+            if isinstance(x, list):
+                return [walk(v, found) for v in x]
+            if isinstance(x, str) and secret_value.search(x):
+                found.append(x)
+            return x
+
+        out = []
+        for t in texts:
+            try:
+                found = []
+                out.append((json.dumps(walk(json.loads(t), found), separators=(",", ":"), ensure_ascii=False), bool(found)))
+            except (TypeError, ValueError):
+                out.append((None, None))
+        return pd.DataFrame(out, columns=["text", "leaks"])
+
+    return clean(identity)
+
+
 def scrub(identity: Column) -> Column:
-    """A flat JSON identity as a map without secret-like keys."""
-    return F.map_filter(F.from_json(identity, "map<string,string>"), lambda k, v: ~k.rlike(SECRET_METADATA_KEY))
+    """A JSON identity as a map without secret-like keys; nested values are JSON text, scrubbed at every depth."""
+    return F.from_json(scrubbed(identity)["text"], "map<string,string>")
 
 
 def leaks_value(identity: Column) -> Column:
-    """True if a kept value still looks like a secret, which must fail the write."""
-    return F.exists(F.map_values(scrub(identity)), lambda v: F.coalesce(v.rlike(SECRET_VALUE), F.lit(False)))
+    """True if a kept value, at any depth, still looks like a secret, which must fail the write."""
+    return scrubbed(identity)["leaks"]
 
 
 def listed_metadata(identity: Column) -> Column:

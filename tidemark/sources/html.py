@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values.
-MONTHS = " january february march april may june july august september october november december"
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
 EXCLUDED = r"(?iU)unscheduled|conference\s+call|notation\s+vote|cancell?ed"
 HEADING = r"(?iU)^([a-z]+(?:/[a-z]+)?)\s+(\d{1,2})(?:-(\d{1,2}))?\s+(.+?)\s*-\s*(\d{4})\s*$"
-ENTITIES = [  # the last one undoes the escape the others start with
-    ("&nbsp;", "\u00a0"), ("&ndash;", "–"), ("&mdash;", "—"), ("&rsquo;", "’"),
-    ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
-]
+REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -27,13 +26,33 @@ def page_text(content: Column) -> Column:
 
 
 def strip_tags(fragment: Column) -> Column:
-    """Tags removed, whitespace collapsed, then the known entities decoded, ends trimmed."""
-    text = F.regexp_replace(F.regexp_replace(fragment, r"<[^>]+>", ""), r"\s+", " ")
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    """Tags removed, whitespace collapsed, then character references decoded, ends trimmed."""
+    text = unescaped(F.regexp_replace(F.regexp_replace(fragment, r"<[^>]+>", ""), r"\s+", " "))
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
+def unescaped(text: Column) -> Column:
+    """Character references decoded in one pass: all names of the HTML5 table, decimal and hexadecimal numbers.
+
+    The text is cut at its references; what one decodes to is not read again. Unknown names stay as they are.
+    """
+    names = F.create_map(*[F.lit(x) for name, char in sorted(html5.items()) if name.endswith(";") for x in ("&" + name, char)])
+    found = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    between = F.split(text, REFERENCE, -1)
+    decoded = F.transform(found, lambda e: F.coalesce(F.when(e.startswith("&#"), _character(e)).otherwise(F.try_element_at(names, e)), e))
+    pairs = F.zip_with(decoded, F.slice(between, 2, F.size(found)), lambda d, t: F.concat(d, t))
+    return F.when(text.contains("&"), F.concat(between[0], F.array_join(pairs, ""))).otherwise(text)
+
+
+def _character(reference: Column) -> Column:
+    """The character of a numeric reference; a number that is no character gives the replacement character."""
+    body = F.lower(F.substring(reference, 3, 16))
+    digits = F.regexp_replace(body, "[x;]", "")
+    code = F.coalesce(F.when(body.startswith("x"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint"), F.lit(0))
+    none = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(none, 0xFFFD).otherwise(code)), 8, "0")), "UTF-32")
+
+
 def heading_fragments(html: Column, levels: tuple[int, ...] = (4, 5)) -> Column:
     """Array of heading bodies at the given levels, in page order."""
     h = "".join(str(n) for n in levels)
@@ -50,8 +69,7 @@ def headings(pages: DataFrame, key: str, levels: tuple[int, ...] = (4, 5)) -> Da
 def month_number(name: Column) -> Column:
     """1-12: the first month whose name starts with the text's first three letters; else NULL."""
     key = F.substring(F.lower(F.trim(name)), 1, 3)
-    at = F.instr(F.lit(MONTHS), F.concat(F.lit(" "), key))
-    return F.when(at > 0, F.size(F.split(F.substring(F.lit(MONTHS), F.lit(1), at), " ")) - 1)
+    return F.coalesce(*[F.when(F.lit(m).startswith(key), i) for i, m in enumerate(MONTHS, 1)])
 
 
 def with_final_day(df: DataFrame, parts: str, out: str) -> DataFrame:
@@ -95,6 +113,7 @@ def meeting_days(pages: DataFrame, key: str, levels: tuple[int, ...] = (4, 5)) -
 
 
 # ------------------------------------------------------------ panel pages
+# Marks of the page format.
 YEAR_MARK = r"(?i)20\d{2}\s+FOMC\s+Meetings"
 ROW_MARK = r'(?i)<div class="[^"]*\bfomc-meeting\b'
 PANEL_MONTH = r"(?i)fomc-meeting__month[^>]*>\s*<strong>\s*([a-z/]+)\s*</strong>"
