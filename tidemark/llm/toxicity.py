@@ -70,7 +70,6 @@ class Model:
             return
         flat, bounds = C.flat_bytes(C.strings(texts))
         tokens = crf.Tokens(flat, bounds)
-        kinds, rows = tokens.features()
         n, toxic_doc = len(tokens.kinds), y[tokens.row] > 0
         # Words and word beginnings that so many toxic documents have as chance would not give one of n.
         begin, size = tokens.begin[tokens.first], (tokens.end - tokens.begin)[tokens.first]
@@ -96,11 +95,16 @@ class Model:
         first = np.unique(stretch, return_index=True)[1]
         kept = marked | (spread.astype(np.float64) / 2.0**64 < share[tokens.row[first]])
         use = np.flatnonzero(kept[stretch])
-        counts = np.bincount(stretch[use])
+        # Features are made of the stretches that are learned from alone, and of few texts at a time after that.
+        cuts = np.flatnonzero(np.diff(stretch[use], prepend=-1))
+        lines = [b" ".join(tokens.text(i) for i in part.tolist()).decode(errors="replace") for part in np.split(use, cuts[1:])]
+        learned = crf.Tokens(*C.flat_bytes(C.strings(lines)))
+        counts = np.bincount(learned.row, minlength=len(lines))
         tags = (seed[tokens.kind] & toxic_doc).astype(np.int64)
+        features = learned.features()
         for _ in range(ROUNDS):
-            self.field.fit(kinds, rows, n, tokens.kind[use], counts, tags[use], EPOCHS)
-            p = self.field.marginals(tokens, len(texts))[:, 1]
+            self.field.fit(*features, len(learned.kinds), learned.kind, counts, tags[use], EPOCHS)
+            p = np.concatenate([self._tagged(texts[i : i + 100]) for i in range(0, len(texts), 100)])
             top = np.zeros(len(texts))
             np.maximum.at(top, tokens.row, p)
             tags = (toxic_doc & ((p > 0.5) | (p >= np.maximum(top[tokens.row], 0.2)))).astype(np.int64)
@@ -112,6 +116,9 @@ class Model:
             w += np.linalg.solve(h, x.T @ (y - q) - np.array([1e-3, 1e-1, 1e-1]) * w)
         self.curve = w
 
+    def _tagged(self, texts: list[str]) -> np.ndarray:
+        return self.field.marginals(crf.Tokens(*C.flat_bytes(C.strings(texts))), len(texts))[:, 1]
+
     def scores(self, p: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
         x = np.column_stack([np.ones(rows), _summary(p, row, rows)])
         return 1 / (1 + np.exp(-np.clip(x @ self.curve, -30, 30)))
