@@ -91,18 +91,29 @@ def test_filters_that_do_not_apply_are_ignored(spark, sf_dir):
 
 # ------------------------------------------------------------------- sinks
 def test_upsert_by_partition_is_idempotent_and_leaves_other_partitions(spark, folder):
-    import os
-
     old = spark.createDataFrame([(1, 2020, "a"), (2, 2020, "b"), (3, 2021, "c")], "id int, year int, v string")
-    path = f"{folder}/t"
-    old.write.partitionBy("year").parquet(path)
-    kept = sorted(os.listdir(f"{path}/year=2021"))
+    t = upsert.PartitionedTable(spark, f"{folder}/t", "year")
+    t.upsert(old, ["id"])
+    kept = t.folders()["2021"]
     new = spark.createDataFrame([(2, 2020, "B"), (4, 2020, "d")], "id int, year int, v string")
     for _ in range(2):
-        upsert.upsert_partitions(path, new, ["id"], "year")
-        got = {(r.id, r.v) for r in spark.read.schema(old.schema).parquet(path).collect()}
-        assert got == {(1, "a"), (2, "B"), (3, "c"), (4, "d")}
-    assert sorted(os.listdir(f"{path}/year=2021")) == kept
+        t.upsert(new, ["id"])
+        assert {(r.id, r.v) for r in t.read(old.schema).collect()} == {(1, "a"), (2, "B"), (3, "c"), (4, "d")}
+    assert t.folders()["2021"] == kept
+    plan = t.read(old.schema, [2020]).where(F.col("year").isin([2020]))._jdf.queryExecution().toString()
+    assert "year=2021" not in plan and "year#" in plan.split("PartitionFilters: [")[-1].split("]")[0]
+    t.vacuum()
+    assert t.read(old.schema).count() == 4
+
+
+def test_a_failing_write_leaves_the_table_as_it_was(spark, folder):
+    old = spark.createDataFrame([(1, 2020, "a")], "id int, year int, v string")
+    t = upsert.PartitionedTable(spark, f"{folder}/t", "year")
+    t.upsert(old, ["id"])
+    bad = old.withColumn("v", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        t.upsert(bad, ["id"])
+    assert t.read(old.schema).collect() == old.collect()
 
 
 def test_partial_upsert_keeps_observed_values(spark):

@@ -149,14 +149,33 @@ def as_of_state(vintages: DataFrame, as_of: DataFrame, keys: list[str] | None =
     return held.groupBy(*keys, "as_of", "ref_date").agg(F.max_by("value", "ordinal").alias("value"))
 
 
+LEVELS = 17  # dyadic blocks of 1 to 65,536 days: the calendar's bound
+
+
 def latest_state(vintages: DataFrame, as_of: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """(keys, as_of, ref_date, value): only the newest reference date of each as-of day's state."""
+    """(keys, as_of, ref_date, value): only the newest reference date of each as-of day's state.
+
+    An interval of days is covered by at most two blocks of each power of two, and a
+    day lies in one block of each. The newest vintage of a block is found first, so
+    the join is an equi-join of as many rows as vintages and days, times the levels;
+    days and vintages never meet pair by pair.
+    """
     keys = keys or []
-    top = F.max(F.struct("ref_date", "ordinal", "value")).alias("t")
-    return (
-        _held(vintages, as_of, keys).groupBy(*keys, "as_of").agg(top)
-        .select(*keys, "as_of", F.col("t.ref_date").alias("ref_date"), F.col("t.value").alias("value"))
+    ends = as_of.agg(F.min("as_of").alias("lo"), F.max("as_of").alias("hi"))
+    span = ends.select(F.struct("lo", "hi")).scalar()
+    top = F.struct("ref_date", "ordinal", "value")
+    v = vintages.where("realtime_start < realtime_end").select(
+        *keys, top.alias("_t"), F.unix_date(F.greatest("realtime_start", span["lo"])).alias("_a"),
+        F.unix_date(F.least("realtime_end", F.date_add(span["hi"], 1))).alias("_b"),
     )
+    v = v.withColumn("_l", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+    v = v.withColumns({"_a": F.expr("shiftright(_a + shiftleft(1, _l) - 1, _l)"), "_b": F.expr("shiftright(_b, _l)")}).where("_a < _b")
+    cover = F.array_compact(F.array(F.expr("IF(_a & 1 = 1, _a, NULL)"), F.expr("IF(_b & 1 = 1, _b - 1, NULL)")))
+    newest = v.select(*keys, "_l", "_t", F.explode(cover).alias("_k")).groupBy(*keys, "_l", "_k").agg(F.max("_t").alias("_t"))
+    days = as_of.select(*keys, "as_of").distinct().withColumn("_l", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+    days = days.withColumn("_k", F.expr("shiftright(unix_date(as_of), _l)"))
+    found = days.join(newest, [*keys, "_l", "_k"]).groupBy(*keys, "as_of").agg(F.max("_t").alias("t"))
+    return found.select(*keys, "as_of", F.col("t.ref_date").alias("ref_date"), F.col("t.value").alias("value"))
 
 
 def _held(vintages: DataFrame, as_of: DataFrame, keys: list[str]) -> DataFrame:

@@ -71,13 +71,19 @@ def sparse_pit(vintages: DataFrame, spine: DataFrame, timing: str = "pre_open")
 
 
 def sparse_current(observations: DataFrame, spine: DataFrame, timing: str, shift_days: int = 0) -> DataFrame:
-    """(series, date, value) of a current series; the later observation wins a shared session."""
+    """(series, date, value) of a current series; the later observation wins a shared session.
+
+    Of equal observation dates the later row wins, by the input's ``ordinal``; without
+    that column, the larger value.
+    """
+    tie = "ordinal" if "ordinal" in observations.columns else "value"
     x = observations.select(
-        "series", F.col("date").alias("obs"), scalar.strict_number(F.col("value").cast("string")).alias("value")
+        "series", F.col("date").alias("obs"), scalar.strict_number(F.col("value").cast("string")).alias("value"), F.col(tie).alias("_tie")
     ).where("value IS NOT NULL")
     x = x.withColumn("known", F.date_add("obs", shift_days))
     on = asof.map_to_session(x, spine, "known", timing).where("session IS NOT NULL")
-    return on.groupBy("series", F.col("session").alias("date")).agg(F.max_by("value", "obs").alias("value"))
+    last = F.max_by("value", F.struct("obs", "_tie"))
+    return on.groupBy("series", F.col("session").alias("date")).agg(last.alias("value"))
 
 
 def carried(sparse: DataFrame, spine: DataFrame) -> DataFrame:

@@ -35,11 +35,11 @@ def _(spark, sf):
 @query("k1_partition_upsert", UPSERTED, "close")
 def _(spark, sf):
     old, new = (x.withColumn("year", F.year("date")) for x in _old_new(spark, sf))
-    path = scratch_path(spark, "upsert")
-    old.write.partitionBy("year").parquet(path)
-    upsert.upsert_partitions(path, new, PK, "year")
-    upsert.upsert_partitions(path, new, PK, "year")  # a second run changes nothing
-    return spark.read.schema(new.schema).parquet(path).drop("year")
+    stored = upsert.PartitionedTable(spark, scratch_path(spark, "upsert"), "year")
+    stored.upsert(old, PK)
+    stored.upsert(new, PK)
+    stored.upsert(new, PK)  # a second run changes nothing
+    return stored.read(new.schema).drop("year")
 
 
 @query("k2_partial_upsert", """SELECT date, symbol, CASE WHEN symbol = 'FURNITURE' THEN close ELSE close END AS close,

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import re
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def merged(old: DataFrame, new: DataFrame, pk: list[str]) -> DataFrame:
@@ -33,21 +38,92 @@ def synced(old: DataFrame, new: DataFrame, pk: list[str], lo, hi, date: str = "d
     return merged(old.where(F.col(date).between(lo, hi)), new, pk)
 
 
-def upsert_partitions(path: str, new: DataFrame, pk: list[str], partition: str) -> None:
-    """Upsert into a table stored by ``partition``, rewriting only the partitions the new rows touch.
+class PartitionedTable:
+    """A Parquet table by partition value whose versions are switched, never overwritten.
 
-    The touched partitions are a semi-join filter on the stored table's partition
-    column; dynamic overwrite stages the new files before it replaces those
-    partitions and leaves the rest alone.  ``partition`` must follow from the key.
+    A version is a small file that lists the folder of each partition value. An upsert
+    writes the touched partitions to new folders and then the next list; readers take
+    the newest list, so a write that fails leaves the table as it was. Folders of
+    versions before the last are only removed by ``vacuum``.
     """
-    spark = new.sparkSession
-    touched = new.select(partition).distinct()
-    old = spark.read.schema(new.schema).parquet(path)
-    old = old.join(touched, partition, "left_semi").select(*new.columns)
-    (
-        merged(old, new, pk).repartition(partition).sortWithinPartitions(partition, *pk)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    )
+
+    def __init__(self, spark: SparkSession, path: str, partition: str):
+        self.spark, self.path, self.partition = spark, path.rstrip("/"), partition
+        jvm = spark.sparkContext._jvm
+        self._path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _versions(self) -> list[int]:
+        place = self._path(f"{self.path}/versions")
+        if not self._fs.exists(place):
+            return []
+        return sorted(int(f.getPath().getName()[1:-5]) for f in self._fs.listStatus(place) if re.fullmatch(r"v\d+\.json", f.getPath().getName()))
+
+    def folders(self) -> dict[str, str]:
+        """Folder of each partition value (as in the folder's name) in the current version."""
+        versions = self._versions()
+        if not versions:
+            return {}
+        text = self.spark.read.text(f"{self.path}/versions/v{versions[-1]}.json", wholetext=True).first()[0]
+        return json.loads(text)
+
+    def read(self, schema: StructType, values: list | None = None) -> DataFrame:
+        """The current rows; of some partition values only, if they are given."""
+        wanted = None if values is None else {_folder_name(v) for v in values}
+        places = [f"{self.path}/data/{run}/{self.partition}={v}" for v, run in sorted(self.folders().items()) if wanted is None or v in wanted]
+        if not places:
+            return self.spark.createDataFrame([], schema)
+        names = [f.name for f in schema.fields]
+        held = StructType([*schema.fields, StructField("write", StringType())])
+        return self.spark.read.schema(held).option("basePath", f"{self.path}/data").parquet(*places).select(*names)
+
+    def _commit(self, df: DataFrame, values: list, rows_per_file: int) -> None:
+        run = uuid.uuid4().hex
+        rest = [c for c in df.columns if c != self.partition]
+        spread = F.pmod(F.xxhash64(*rest), F.lit(max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))))
+        out = df.repartition(self.partition, spread).sortWithinPartitions(self.partition, *rest)
+        out.write.option("maxRecordsPerFile", rows_per_file).partitionBy(self.partition).parquet(f"{self.path}/data/write={run}")
+        now = self.folders() | {_folder_name(v): f"write={run}" for v in values}
+        versions = self._versions()
+        place = f"{self.path}/versions"
+        self._fs.mkdirs(self._path(place))
+        stage, final = self._path(f"{place}/.{run}"), self._path(f"{place}/v{(versions[-1] if versions else 0) + 1}.json")
+        stream = self._fs.create(stage, False)
+        stream.write(bytearray(json.dumps(now), "utf-8"))
+        stream.close()
+        if not self._fs.rename(stage, final):  # another writer was first
+            raise RuntimeError(f"{self.path} was changed by another write")
+
+    def upsert(self, new: DataFrame, pk: list[str], rows_per_file: int = 5_000_000) -> None:
+        """Upsert by key; only partitions that ``new`` touches are read and written.
+
+        The touched values come to the driver: as many as folders at most. They are an
+        ``isin`` filter on the stored side, so other partitions are not even listed.
+        Rows of a large partition value are spread over tasks. ``partition`` must
+        follow from the key.
+        """
+        values = [r[0] for r in new.select(self.partition).distinct().collect()]
+        if not values:
+            return
+        old = self.read(new.schema, values).where(F.col(self.partition).isin(values))
+        self._commit(merged(old, new, pk), values, rows_per_file)
+
+    def vacuum(self) -> None:
+        """Remove folders that the current version does not name, and the lists before it."""
+        kept = set(self.folders().values())
+        for f in self._fs.listStatus(self._path(f"{self.path}/data")):
+            if f.getPath().getName() not in kept:
+                self._fs.delete(f.getPath(), True)
+        for v in self._versions()[:-1]:
+            self._fs.delete(self._path(f"{self.path}/versions/v{v}.json"), False)
+
+
+def _folder_name(value) -> str:
+    """A partition value as Spark writes it in a folder's name (numbers, dates and plain words)."""
+    text = str(value)
+    if value is None or not re.fullmatch(r"[A-Za-z0-9._+ -]+", text):
+        raise ValueError(f"{value!r} can't be a partition value")
+    return text
 
 
 def replace(df: DataFrame, path: str, order: list[str] | None = None) -> None:
