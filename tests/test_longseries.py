@@ -21,7 +21,7 @@ def data(spark):
 
 @pytest.fixture(scope="module")
 def series(spark, data):
-    s = longseries.numbered(data[0], ["k"], "t", block_rows=100)
+    s = longseries.numbered(data[0], ["k"], "t", parts=30)
     assert s.block <= 100
     return s
 
@@ -58,7 +58,7 @@ def test_running_folds(series, data, fold):
 
 def test_expanding_rank_with_many_ties(spark, data):
     known = data[0].where("v IS NOT NULL")
-    s = longseries.numbered(known, ["k"], "t", block_rows=100)
+    s = longseries.numbered(known, ["k"], "t", parts=30)
     out = longseries.expanding_rank(longseries.Series(s.rows.withColumnRenamed("k", "key"), ["key"], s.block, s.parts), "v").collect()
     got = {(r.key, r.i): (r.k, r.n) for r in out}
     for k, rows in data[1].items():

@@ -58,23 +58,21 @@ def symbol_coverage(bars: DataFrame, spine: DataFrame, universe: DataFrame) -> D
     span = bars.groupBy("symbol").agg(
         F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count("*").alias("row_count")
     )
-    span = span.join(F.broadcast(universe.select("symbol", "asset_type")), "symbol")
+    span = span.join(universe.select("symbol", "asset_type"), "symbol")
     span = span.withColumn("_eve", F.date_sub("first_date", 1))
     span = sessions_between(span, spine, "_eve", "last_date", "eligible_sessions").drop("_eve")
     gaps = session_gaps(bars, spine)
-    holes = gaps.groupBy("symbol").agg(
-        F.sum(F.col("after") - F.col("before") - 1).cast("bigint").alias("missing"),
-        F.max(F.col("after") - F.col("before") - 1).cast("bigint").alias("run"),
-    )
-    # the first five come from at most the first five gaps, five sessions each
+    # one pass: the first five missing days come from at most the first five gaps, five sessions each
     rank = F.row_number().over(Window.partitionBy("symbol").orderBy("before"))
-    early = gaps.withColumn("_r", rank).where("_r <= 5").select(
-        "symbol", F.explode(F.sequence(F.col("before") + 1, F.least(F.col("before") + 5, F.col("after") - 1))).alias("i")
-    )
-    early = early.join(F.broadcast(session_index(spine)), "i").groupBy("symbol").agg(
-        F.slice(F.array_sort(F.collect_list(F.date_format("date", "yyyy-MM-dd"))), 1, 5).alias("sample")
+    size = F.col("after") - F.col("before") - 1
+    holes = gaps.withColumn("_r", rank).groupBy("symbol").agg(
+        F.sum(size).cast("bigint").alias("missing"), F.max(size).cast("bigint").alias("run"),
+        F.array_sort(F.collect_list(F.when(F.col("_r") <= 5, F.struct("before", "after")))).alias("_gaps"),
     )
-    x = span.join(holes, "symbol", "left").join(early, "symbol", "left")
+    days = spine.agg(F.sort_array(F.collect_list("date"))).scalar()  # calendar-bounded
+    places = F.flatten(F.transform("_gaps", lambda g: F.sequence(g["before"] + 1, F.least(g["before"] + 5, g["after"] - 1))))
+    sample = F.transform(F.slice(places, 1, 5), lambda i: F.date_format(F.get(F.col("_days"), i - 1), "yyyy-MM-dd"))
+    x = span.join(holes, "symbol", "left").withColumn("_days", days).withColumn("sample", sample)
     pct = F.round(F.lit(100.0) * F.col("row_count") / F.col("eligible_sessions"), 2)
     return x.select(
         "symbol", "asset_type", "first_date", "last_date", "row_count",
@@ -122,8 +120,8 @@ def duplicates(df: DataFrame, pk: list[str]) -> DataFrame:
 
 
 def checksum(df: DataFrame, name: str) -> DataFrame:
-    """(table, rows, close, adj_close): a cheap before/after comparison; sums are exact, so order cannot change them."""
-    exact = lambda c: F.sum(F.col(c).cast("decimal(28,8)")).alias(c)
+    """(table, rows, close, adj_close): a cheap before/after comparison; sums of twelve decimals are exact, so order cannot change them."""
+    exact = lambda c: F.sum(F.col(c).cast("decimal(38,12)")).alias(c)
     return df.agg(F.count("*").alias("rows"), exact("close"), exact("adj_close")).select(
         F.lit(name).alias("table"), "rows", "close", "adj_close"
     )

@@ -21,9 +21,6 @@ from pyspark.sql import functions as F
 from tidemark.operators.rank import earlier_not_above
 from tidemark.session import scratch_path
 
-BLOCK_ROWS = 1_000_000
-SMALL_ROWS = 1_000
-
 
 @dataclass(frozen=True)
 class Series:
@@ -46,23 +43,23 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, keys: list[str], order: str, block_rows: int = BLOCK_ROWS) -> Series:
-    """Number each key's rows in order, in groups no larger than a range partition.
+def numbered(df: DataFrame, keys: list[str], order: str, parts: int | None = None) -> Series:
+    """Number each key's rows in order: one range exchange into ``parts`` partitions (the session's number by default).
 
-    As many partitions as the session shuffles into, fewer on small data, more
-    once blocks would exceed ``block_rows``.
+    The rows are sorted within the partitions as they are written, so a row's number
+    is its place in its partition less that of the key's first row there, plus the
+    key's rows in earlier partitions; no row is exchanged again for it.
     """
-    n = df.count()
-    usual = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // SMALL_ROWS))
-    parts = max(1, usual, -(-n // block_rows))
-    x = _ranged(df, [*keys, order], parts, "ranged", "_part")
-    sizes = x.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*keys, order]
+    x = _written(df.repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), "ranged")
+    part = F.shiftright("_at", 33)
+    runs = x.groupBy(*keys, part.alias("_part")).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    here = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(order))
-    # the offsets are one row per (key, partition); rows and offsets share their partitioning
-    rows = x.withColumn("_here", here).join(offsets, [*keys, "_part"])
-    rows = rows.select(*df.columns, (F.col("_offset") + F.col("_here") - 1).alias("i"))
+    shifts = runs.select(*keys, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    # one row per key and partition that holds it
+    rows = x.withColumn("_part", part).join(shifts, [*keys, "_part"]).select(*df.columns, (F.col("_at") + F.col("_shift")).alias("i"))
+    n = x.count()  # of a written table: its footers
     return Series(_written(rows, "numbered"), keys, max(1, -(-n // parts)), parts)
 
 
@@ -122,16 +119,16 @@ def expanding_rank(s: Series, value: str) -> DataFrame:
     cells = x.groupBy(*keys, "_ib", "_vb").agg(F.count("*").alias("_c"))
     edges = cells.groupBy(*keys).agg(F.max("_ib").alias("ib"), F.min("_vb").alias("v0"), F.max("_vb").alias("v1"))
     grid = edges.select(*keys, F.explode(F.sequence(F.lit(0), "ib")).alias("_ib"), "v0", "v1")
+    grid = grid.repartition(*keys, "_ib")  # a key's squared number of cells is made by as many tasks as it has index blocks
     grid = grid.select(*keys, "_ib", F.explode(F.sequence("v0", "v1")).alias("_vb")).join(cells, [*keys, "_ib", "_vb"], "left")
     down = Window.partitionBy(*keys, "_vb").orderBy("_ib").rowsBetween(Window.unboundedPreceding, -1)
     grid = grid.withColumn("_above", F.coalesce(F.sum("_c").over(down), F.lit(0)))
     across = Window.partitionBy(*keys, "_ib").orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
     grid = grid.select(*keys, "_ib", "_vb", F.coalesce(F.sum("_above").over(across), F.lit(0)).alias("_a"))
 
-    b = earlier_not_above(x.select(*keys, "_ib", "i", "_v"), [*keys, "_ib"], ["i"], "_v", out="_bk")
+    x = earlier_not_above(x, [*keys, "_ib"], ["i"], "_v", out="_bk")
     # within a value block in (value, i) order: earlier rows of this or an earlier index block, less those of this one
-    c = earlier_not_above(x.select(*keys, "_vb", "_ib", "i", "_v"), [*keys, "_vb"], ["_v", "i"], "_ib", out="_ck")
+    x = earlier_not_above(x, [*keys, "_vb"], ["_v", "i"], "_ib", out="_ck")
     same = F.row_number().over(Window.partitionBy(*keys, "_vb", "_ib").orderBy("_v", "i")) - 1
-    c = c.select(*keys, "i", (F.col("_ck") - same).alias("_ck"))
-    joined = x.join(grid, [*keys, "_ib", "_vb"]).join(b.select(*keys, "i", "_bk"), [*keys, "i"]).join(c, [*keys, "i"])
-    return joined.select(*keys, "i", (F.col("_a") + F.col("_bk") + F.col("_ck") + 1).alias("k"), (F.col("i") + 1).alias("n"))
+    joined = x.withColumn("_same", same).join(grid, [*keys, "_ib", "_vb"])
+    return joined.select(*keys, "i", (F.col("_a") + F.col("_bk") + F.col("_ck") - F.col("_same") + 1).alias("k"), (F.col("i") + 1).alias("n"))

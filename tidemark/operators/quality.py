@@ -222,7 +222,7 @@ def regime_checks(reg: DataFrame, daily: DataFrame, universe: DataFrame) -> Data
     warmup["volatility_20d"] = schemas.VOL_WINDOW
     seen = F.count("volatility_20d").over(market.by_symbol())
     x = reg.withColumn("_seen", seen).join(
-        F.broadcast(universe.select("symbol", F.col("asset_type").alias("_type"))), "symbol", "left"
+        universe.select("symbol", F.col("asset_type").alias("_type")), "symbol", "left"
     )
     early = F.col("_seen") < schemas.VOL_MIN_OBSERVATIONS
     short = F.col("distance_200dma_pct").isNull() | F.col("distance_50dma_pct").isNull()

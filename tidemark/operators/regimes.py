@@ -51,8 +51,8 @@ def momentum_label(r20: Column, r60: Column) -> Column:
 
 
 def asset_types(df: DataFrame, universe: DataFrame) -> DataFrame:
-    """Add asset_type; a symbol outside the universe is an error.  The universe is a fixed short list."""
-    u = F.broadcast(universe.select(F.col("symbol").alias("_u"), "asset_type"))
+    """Add asset_type; a symbol outside the universe is an error."""
+    u = universe.select(F.col("symbol").alias("_u"), "asset_type")
     unknown = F.raise_error(F.concat(F.lit("unknown symbol "), F.col("symbol")))
     return df.join(u, F.col("symbol") == F.col("_u"), "left").withColumn(
         "asset_type", F.when(F.col("_u").isNull(), unknown.cast("string")).otherwise(F.col("asset_type"))
@@ -91,12 +91,16 @@ def trailing_fields(daily: DataFrame, universe: DataFrame, close_only: list[str]
 def asset_regimes(daily: DataFrame, universe: DataFrame, close_only: list[str]) -> DataFrame:
     """The asset_regimes table from daily bars with derived fields.
 
-    The window pass over the panel is needed twice (once for the ranks), so a
-    large panel should be read from a written table rather than a long lineage.
+    The trailing fields are needed twice (once for the ranks): write them where the
+    panel is large, and take ``labelled``.
     """
-    x = trailing_fields(daily, universe, close_only)
-    labels = volatility_regime(x.select("symbol", "date", "volatility_20d"))
-    return x.join(labels, ["symbol", "date"], "left")
+    return labelled(trailing_fields(daily, universe, close_only))
+
+
+def labelled(trailing: DataFrame) -> DataFrame:
+    """Trailing fields with the expanding volatility label."""
+    labels = volatility_regime(trailing.select("symbol", "date", "volatility_20d"))
+    return trailing.join(labels, ["symbol", "date"], "left")
 
 
 def full_sample_tercile(df: DataFrame, value: str, out: str) -> DataFrame:

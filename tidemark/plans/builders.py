@@ -27,8 +27,12 @@ def market_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def asset_regimes(spark: SparkSession, sf: str) -> DataFrame:
-    daily = table(spark, sf, "daily_market_data")
-    return schemas.conform(regimes.asset_regimes(daily, r.universe(spark), r.CLOSE_ONLY), "asset_regimes")
+    trailing = stored(spark, sf, "trailing_fields", _trailing)  # the window pass is read twice
+    return schemas.conform(regimes.labelled(trailing), "asset_regimes")
+
+
+def _trailing(spark: SparkSession, sf: str) -> DataFrame:
+    return regimes.trailing_fields(table(spark, sf, "daily_market_data"), r.universe(spark), r.CLOSE_ONLY)
 
 
 def macro_levels(spark: SparkSession, sf: str) -> DataFrame:

@@ -92,10 +92,10 @@ def build_all_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count("*").alias("volume"),
         )
     )
-    return _adjust(raw)
+    return adjusted(raw)
 
 
-def _adjust(raw: DataFrame) -> DataFrame:
+def adjusted(raw: DataFrame) -> DataFrame:
     full = ~F.col("symbol").isin(CLOSE_ONLY)
     split = F.col("symbol") == SPLIT_SYMBOL
     late = F.col("date") >= F.lit(SPLIT_DATE).cast("date")

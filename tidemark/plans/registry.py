@@ -43,4 +43,4 @@ def query(name: str, statement: str | None = None, doubles: str = ""):
 
 
 def load() -> None:
-    from tidemark.plans import suite_alignment, suite_browse, suite_market, suite_quality, suite_series, suite_sources, suite_writes  # noqa: F401
+    from tidemark.plans import suite_alignment, suite_browse, suite_market, suite_quality, suite_series, suite_sources, suite_suppliers, suite_writes  # noqa: F401

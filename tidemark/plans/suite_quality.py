@@ -56,12 +56,15 @@ def _(spark, sf):
     return coverage.longest_run(gone, ["symbol"], "i")
 
 
-@query("h1_gap_findings", f"""SELECT CASE WHEN symbol = 'HOUSEHOLD' THEN 'INFO' WHEN max_consecutive_missing >= 10 THEN 'ERROR'
+H1 = f"""SELECT CASE WHEN symbol = 'HOUSEHOLD' THEN 'INFO' WHEN max_consecutive_missing >= 10 THEN 'ERROR'
     WHEN max_consecutive_missing >= 5 THEN 'WARNING' WHEN internal_missing_sessions <= 3 THEN 'INFO' ELSE 'WARNING' END AS severity,
   CASE WHEN symbol = 'HOUSEHOLD' THEN 'WTI_PROVIDER_GAP' ELSE 'MARKET_INTERNAL_GAP' END AS code, 'daily_market_data.' || symbol AS dataset,
   symbol || ' missing ' || CAST(internal_missing_sessions AS VARCHAR) || ' sessions in active span (' || CAST(first_date AS VARCHAR) || '..'
     || CAST(last_date AS VARCHAR) || '); max consecutive=' || CAST(max_consecutive_missing AS VARCHAR) AS message
-FROM ({A2}) WHERE internal_missing_sessions > 0""")
+FROM ({A2}) WHERE internal_missing_sessions > 0"""
+
+
+@query("h1_gap_findings", H1)
 def _(spark, sf):
     c = coverage.symbol_coverage(tbl(spark, sf, "daily_market_data"), tbl(spark, sf, "trading_days"), r.universe(spark))
     return health.gap_findings(c, r.CLOSE_ONLY)
@@ -114,8 +117,8 @@ def _(spark, sf):
     return coverage.diagnostics(b.tables(spark, sf))
 
 
-@query("a10_checksums", """SELECT 'daily_market_data' AS "table", count(*) AS rows, CAST(sum(CAST(close AS DECIMAL(28, 8))) AS DOUBLE) AS close,
-  CAST(sum(CAST(adj_close AS DECIMAL(28, 8))) AS DOUBLE) AS adj_close FROM bars""")
+@query("a10_checksums", """SELECT 'daily_market_data' AS "table", count(*) AS rows, CAST(sum(CAST(close AS DECIMAL(38, 12))) AS DOUBLE) AS close,
+  CAST(sum(CAST(adj_close AS DECIMAL(38, 12))) AS DOUBLE) AS adj_close FROM bars""")
 def _(spark, sf):
     c = coverage.checksum(tbl(spark, sf, "daily_market_data"), "daily_market_data")
     return c.select("table", "rows", F.col("close").cast("double").alias("close"), F.col("adj_close").cast("double").alias("adj_close"))
