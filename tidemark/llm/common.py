@@ -138,16 +138,16 @@ def powers(n: int, base: int = BYTE_BASE) -> tuple[np.ndarray, np.ndarray]:
     return _powers(1 << max(10, int(n).bit_length()), base)
 
 
-def prefix_hash(values: np.ndarray) -> np.ndarray:
+def prefix_hash(values: np.ndarray, base: int = BYTE_BASE) -> np.ndarray:
     """Running polynomial sums: ``stretch_hash`` takes the hash of any stretch out of them."""
-    up, _ = powers(len(values) + 1)
+    up, _ = powers(len(values) + 1, base)
     out = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], dtype=np.uint64, out=out[1:])
     return out
 
 
-def stretch_hash(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, down = powers(len(prefix))
+def stretch_hash(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int = BYTE_BASE) -> np.ndarray:
+    _, down = powers(len(prefix), base)
     return mixed((prefix[end] - prefix[begin]) * down[begin])
 
 

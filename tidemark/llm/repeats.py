@@ -25,7 +25,7 @@ LENGTH = 200
 GRAM = 100
 REACH = LENGTH - GRAM
 #: Surroundings of one gram that a task puts in suffix order, and the bytes it puts in order at a time.
-CROWD = 2000
+CROWD = 8000
 SORTED_BYTES = 2 << 20
 #: Repeated grams that are sent to all tasks (32 MB) to drop others early; more of them are joined instead.
 SENT = 4 << 20
@@ -57,12 +57,13 @@ class Anchors:
         w = REACH + 1
         if n < w:
             return
-        end = bounds[1:][np.searchsorted(bounds[1:], np.arange(len(flat)), side="right")]
-        at = np.arange(n)
-        v = C.stretch_hash(prefix, at, at + GRAM)
-        v[at + GRAM > end[:n]] = np.uint64(C.MASK)
+        end = np.repeat(bounds[1:], np.diff(bounds))
+        _, down = C.powers(len(prefix))
+        v = C.mixed((prefix[GRAM:] - prefix[:-GRAM]) * down[:n])
+        left = end - np.arange(len(flat))
+        v[left[:n] < GRAM] = np.uint64(C.MASK)
         low = _sliding(np.minimum, v, w, np.uint64(C.MASK))
-        low[np.arange(len(low)) + LENGTH > end[: len(low)]] = 0
+        low[left[: len(low)] < LENGTH] = 0
         padded = np.zeros(n + w - 1, np.uint64)
         padded[w - 1 : w - 1 + len(low)] = low
         sel = np.flatnonzero((v == _sliding(np.maximum, padded, w, np.uint64(0))) & (v != np.uint64(C.MASK)))
@@ -213,17 +214,22 @@ def _order(batches):
 
 
 def _strings(batches):
-    """Hashes of all LENGTH-byte strings around the grams of a crowd."""
+    """Hashes (128 bits) of all LENGTH-byte strings around the grams of a crowd."""
     for batch in batches:
-        for gram, around, least, node, pos, left, raw in zip(*(batch.column(c).to_pylist() for c in ("gram", "around", "least", "node", "pos", "left", "bytes")), strict=True):
-            n = max(len(raw) - LENGTH + 1, 0)
-            flat = np.frombuffer(raw, np.uint8)
-            at = np.arange(n)
-            h = C.stretch_hash(C.prefix_hash(flat), at, at + LENGTH)
-            h2 = [int.from_bytes(hashlib.blake2b(raw[i : i + LENGTH], digest_size=8).digest(), "little", signed=True) for i in range(n)]
+        for k in range(0, batch.num_rows, 1000):
+            rows = batch.slice(k, 1000)
+            texts = rows.column("bytes").to_pylist()
+            size = np.array([len(t) for t in texts])
+            n = np.maximum(size - LENGTH + 1, 0)
+            which = np.repeat(np.arange(len(texts)), n)
+            offset = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+            at = (np.cumsum(size) - size)[which] + offset
+            flat = np.frombuffer(b"".join(texts), np.uint8)
+            h, h2 = (C.stretch_hash(C.prefix_hash(flat, base), at, at + LENGTH, base) for base in (C.BYTE_BASE, C.WORD_BASE))
+            pos, left = rows.column("pos").to_numpy(), rows.column("left").to_numpy()
+            kept = rows.select(["gram", "around", "least", "node"]).take(pa.array(which))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([gram] * n, pa.int64()), pa.array([around] * n, pa.int64()), pa.array([least] * n, batch.column("least").type), pa.array([node] * n, pa.binary()),
-                 pa.array(at + pos - left, pa.int32()), pa.array(at - left, pa.int32()), pa.array(h.view(np.int64)), pa.array(h2, pa.int64())],
+                [*kept.columns, pa.array(pos[which] - left[which] + offset, pa.int32()), pa.array(offset - left[which], pa.int32()), pa.array(h.view(np.int64)), pa.array(h2.view(np.int64))],
                 ["gram", "around", "least", "node", "start", "offset", "h", "h2"],
             )
 
