@@ -30,32 +30,25 @@ class Spec:
     event_type_filter: bool = False
 
 
-def _spec(key: str, sortable: str, symbol: bool = False, **kw) -> Spec:
+def _spec(key: str, sortable: list[str], symbol: bool = False, **kw) -> Spec:
     date = schemas.DATE_COLUMN[key]
-    return Spec(key, date, "symbol" if symbol else None, (date, "asc"), frozenset(sortable.split()), **kw)
+    return Spec(key, date, "symbol" if symbol else None, (date, "asc"), frozenset(sortable), **kw)
 
 
 # What may be sorted and filtered.
 REGISTRY = {
     s.key: s
     for s in (
-        _spec("trading_days", "date year month weekday"),
-        _spec("daily_market_data", "date symbol close adj_close volume", symbol=True),
-        _spec("market_outcomes", "date symbol return_1d return_5d return_20d", symbol=True),
-        _spec("asset_regimes", "date symbol trend_regime momentum_regime volatility_regime", symbol=True),
-        _spec("macro_conditions", "date inflation_rate unemployment_rate fed_funds_rate"),
-        _spec(
-            "scheduled_events", "event_date event_id event_type symbol reference_period", symbol=True,
-            event_type_filter=True,
-        ),
-        _spec(
-            "calendar_context", "date",
-            boolean_filters=frozenset(
-                "is_day_before_holiday is_day_after_holiday is_shortened_trading_day is_fomc_day is_cpi_release_day "
-                "is_employment_situation_day is_election_day is_turn_of_month is_quarter_transition "
-                "is_year_transition".split()
-            ),
-        ),
+        _spec("trading_days", ["date", "year", "month", "weekday"]),
+        _spec("daily_market_data", ["date", "symbol", "close", "adj_close", "volume"], symbol=True),
+        _spec("market_outcomes", ["date", "symbol", "return_1d", "return_5d", "return_20d"], symbol=True),
+        _spec("asset_regimes", ["date", "symbol", "trend_regime", "momentum_regime", "volatility_regime"], symbol=True),
+        _spec("macro_conditions", ["date", "inflation_rate", "unemployment_rate", "fed_funds_rate"]),
+        _spec("scheduled_events", ["event_date", "event_id", "event_type", "symbol", "reference_period"], symbol=True, event_type_filter=True),
+        _spec("calendar_context", ["date"], boolean_filters=frozenset([
+            "is_day_before_holiday", "is_day_after_holiday", "is_shortened_trading_day", "is_fomc_day", "is_cpi_release_day",
+            "is_employment_situation_day", "is_election_day", "is_turn_of_month", "is_quarter_transition", "is_year_transition",
+        ])),
     )
 }
 
@@ -160,12 +153,18 @@ def page_after(df: DataFrame, key: str, last: dict, size: int = DEFAULT_PAGE_SIZ
 
 def export(
     df: DataFrame, key: str, filters: Filters | None = None, sort: str | None = None, direction: str = "asc",
-    max_rows: int = EXPORT_ROWS,
+    max_rows: int | None = EXPORT_ROWS,
 ) -> DataFrame:
-    """The capped, ordered export."""
+    """The ordered export, each row with the filtered set's ``total_count``.
+
+    The default cap is the feature's own; the total tells whether it cut. None exports all.
+    """
     spec = spec_of(key)
     column, way = resolve_sort(spec, sort, direction)
-    return filtered(df, spec, filters or Filters()).orderBy(*sort_keys(spec, column, way)).limit(max_rows)
+    hits = filtered(df, spec, filters or Filters())
+    rows = hits.orderBy(*sort_keys(spec, column, way))
+    rows = rows if max_rows is None else rows.limit(max_rows)
+    return rows.select("*", hits.agg(F.count("*")).scalar().alias("total_count"))
 
 
 def rows_on(df: DataFrame, key: str, day: Column, symbol: str | None = None, limit: int | None = None) -> DataFrame:

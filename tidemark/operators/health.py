@@ -32,6 +32,7 @@ def gap_findings(coverage: DataFrame, close_only: list[str]) -> DataFrame:
         F.when(closed, "INFO").when(run >= GAP_ERROR, "ERROR").when(run >= GAP_WARNING, "WARNING")
         .when(total <= GAP_INFO_TOTAL, "INFO").otherwise("WARNING")
     )
+    # The wording of the message.
     message = F.concat(
         F.col("symbol"), F.lit(" missing "), total.cast("string"), F.lit(" sessions in active span ("),
         F.date_format("first_date", "yyyy-MM-dd"), F.lit(".."), F.date_format("last_date", "yyyy-MM-dd"),

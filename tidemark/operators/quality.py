@@ -208,6 +208,7 @@ def drawdown_mismatch(reg: DataFrame, daily: DataFrame, tolerance: float = 1e-9)
     return found(x.where((a.isNull() != b.isNull()) | (F.abs(a - b) > tolerance)), "regimes_drawdown", _bar_key())
 
 
+# Fixed values.
 VOCAB = {
     "trend_regime": ["uptrend", "downtrend", "neutral"],
     "momentum_regime": ["positive", "negative", "mixed"],
@@ -326,6 +327,7 @@ def release_honesty(m: DataFrame, releases: DataFrame, cut: Column) -> DataFrame
 
 
 # ------------------------------------------------------------------ events
+# Fixed values.
 SESSIONS = ["pre_open", "during_session", "after_close", "unknown"]
 
 

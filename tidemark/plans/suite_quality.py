@@ -214,6 +214,16 @@ def _(spark, sf):
     return health.report(t, r.universe(spark), r.CLOSE_ONLY, quality.database_checks(t, r.universe(spark), r.CLOSE_ONLY))
 
 
+@query("h3_report_parts", f"""SELECT 'tables' AS part, "table" AS name, row_count AS n FROM ({A1}) UNION ALL SELECT 'symbols', symbol, row_count FROM ({A2})
+UNION ALL SELECT 'gaps', symbol, internal_missing_sessions FROM ({A2})""")
+def _(spark, sf):
+    t = b.tables(spark, sf)
+    doc = health.report(t, r.universe(spark), r.CLOSE_ONLY, quality.database_checks(t, r.universe(spark), r.CLOSE_ONLY))
+    cells = lambda part, name, n: doc.select(F.explode(F.from_json(F.get_json_object("report", f"$.{part}"), f"array<struct<{name}:string,{n}:bigint>>")).alias("c")).select(
+        F.lit(part).alias("part"), F.col(f"c.{name}").alias("name"), F.col(f"c.{n}").alias("n"))
+    return quality.union([cells("tables", "table", "row_count"), cells("symbols", "symbol", "row_count"), cells("symbols", "symbol", "internal_missing_sessions").withColumn("part", F.lit("gaps"))])
+
+
 @query("h4_coverage_snapshot", f"""SELECT 'table' AS part, "table" AS name, row_count AS n FROM ({A1})
 UNION ALL SELECT 'symbol', symbol, row_count FROM ({A2}) UNION ALL SELECT 'freshness', dataset, lag_sessions FROM ({H2}) AS h
 UNION ALL SELECT 'gap', symbol, internal_missing_sessions FROM ({A2}) WHERE internal_missing_sessions > 0""")
