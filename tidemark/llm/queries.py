@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import context_tree, decontamination, language_id, order_minhash, product_quantisation, repeats, sentence_pieces, sharding, token_files, toxicity
+from tidemark.llm import context_tree, decontamination, language_id, order_minhash, product_quantisation, repeats, sentence_pieces, sharding, statements, token_files, toxicity
 from tidemark.llm.common import documents, ship
 
 
@@ -57,4 +57,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_token_files, op3_sharding, op4_language_id, op5_sentence_pieces, op6_context_tree, op7_product_quantisation, op8_toxicity, op9_repeats, op10_order_minhash)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_decontamination": statements.DECONTAMINATION, "op7_product_quantisation": statements.NEAR_VECTORS}
