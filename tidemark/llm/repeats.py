@@ -150,19 +150,31 @@ def _ranks(flat: np.ndarray) -> np.ndarray:
     return rank
 
 
+def _starts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number of starts of LENGTH-byte strings in each text; of every start its text, offset and place end to end."""
+    size = np.array([len(t) for t in texts], np.int64)
+    n = np.maximum(size - LENGTH + 1, 0)
+    which = np.repeat(np.arange(len(texts)), n)
+    offset = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+    return n, which, offset, (np.cumsum(size) - size)[which] + offset
+
+
+def _twice(texts: list[bytes], group: np.ndarray) -> np.ndarray:
+    """Texts with a string whose hash occurs twice in the group: only these can share a string."""
+    _, which, _, at = _starts(texts)
+    h = C.stretch_hash(C.prefix_hash(np.frombuffer(b"".join(texts), np.uint8)), at, at + LENGTH)
+    _, same, n = np.unique(C.mixed(h + group[which].astype(np.uint64) * np.uint64(C.WORD_BASE)), return_inverse=True, return_counts=True)
+    return np.bincount(which, n[same] > 1, len(texts)) > 0
+
+
 def longest_factors(texts: list[bytes], group: np.ndarray, place: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For every start in every text: whether LENGTH bytes from it also start elsewhere in its group, and earlier.
 
     ``place`` names the starts: equal places within a group are one and the same, and earlier ones are smaller.
     """
-    size = np.array([len(t) for t in texts])
-    first = np.cumsum(size) - size
-    starts = np.maximum(size - LENGTH + 1, 0)
-    which = np.repeat(np.arange(len(texts)), starts)
-    offset = np.arange(len(which)) - np.repeat(np.cumsum(starts) - starts, starts)
+    starts, which, offset, at = _starts(texts)
     where = np.concatenate([p[:s] for p, s in zip(place, starts.tolist(), strict=True)]) if len(texts) else np.zeros(0, np.int64)
     rank = _ranks(np.frombuffer(b"".join(texts), np.uint8))
-    at = first[which] + offset
     head, tail = rank[at], rank[at + LENGTH - 128]
     order = np.lexsort((where, tail, head, group[which]))
     g, h, t, p = group[which][order], head[order], tail[order], where[order]
@@ -194,11 +206,13 @@ def _order(batches):
     held, held_bytes = [], 0
 
     def flush(rows):
+        group = np.cumsum([i == 0 or rows[i][0] != rows[i - 1][0] for i in range(len(rows))])
+        some = np.flatnonzero(_twice([r[5] for r in rows], group)).tolist()
+        rows, group = [rows[i] for i in some], group[some]
         texts = [r[5] for r in rows]
-        new = np.array([i == 0 or rows[i][0] != rows[i - 1][0] for i in range(len(rows))])
         doc = np.cumsum([i == 0 or rows[i][0] != rows[i - 1][0] or rows[i][2] != rows[i - 1][2] for i in range(len(rows))]).astype(np.int64)
         place = [(int(d) << 32) + r[3] - r[4] + np.arange(len(r[5])) for d, r in zip(doc, rows, strict=True)]
-        anywhere, earlier = longest_factors(texts, np.cumsum(new), place)
+        anywhere, earlier = longest_factors(texts, group, place) if rows else ([], [])
         cols = [[r[0] for r in rows], [r[1] for r in rows], [_runs(x, -r[4]) for x, r in zip(anywhere, rows, strict=True)], [_runs(x, -r[4]) for x, r in zip(earlier, rows, strict=True)]]
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], SPAN_ARROW), pa.array(cols[3], SPAN_ARROW)], ["gram", "around", "anywhere", "earlier"])
 
@@ -219,11 +233,7 @@ def _strings(batches):
         for k in range(0, batch.num_rows, 1000):
             rows = batch.slice(k, 1000)
             texts = rows.column("bytes").to_pylist()
-            size = np.array([len(t) for t in texts])
-            n = np.maximum(size - LENGTH + 1, 0)
-            which = np.repeat(np.arange(len(texts)), n)
-            offset = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-            at = (np.cumsum(size) - size)[which] + offset
+            _, which, offset, at = _starts(texts)
             flat = np.frombuffer(b"".join(texts), np.uint8)
             h, h2 = (C.stretch_hash(C.prefix_hash(flat, base), at, at + LENGTH, base) for base in (C.BYTE_BASE, C.WORD_BASE))
             pos, left = rows.column("pos").to_numpy(), rows.column("left").to_numpy()
