@@ -24,6 +24,7 @@ HEADLINES = [
     "b7_calendar_context", "a2_symbol_coverage", "h1_gap_findings", "h2_freshness", "v13_whole_gate", "a11_block_digest",
     "a12_database_digest", "q3_page", "j4_as_of_state", "w4_drawdown_on_ticks", "w15_moving_average_on_ticks",
     "w19_expanding_rank_on_ticks", "s8_artifact_scan", "j19_snapshot_verification", "k1_partition_upsert",
+    "b2_daily_by_supplier", "b3_outcomes_by_supplier", "b4_regimes_by_supplier", "a2_coverage_by_supplier", "q3_page_by_supplier",
 ]
 
 

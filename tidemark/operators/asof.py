@@ -114,6 +114,18 @@ def neighbours(df: DataFrame, spine: DataFrame, day: str) -> DataFrame:
     )
 
 
+def neighbour_rows(df: DataFrame, sessions: DataFrame, day: str) -> DataFrame:
+    """Add the whole rows of the sessions before and after any date, as structs ``previous`` and ``next``.
+
+    ``sessions`` is the session table: one row a session, so the calendar bounds what is broadcast.
+    """
+    out = neighbours(df, sessions.select("date"), day)
+    for side, name in (("prev_session", "previous"), ("next_session", "next")):
+        rows = sessions.select(F.col("date").alias("_at"), F.struct(*sessions.columns).alias(name))
+        out = out.join(F.broadcast(rows), F.col(side) == F.col("_at"), "left").drop("_at")
+    return out
+
+
 def sessions_between(df: DataFrame, spine: DataFrame, after: str, through: str, out: str = "lag_sessions") -> DataFrame:
     """Sessions in (after, through]; 0 where after >= through, NULL where either is NULL."""
     m = calendar_map(spine).select("day", "i")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators.asof import neighbours
+from tidemark.operators.asof import neighbour_rows
 
 DEFAULT_PAGE_SIZE = 100
 MAX_PAGE_SIZE = 500
@@ -193,7 +193,7 @@ def inspect_day(tables: dict[str, DataFrame], day: Column, universe: DataFrame,
     """
     spine = tables["trading_days"]
     one = spine.sparkSession.range(1).select(day.alias("calendar_date"))
-    one = neighbours(one, spine, "calendar_date")
+    one = neighbour_rows(one, spine, "calendar_date")
     is_session = spine.where(F.col("date") == day).agg(F.count("*") > 0).scalar()
 
     def gathered(name: str, only_sessions: bool = True, sym: str | None = None) -> Column:
@@ -208,6 +208,7 @@ def inspect_day(tables: dict[str, DataFrame], day: Column, universe: DataFrame,
     no_session = F.when(~is_session, "no session on this calendar date")
     return one.select(
         "calendar_date", is_session.alias("is_trading_day"), "prev_session", "next_session",
+        F.to_json("previous").alias("prev_trading_day"), F.to_json("next").alias("next_trading_day"),
         gathered("trading_days").alias("trading_day"),
         gathered("calendar_context").alias("calendar_context"),
         gathered("scheduled_events", only_sessions=False).alias("scheduled_events"),
@@ -215,5 +216,8 @@ def inspect_day(tables: dict[str, DataFrame], day: Column, universe: DataFrame,
         gathered("daily_market_data", sym=symbol).alias("daily_market_data"),
         gathered("market_outcomes", sym=symbol).alias("market_outcomes"),
         gathered("asset_regimes", sym=symbol).alias("asset_regimes"),
-        F.array_compact(F.array(unknown, no_session)).alias("messages"),
+        F.array_compact(F.array(
+            unknown, no_session, F.when(F.col("prev_session").isNull(), "no session before this date"),
+            F.when(F.col("next_session").isNull(), "no session after this date"),
+        )).alias("messages"),
     )

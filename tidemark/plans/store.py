@@ -13,12 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_path
 
-_WRITTEN: dict[tuple[str, str, str], tuple[str, object]] = {}
+_WRITTEN: dict[tuple[str, str, str, tuple], tuple[str, object]] = {}
+
+
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, lengths and times of what lies in an input folder, so that changed input is built anew."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(place)))
 
 
 def stored(spark: SparkSession, sf: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     """The named table of an input folder, written on first use in this application."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    key = (spark.sparkContext.applicationId, sf, name, _state(spark, sf))
     if key not in _WRITTEN:
         path = scratch_path(spark, name)
         df = build(spark, sf)

@@ -114,6 +114,16 @@ def _(spark, sf):
     return asof.neighbours(_ship_days(spark, sf), r.spine(spark, sf), "day")
 
 
+@query("j12_neighbour_rows", f"""SELECT day, p.date AS prev_session, p.weekday AS prev_weekday, p.trading_day_of_year AS prev_day_of_year, p.is_month_end AS prev_month_end,
+  n.date AS next_session, n.weekday AS next_weekday, n.trading_day_of_year AS next_day_of_year, n.is_month_end AS next_month_end
+FROM (SELECT day, (SELECT max(date) FROM spine WHERE date < day) AS a, (SELECT min(date) FROM spine WHERE date > day) AS b FROM {SHIP})
+LEFT JOIN trading_days p ON p.date = a LEFT JOIN trading_days n ON n.date = b""")
+def _(spark, sf):
+    x = asof.neighbour_rows(_ship_days(spark, sf), b.table(spark, sf, "trading_days"), "day")
+    part = lambda s, n: [F.col(f"{s}.date").alias(f"{n}_session"), F.col(f"{s}.weekday").alias(f"{n}_weekday"), F.col(f"{s}.trading_day_of_year").alias(f"{n}_day_of_year"), F.col(f"{s}.is_month_end").alias(f"{n}_month_end")]
+    return x.select("day", *part("previous", "prev"), *part("next", "next"))
+
+
 @query("w24_sessions_between", f"""SELECT day, CAST(day + 11 AS DATE) AS through,
   (SELECT count(*) FROM spine WHERE date > day AND date <= day + 11) AS lag_sessions FROM {SHIP}""")
 def _(spark, sf):

@@ -101,13 +101,19 @@ def _(spark, sf):
 @query("j13_inspect_day", f"""SELECT calendar_date, calendar_date IN (SELECT date FROM spine) AS is_trading_day,
   (SELECT max(date) FROM spine WHERE date < calendar_date) AS prev_session, (SELECT min(date) FROM spine WHERE date > calendar_date) AS next_session,
   (SELECT count(*) FROM bars WHERE date = calendar_date) AS bars, (SELECT count(*) FROM scheduled_events WHERE event_date = calendar_date) AS events,
-  CAST(0 AS INTEGER) AS messages FROM (SELECT {LAST} AS calendar_date)""")
+  (SELECT string_agg(symbol, ',' ORDER BY symbol) FROM bars WHERE date = calendar_date) AS symbols, (SELECT CAST(sum(volume) AS BIGINT) FROM bars WHERE date = calendar_date) AS volume,
+  (SELECT string_agg(event_id, ',' ORDER BY event_id) FROM scheduled_events WHERE event_date = calendar_date) AS event_ids,
+  (SELECT weekday FROM trading_days WHERE date = (SELECT max(date) FROM spine WHERE date < calendar_date)) AS prev_weekday,
+  CAST(CASE WHEN EXISTS (SELECT 1 FROM spine WHERE date > calendar_date) THEN 0 ELSE 1 END AS INTEGER) AS messages FROM (SELECT {LAST} AS calendar_date)""")
 def _(spark, sf):
     day = browse.inspect_day(b.tables(spark, sf), last_day(spark, sf), r.universe(spark))
     n = lambda c: F.json_array_length(c).cast("bigint")
+    bars = F.from_json("daily_market_data", "array<struct<symbol:string,volume:bigint>>")
     return day.select(
         "calendar_date", "is_trading_day", "prev_session", "next_session", n("daily_market_data").alias("bars"),
-        n("scheduled_events").alias("events"), F.size("messages").alias("messages"),
+        n("scheduled_events").alias("events"), F.array_join(bars["symbol"], ",").alias("symbols"), F.aggregate(bars["volume"], F.lit(0).cast("bigint"), lambda a, v: a + F.coalesce(v, F.lit(0))).alias("volume"),
+        F.nullif(F.array_join(F.from_json("scheduled_events", "array<struct<event_id:string>>")["event_id"], ","), F.lit("")).alias("event_ids"),
+        F.get_json_object("prev_trading_day", "$.weekday").cast("int").alias("prev_weekday"), F.size("messages").alias("messages"),
     )
 
 
