@@ -48,9 +48,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path below the shared folder, deleted when the application ends."""
-    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return path
+    """A fresh, never reused path in the application's scratch folder, which goes when the application ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        root = os.path.join(shared_folder(spark), f"tidemark-{app}")
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(place)
+        fs.deleteOnExit(place)
+        _SCRATCH[app] = root
+    return os.path.join(_SCRATCH[app], f"{name}-{uuid.uuid4().hex}")
