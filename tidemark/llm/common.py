@@ -5,7 +5,6 @@ from __future__ import annotations
 import functools
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -51,12 +50,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the application ends."""
-    path = f"{scratch_path(spark, name)}-{uuid.uuid4().hex[:6]}"
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return path
+    """A new path in the application's scratch folder."""
+    return scratch_path(spark, name)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
