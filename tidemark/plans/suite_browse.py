@@ -101,7 +101,7 @@ def _(spark, sf):
 @query("j13_inspect_day", f"""SELECT calendar_date, calendar_date IN (SELECT date FROM spine) AS is_trading_day,
   (SELECT max(date) FROM spine WHERE date < calendar_date) AS prev_session, (SELECT min(date) FROM spine WHERE date > calendar_date) AS next_session,
   (SELECT count(*) FROM bars WHERE date = calendar_date) AS bars, (SELECT count(*) FROM scheduled_events WHERE event_date = calendar_date) AS events,
-  (SELECT string_agg(symbol, ',' ORDER BY symbol) FROM bars WHERE date = calendar_date) AS symbols, (SELECT CAST(sum(volume) AS BIGINT) FROM bars WHERE date = calendar_date) AS volume,
+  (SELECT string_agg(symbol, ',' ORDER BY symbol) FROM bars WHERE date = calendar_date) AS symbols, (SELECT coalesce(CAST(sum(volume) AS BIGINT), 0) FROM bars WHERE date = calendar_date) AS volume,
   (SELECT string_agg(event_id, ',' ORDER BY event_id) FROM scheduled_events WHERE event_date = calendar_date) AS event_ids,
   (SELECT weekday FROM trading_days WHERE date = (SELECT max(date) FROM spine WHERE date < calendar_date)) AS prev_weekday,
   CAST(CASE WHEN EXISTS (SELECT 1 FROM spine WHERE date > calendar_date) THEN 0 ELSE 1 END AS INTEGER) AS messages FROM (SELECT {LAST} AS calendar_date)""")
