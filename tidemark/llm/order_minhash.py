@@ -25,6 +25,8 @@ SHINGLE = 5
 #: and none of 20 with probability below 1e-6.
 SKETCHES, MINIMA = 20, 3
 SIMILAR = 0.8
+#: Documents of a bucket that its others are aligned with in a later round.
+CENTRES = 8
 
 
 def _shingles(words: Words, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +169,7 @@ def labels(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     """(node, label) of every text (by its digest) with a verified link: the least node of its component.
 
     Rounds: every bucket aligns its members with its least one; members that are not in the same component by then stay,
-    and their least one is next. Pairs of one component are never aligned. The rounds end when none finds a link.
+    and some of them are next. Pairs of one component are never aligned. The rounds end when none finds a link.
     """
     narrow = docs.select(F.col("text").cast("string").alias("text"))
     member = C.stored(
@@ -176,7 +178,10 @@ def labels(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     texts = found = tried = None
     near = member.sparkSession.createDataFrame([], "node binary, label binary")
     while True:
-        centres = member.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1").select("bucket", "centre")
+        # One centre at first; later, when few members are left, several at once, so that chains take few rounds.
+        picks = [F.min("node")] + [F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(1, 1 if tried is None else CENTRES)]
+        elected = member.groupBy("bucket").agg(F.array_distinct(F.array(*picks)).alias("c"), F.count("*").alias("n")).filter("n > 1")
+        centres = elected.select("bucket", F.explode("c").alias("centre"))
         held = member.join(centres, "bucket").filter("node <> centre")
         pairs = held.select("node", "centre").distinct()
         if tried is not None:
@@ -198,7 +203,9 @@ def labels(docs: DataFrame, sketched: DataFrame) -> DataFrame:
         found = new if found is None else found.union(new)
         tried = scored.select("node", "centre") if tried is None else tried.union(scored.select("node", "centre"))
         near = components(found)
-        member = C.stored(_apart(held, near).select("node", "bucket"), "buckets")
+        joined = held.join(_apart(held.select("node", "centre").distinct(), near).select("node", "centre", F.lit(True).alias("apart")), ["node", "centre"], "left")
+        rest = joined.groupBy("bucket", "node").agg(F.bool_and(F.coalesce("apart", F.lit(False))).alias("apart")).filter("apart").select("bucket", "node")
+        member = C.stored(rest.join(centres.withColumnRenamed("centre", "node"), ["bucket", "node"], "left_anti"), "buckets")
 
 
 def _apart(pairs: DataFrame, near: DataFrame) -> DataFrame:
