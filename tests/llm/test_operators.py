@@ -571,6 +571,46 @@ def test_near_copies_of_a_large_group(spark):
     assert all(got[i] == 0 for i in range(120)) and all(got[500 + i] == 500 + i for i in range(40))
 
 
+def in_one_bucket(spark, texts):
+    """Classes of texts that share one sketch and no other."""
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    sketched = spark.createDataFrame([(order_minhash._node(t), [1]) for t in texts], "node binary, sketches array<long>")
+    label = {bytes(r.node): bytes(r.label) for r in order_minhash.labels(docs, sketched).collect()}
+    return [label.get(order_minhash._node(t), order_minhash._node(t)) for t in texts]
+
+
+def versions(n, edits, seed, size=300):
+    """Texts each of which has ``edits`` words of the one before replaced, end to end."""
+    text = [f"w{seed}x{i}" for i in range(size)]
+    out = []
+    for k in range(n):
+        for e in range(edits):
+            text[(k * edits + e) % size] = f"v{seed}x{k}x{e}"
+        out.append(" ".join(text))
+    return out
+
+
+def similar(a, b):
+    return order_minhash.aligned(order_minhash.shingles_of(a), order_minhash.shingles_of(b)) >= order_minhash.SIMILAR
+
+
+def test_near_copies_chain_through_a_linked_member(spark):
+    for seed in range(100):
+        c, y, z = versions(3, 25, seed)
+        if order_minhash._node(c) == min(map(order_minhash._node, (c, y, z))):
+            break
+    assert similar(c, y) and similar(y, z) and not similar(c, z)
+    assert len(set(in_one_bucket(spark, [c, y, z]))) == 1
+    # a large chain of versions in a bucket, beside one of its own words, over several blocks
+    chain, other = versions(60, 25, 101, 1500), versions(40, 12, 102)
+    for block in (order_minhash.BLOCK, 16):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(order_minhash, "BLOCK", block)
+            m.setattr(order_minhash, "FIRST", 2)
+            got = in_one_bucket(spark, chain + other)
+        assert got == [min(map(order_minhash._node, chain))] * 60 + [min(map(order_minhash._node, other))] * 40
+
+
 def test_near_copies_odd_rows(odd):
     got = [(r.doc_id, r.class_id, r.kept) for r in order_minhash.classes(odd).collect()]
     assert len(got) == odd.count()

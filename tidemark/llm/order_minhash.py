@@ -2,8 +2,9 @@
 
 A document is the sequence of its five-word shingles, each labelled with its occurrence. Every sketch takes the
 ``MINIMA`` least shingles under one hash function and keeps them in text order, so that equal sketches speak for equal
-order too. Documents with a sketch in common are candidates; each is aligned with one document of its bucket, and
-buckets whose documents stay unlinked try their next document until no new link is found. Equal texts count once.
+order too. Documents with a sketch in common are candidates; each is aligned with one document of its bucket, and then
+all pairs of a bucket that are still in different components are, unless their lengths or the histograms of their
+shingles prove them unlike. Equal texts count once.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
@@ -25,6 +26,10 @@ SHINGLE = 5
 #: and none of 20 with probability below 1e-6.
 SKETCHES, MINIMA = 20, 3
 SIMILAR = 0.8
+#: Bins of a text's histogram of shingles, members of a bucket that meet in one task, and pairs of a component in the first round.
+BINS = 128
+BLOCK = 1024
+FIRST = 16
 
 
 def _shingles(words: Words, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,48 +168,127 @@ def _verify(batches):
             yield pa.RecordBatch.from_arrays([part.column("node"), part.column("centre"), pa.array(score, pa.float64())], ["node", "centre", "similarity"])
 
 
+def _histogram(batches):
+    """Of every text its number of shingles and an upper bound of their counts by ``BINS`` hashes, as bytes times 2**shift."""
+    for batch in batches:
+        for part in C.slices(batch, "text", 4 << 20):
+            n = part.num_rows
+            row, h = _shingles(Words(*C.flat_bytes(part.column("text"))), n)
+            counts = np.bincount(row * BINS + (h % np.uint64(BINS)).astype(np.int64), minlength=n * BINS).reshape(n, BINS)
+            shift = np.zeros(n, np.int64)
+            while (over := counts > 255 << shift[:, None]).any():
+                shift += over.any(axis=1)
+            told = (counts + (1 << shift[:, None]) - 1 >> shift[:, None]).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("node"), pa.array(np.bincount(row, minlength=n), pa.int64()), pa.array(shift.astype(np.int32)), pa.array([t.tobytes() for t in told], pa.binary())], ["node", "size", "shift", "bins"]
+            )
+
+
+def _possible(table: pa.Table) -> pa.Table:
+    """Pairs of a bucket, from two components, that their lengths and histograms allow to be similar, with the bound."""
+    table = table.sort_by([("bucket", "ascending"), ("low", "ascending"), ("high", "ascending"), ("node", "ascending")])
+    node, label = (table.column(c).combine_chunks().dictionary_encode().indices.to_numpy() for c in ("node", "label"))
+    bucket, low, high, mine, size = (table.column(c).to_numpy() for c in ("bucket", "low", "high", "mine", "size"))
+    bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+    scale = table.column("shift").to_numpy().astype(np.int64)
+    left, right, bound = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    n, d = len(node), 1
+    i = np.arange(n - 1)
+    while len(i := i[i + d < n]):
+        j = i + d
+        same = (bucket[i] == bucket[j]) & (low[i] == low[j]) & (high[i] == high[j])
+        i, j = i[same], j[same]  # who has no neighbour at this distance has none farther away
+        ok = (label[i] != label[j]) & ((low[i] == high[i]) | (mine[i] != mine[j])) & (np.minimum(size[i], size[j]) >= SIMILAR * np.maximum(size[i], size[j]) - 1e-9)
+        for a in range(0, len(some := np.flatnonzero(ok)), 8192):
+            x, y = i[some[a : a + 8192]], j[some[a : a + 8192]]
+            plain = (scale[x] == 0) & (scale[y] == 0)
+            shared = np.minimum(bins[x], bins[y]).sum(axis=1, dtype=np.int64)
+            if not plain.all():
+                u, v = x[~plain], y[~plain]
+                shared[~plain] = np.minimum(bins[u].astype(np.int64) << scale[u][:, None], bins[v].astype(np.int64) << scale[v][:, None]).sum(axis=1)
+            total = size[x] + size[y]
+            near = shared >= SIMILAR * total / (1 + SIMILAR) - 1e-9
+            left.append(x[near])
+            right.append(y[near])
+            bound.append((shared / total)[near])
+        d += 1
+    x, y, most = np.concatenate(left), np.concatenate(right), np.concatenate(bound)
+    _, once = np.unique(node[x].astype(np.int64) * n + node[y], return_index=True)
+    names = table.column("node").combine_chunks()
+    return pa.table([names.take(pa.array(y[once])), names.take(pa.array(x[once])), pa.array(most[once])], ["node", "centre", "bound"])
+
+
+def _scored(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    both = pairs.select("node", "centre").join(texts, "node").join(texts.select(F.col("node").alias("centre"), F.col("text").alias("centre_text")), "centre")
+    return C.stored(both.select("node", "centre", "text", "centre_text").mapInArrow(_verify, "node binary, centre binary, similarity double"), "scored")
+
+
+def _links(scored: DataFrame) -> DataFrame:
+    return scored.filter(F.col("similarity") >= SIMILAR).select(F.col("centre").alias("a"), F.col("node").alias("b"))
+
+
 def labels(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     """(node, label) of every text (by its digest) with a verified link: the least node of its component.
 
-    Rounds: every bucket aligns its members with its least one; members that are not in the same component by then stay,
-    and their least one is next. Pairs of one component are never aligned. The rounds end when none finds a link.
+    First every bucket aligns its members with its least one. Then all other pairs of a bucket that lie in different
+    components and may be similar by length and histogram are listed, and aligned in rounds, the likeliest of each
+    component first and more of them in every round, until no pair of two components is left. So a pair with a sketch in
+    common is aligned, in one component, or proved to be below ``SIMILAR``.
     """
     narrow = docs.select(F.col("text").cast("string").alias("text"))
     member = C.stored(
         sketched.filter("node is not null").select("node", "sketches").dropDuplicates(["node"]).select("node", F.explode(F.array_distinct("sketches")).alias("bucket")), "buckets"
     )
-    texts = found = tried = None
     near = member.sparkSession.createDataFrame([], "node binary, label binary")
-    while True:
-        centres = member.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1").select("bucket", "centre")
-        held = member.join(centres, "bucket").filter("node <> centre")
-        pairs = held.select("node", "centre").distinct()
-        if tried is not None:
-            held = C.stored(held, "held")
-            pairs = held.select("node", "centre").distinct().join(tried, ["node", "centre"], "left_anti")
-            pairs = _apart(pairs, near).select("node", "centre")
-        pairs = C.stored(pairs, "pairs")
-        if pairs.isEmpty():
-            return near
-        if texts is None:
-            wanted = pairs.select("node").union(pairs.select("centre")).distinct()
-            # Documents that are in no bucket with another never move; later rounds stay within these texts.
-            texts = C.stored(narrow.mapInArrow(_once, "node binary, text string").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
-        both = pairs.join(texts, "node").join(texts.select(F.col("node").alias("centre"), F.col("text").alias("centre_text")), "centre")
-        scored = C.stored(both.select("node", "centre", "text", "centre_text").mapInArrow(_verify, "node binary, centre binary, similarity double"), "scored")
-        new = scored.filter(F.col("similarity") >= SIMILAR).select(F.col("centre").alias("a"), F.col("node").alias("b"))
-        if new.isEmpty():
-            return near
-        found = new if found is None else found.union(new)
-        tried = scored.select("node", "centre") if tried is None else tried.union(scored.select("node", "centre"))
+    centres = member.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1").select("bucket", "centre")
+    pairs = C.stored(member.join(centres, "bucket").filter("node <> centre").select("node", "centre").distinct(), "pairs")
+    if pairs.isEmpty():
+        return near
+    # Documents that are in no bucket with another never move; later rounds stay within these texts.
+    wanted = pairs.select("node").union(pairs.select("centre")).distinct()
+    texts = C.stored(narrow.mapInArrow(_once, "node binary, text string").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    scored = _scored(pairs, texts)
+    found = _links(scored)
+    if not found.isEmpty():
         near = components(found)
-        member = C.stored(_apart(held, near).select("node", "bucket"), "buckets")
+    left = _untried(member, near, texts, scored)
+    many = FIRST
+    while left is not None and not left.isEmpty():
+        order = Window.partitionBy(F.greatest("label", "centre_label")).orderBy(F.desc("bound"), "node", "centre")
+        # row_number below a limit keeps that many rows of each component in every task before the exchange
+        some = C.stored(left.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= many).select("node", "centre"), "pairs")
+        scored = _scored(some, texts)
+        new = _links(scored)
+        if not new.isEmpty():
+            found = found.union(new)
+            near = components(found)
+        left = C.stored(_apart(left.select("node", "centre", "bound").join(some, ["node", "centre"], "left_anti"), near), "left")
+        many *= FIRST
+    return near
+
+
+def _untried(member: DataFrame, near: DataFrame, texts: DataFrame, scored: DataFrame) -> DataFrame | None:
+    """Pairs of a bucket in two components that may be similar and aren't in ``scored``."""
+    named = member.join(near, "node", "left").select("node", "bucket", F.coalesce("label", "node").alias("label"))
+    mixed = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most")).filter("n > 2 and least <> most")
+    held = C.stored(named.join(mixed.select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")), "bucket"), "held")
+    rows = held.agg(F.sum("blocks")).first()[0]
+    if not rows:
+        return None
+    bins = texts.join(held.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(_histogram, "node binary, size long, shift int, bins binary")
+    # Members are dealt to blocks, and every block of a bucket meets every other; chunks are sets of such meetings.
+    dealt = held.withColumn("mine", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("node", "label", "bucket", "mine", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
+    dealt = dealt.join(bins, "node").withColumn("chunk", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(rows // (4 * BLOCK) + 1)))
+    met = dealt.groupBy("chunk").applyInArrow(_possible, "node binary, centre binary, bound double")
+    return C.stored(_apart(met.distinct().join(scored.select("node", "centre"), ["node", "centre"], "left_anti"), near), "left")
 
 
 def _apart(pairs: DataFrame, near: DataFrame) -> DataFrame:
-    """Pairs of nodes that are not in one component."""
+    """Pairs of nodes that are not in one component, with the components' labels."""
     known = pairs.join(near.select("node", "label"), "node", "left").join(near.select(F.col("node").alias("centre"), F.col("label").alias("centre_label")), "centre", "left")
-    return known.filter(~F.coalesce(F.col("label") == F.col("centre_label"), F.lit(False)))
+    known = known.withColumns({"label": F.coalesce("label", "node"), "centre_label": F.coalesce("centre_label", "centre")})
+    return known.filter("label <> centre_label")
 
 
 def classes(docs: DataFrame) -> DataFrame:
