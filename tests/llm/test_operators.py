@@ -611,6 +611,23 @@ def test_near_copies_chain_through_a_linked_member(spark):
         assert got == [min(map(order_minhash._node, chain))] * 60 + [min(map(order_minhash._node, other))] * 40
 
 
+def test_near_copies_behind_unlike_centres(spark):
+    """A template of 60 % in all texts; the least digests of the bucket are unlike all others, and near pairs hide behind them."""
+    shared = versions(1, 0, 200, 180)[0]
+    alone = sorted((shared + " " + versions(1, 0, 300 + i, 120)[0] for i in range(120)), key=order_minhash._node)
+    pairs = []
+    for i in range(1000):
+        a, b = (shared + " " + v for v in versions(2, 10, 2000 + i, 120))
+        if min(order_minhash._node(a), order_minhash._node(b)) > order_minhash._node(alone[59]):
+            pairs.append((a, b))
+        if len(pairs) == 10:
+            break
+    assert not similar(alone[0], alone[1]) and not similar(alone[0], pairs[0][0]) and all(similar(a, b) for a, b in pairs)
+    got = in_one_bucket(spark, alone + [a for a, _ in pairs] + [b for _, b in pairs])
+    assert got[:120] == [order_minhash._node(t) for t in alone]
+    assert got[120:] == 2 * [min(map(order_minhash._node, p)) for p in pairs]
+
+
 def test_near_copies_odd_rows(odd):
     got = [(r.doc_id, r.class_id, r.kept) for r in order_minhash.classes(odd).collect()]
     assert len(got) == odd.count()
