@@ -1,10 +1,11 @@
-"""Removal of long repeated byte strings by suffix order and longest-previous-factor arrays.
+"""Removal of long repeated byte strings by the order of their fixed-length strings.
 
 A string of ``LENGTH`` bytes that occurs twice has the same anchors in both places: the least hash of a ``GRAM``-byte
 string within it. Anchors whose gram occurs once in the corpus are dropped; the bytes around the others (all that a
-string holding the anchor can reach) are compared by hash, and where they differ within one gram they are put in suffix
-order. In suffix order cut at ``LENGTH`` bytes, with ties in text order, the previous smaller position that shares
-``LENGTH`` bytes is the neighbour before: that is the longest-previous-factor array, and its mirror the next one.
+string holding the anchor can reach) are compared by hash, and where they differ within one gram their strings of
+``LENGTH`` bytes are put in order by two ranks of 128 bytes. Of each run of equal strings the least and the greatest
+place tell which have an earlier or a later copy. Longest-previous-factor arrays would tell more than is asked: that a
+factor has at least ``LENGTH`` bytes is the equality of strings of that length, so they are not computed.
 Grams with more than ``CROWD`` different surroundings are decided by counting the hashes of their strings instead, which
 spreads them over all tasks.
 """
