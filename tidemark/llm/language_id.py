@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from tidemark.llm import common as C
 from tidemark.llm import crf
 
-#: Bounds of the sample that the field is fitted on: documents of a language, languages, words of a document.
+#: Bounds of the sample that the field is fitted on: documents of a language, languages that may have so many (with more
+#: languages each has fewer), words of a document.
 SAMPLE = 150
 LANGUAGES = 64
 WORDS = 240
@@ -64,10 +65,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(F.col("lang").cast("string").alias("lang"), "text", "doc_id")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "h")
     # row_number below a limit keeps that many rows of each language in every task before the exchange
-    chosen = known.select("lang", "doc_id", F.xxhash64("text").alias("h")).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample).select("lang", "doc_id", "h")
-    langs = [r.lang for r in chosen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    rows = known.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen.filter(F.col("lang").isin(langs) if langs else F.lit(False)).distinct()), ["lang", "doc_id", "h"]).dropDuplicates(["lang", "doc_id", "h"]).orderBy("lang", "doc_id", "h").limit(sample * LANGUAGES).collect()
-    return Model(sorted(langs), [r.text for r in rows], [sorted(langs).index(r.lang) for r in rows])
+    chosen = known.select("lang", "doc_id", F.xxhash64("text").alias("h")).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample)
+    langs = [r.lang for r in chosen.select("lang").distinct().collect()]
+    share = min(sample, max(1, sample * LANGUAGES // max(1, len(langs))))
+    rows = known.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen.filter(F.col("n") <= share).select("lang", "doc_id", "h").distinct()), ["lang", "doc_id", "h"]).dropDuplicates(["lang", "doc_id", "h"]).orderBy("lang", "doc_id", "h").collect()
+    number = {x: i for i, x in enumerate(sorted(langs))}
+    return Model(sorted(langs), [r.text for r in rows], [number[r.lang] for r in rows])
 
 
 def _label(model, others: list[str], spans: bool):
@@ -118,7 +121,13 @@ def label(docs: DataFrame, model: Model, spans: bool = True) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
-    """The documents whose language is known and holds at least the share ``least`` of the text."""
+    """The documents whose language is known and holds at least the share ``least`` of the text.
+
+    With few languages chance alone gives a text more than that, so the share is also at least a fifteenth of the way
+    from chance to certainty; for four languages both are 0.3.
+    """
+    chance = 1 / max(1, len(model.languages))
+    least = max(least, chance + (1 - chance) / 15)
     found = label(docs, model, spans=False)
     kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return kept.select(*[C.quoted(c) for c in docs.columns if c not in RESULTS.names])
