@@ -1,9 +1,10 @@
 """Cases in which operators once did less than the whole job."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
-from tidemark.llm import language_id
+from tidemark.llm import context_tree, language_id
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -25,3 +26,11 @@ def test_unknown_text_is_rejected_with_two_languages(spark):
     asked = docs.limit(4).union(spark.createDataFrame([(99, "\u6f22\u5b57 \u6f22\u5b57", None)], docs.schema))
     assert 99 not in {r.doc_id for r in language_id.keep_known(asked, language_id.fit(docs)).collect()}
     assert language_id.keep_known(docs, language_id.fit(docs)).count() == 20
+
+
+def test_context_tree_gives_the_same_figures_by_both_ways(spark):
+    docs = spark.createDataFrame([(d, f"some words {d} " * (d + 1) + "and others") for d in range(40)], "doc_id long, text string")
+    a, b = ({r.doc_id: r for r in context_tree.score(docs, F.col("doc_id") % 3 != 1, sent=n).collect()} for n in (context_tree.SENT, 0))
+    assert a.keys() == b.keys()
+    for d, r in a.items():
+        assert r.score == pytest.approx(b[d].score, rel=1e-12) and r.bits_per_byte == pytest.approx(b[d].bits_per_byte, rel=1e-12)

@@ -200,7 +200,7 @@ def score(docs: DataFrame, train: Column, sent: int = SENT) -> DataFrame:
     known = words.filter("n > 1 or (n = 1 and held)").select("key", "n")
     schema = f"doc_id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     if max(lengths.count(), known.count()) <= sent:
-        tables = spark.sparkContext.broadcast((_table(lengths, "log_p", np.float32), (*_table(known, "n", np.int32), learned)))
+        tables = spark.sparkContext.broadcast((_table(lengths, "log_p", np.float64), (*_table(known, "n", np.int32), learned)))
 
         def run(batch):
             texts = batch.column("text").to_pylist()
