@@ -285,7 +285,7 @@ def find_runs(docs: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([*batch.columns, *_slice(batch.column(at))], names)
 
-    return C.mapped(src, C.over_slices(run, f"c{at}"), T.StructType([*src.schema.fields, *found]))
+    return C.mapped(src, C.over_slices(run, "text"), T.StructType([*src.schema.fields, *found]))
 
 
 def with_planted(docs: DataFrame) -> DataFrame:
