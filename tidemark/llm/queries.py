@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import context_tree, decontamination, language_id, merkle, order_minhash, periodic, product_quantisation, repeats, sentence_pieces, sharding, statements, token_files, toxicity
+from tidemark.llm import context_tree, decontamination, language_id, merkle, order_minhash, periodic, product_quantisation, quality, repeats, sentence_pieces, sharding, statements, token_files, toxicity
 from tidemark.llm.common import documents, ship
 
 
@@ -61,8 +61,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op13_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digests(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_token_files, op3_sharding, op4_language_id, op5_sentence_pieces, op6_context_tree, op7_product_quantisation, op8_toxicity, op9_repeats, op10_order_minhash, op11_merkle, op12_periodic_runs)
+    f.__name__: f for f in (op1_decontamination, op2_token_files, op3_sharding, op4_language_id, op5_sentence_pieces, op6_context_tree, op7_product_quantisation, op8_toxicity, op9_repeats, op10_order_minhash, op11_merkle, op12_periodic_runs, op13_robust_outliers)
 }
 
 ORACLES: dict[str, str] = {"op1_decontamination": statements.DECONTAMINATION, "op7_product_quantisation": statements.NEAR_VECTORS, "op11_merkle": statements.MERKLE}
