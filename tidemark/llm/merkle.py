@@ -26,7 +26,9 @@ from tidemark.llm import common as C
 
 FANOUT = 16
 #: Leaves in a block, as a power of two: a block's proofs are written out in one task.
-BLOCK_BITS = 12
+BLOCK_BITS = 10
+#: Proofs verified at a time: each is a few thousand bytes.
+VERIFIED = 1024
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 #: The tree over the sources; trees of sources are called '' (null) or '+' and the source.
 TOP = "#"
@@ -235,7 +237,7 @@ def verified(proved: DataFrame) -> DataFrame:
     names = proved.columns
 
     def run(batches):
-        for b in batches:
+        for b in (batch.slice(k, VERIFIED) for batch in batches for k in range(0, batch.num_rows, VERIFIED)):
             cols = [b.column(names.index(c)).to_pylist() for c in ("shown", "proof", "slots", "widths")]
             yield pa.RecordBatch.from_arrays([*b.columns, C.strings([fold(*x) for x in zip(*cols, strict=True)])], [*names, "folded_root"])
 
