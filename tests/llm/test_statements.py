@@ -36,4 +36,4 @@ def test_pipeline_is_registered(spark):
     import __spark_entry__ as e
 
     assert [n for n, _ in corpus_pipeline.STAGES] and "pipeline" in e.queries() and "pipeline" not in e.oracle_sql()
-    assert {f"op{n}_" for n in range(1, 11)} == {f"{q.split('_')[0]}_" for q in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {f"{q.split('_')[0]}_" for q in queries.QUERIES}

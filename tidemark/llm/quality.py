@@ -82,7 +82,9 @@ def statistics(docs: DataFrame) -> DataFrame:
     # a window covers three words, less those that the next one begins with
     covered = F.expr("aggregate(zip_with(_q_at, slice(_q_at, 2, size(_q_at)), (x, y) -> coalesce(least(y - x, 3), 3)), 0, (s, v) -> s + v)")
     x = x.select(*held, covered.alias("n_repeat_words"))
-    return x.select(*held[:-4], *[F.col(c).cast("long").alias(c) for c in STATISTICS], ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"))
+    # a generator, so that a filter on the statistics isn't moved below the expressions, where it would repeat them
+    x = x.select(*held[:-4], F.inline(F.array(F.struct(*[F.col(c).cast("long").alias(c) for c in STATISTICS]))))
+    return x.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
 def coordinates() -> list[Column]:
@@ -245,10 +247,11 @@ def fit(stats: DataFrame) -> Model:
 def judge(stats: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame:
     """The documents with ``distance`` (null where the base rules failed or no estimate is there) and ``kept``."""
     keep = C.without(stats, ["distance", "kept"])
-    placed = stats.select(*map(C.quoted, keep), *_keys(), *[F.when(~F.col("base_failed"), c).alias(x) for c, x in zip(coordinates(), X, strict=True)])
+    # the documents' columns travel in one, away from the names used here
+    placed = stats.select(F.struct(*map(C.quoted, keep)).alias("_q_held"), "base_failed", *_keys(), *[F.when(~F.col("base_failed"), c).alias(x) for c, x in zip(coordinates(), X, strict=True)])
     x = _distanced(_beside(placed, model.estimates, KEYS, "left"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True))
-    return x.select(*map(C.quoted, keep), F.sqrt("d2").alias("distance"), kept.alias("kept"))
+    return x.select("_q_held.*", F.sqrt("d2").alias("distance"), kept.alias("kept"))
 
 
 def digests(docs: DataFrame) -> DataFrame:
