@@ -70,3 +70,15 @@ def test_expanding_rank_with_many_ties(spark, data):
 def test_unknown_fold(series):
     with pytest.raises(ValueError):
         longseries.running(series, "v", "min", "x")
+
+
+@pytest.mark.parametrize("n,parts", [(900, 40), (300, 280), (1, 3), (0, 2)])
+def test_expanding_rank_over_levels(spark, n, parts):
+    """More blocks than a node has children, blocks of one row, equal values and nulls across blocks."""
+    pick = random.Random(n)
+    values = {1: [pick.choice([None, *range(20)]) for _ in range(n)], 2: [pick.random() for _ in range(min(n, 50))]}
+    rows = [(s, i, None if v is None else float(v)) for s, vs in values.items() for i, v in enumerate(vs)]
+    s = longseries.numbered(spark.createDataFrame(rows, "s int, o int, v double"), ["s"], "o", parts)
+    got = sorted((r.s, r.i, r.k, r.n) for r in longseries.expanding_rank(s, "v").collect())
+    want = [(s, i, sum(w is not None and w <= v for w in vs[: i + 1]), i + 1) for s, vs in values.items() for i, v in enumerate(vs) if v is not None]
+    assert got == sorted(want)

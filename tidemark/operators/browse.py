@@ -99,13 +99,9 @@ def resolve_sort(spec: Spec, column: str | None, direction: str) -> tuple[str, s
     return column, way
 
 
-def sort_keys(spec: Spec, column: str, way: str) -> list[Column]:
-    """Sort column, its tie-break, then the rest of the primary key, so pages never overlap.
-
-    NULLs sort last ascending and first descending.
-    """
-    keys = [F.asc_nulls_last(column) if way == "asc" else F.desc_nulls_first(column)]
-    used = [column]
+def sort_columns(spec: Spec, column: str, way: str) -> list[tuple[str, bool]]:
+    """(column, ascending): the sort column, its tie-break, then the rest of the primary key, so pages never overlap."""
+    out = [(column, way == "asc")]
     ties: list[str] = []
     if spec.symbol_column:
         if column == spec.date_column:
@@ -113,10 +109,14 @@ def sort_keys(spec: Spec, column: str, way: str) -> list[Column]:
         elif column != "symbol":
             ties.append(spec.date_column)
     for c in [*ties, *schemas.PRIMARY_KEYS[spec.key]]:
-        if c not in used:
-            keys.append(F.asc_nulls_last(c))
-            used.append(c)
-    return keys
+        if c not in [used for used, _ in out]:
+            out.append((c, True))
+    return out
+
+
+def sort_keys(spec: Spec, column: str, way: str) -> list[Column]:
+    """The order of ``sort_columns``: NULLs sort last ascending and first descending."""
+    return [F.asc_nulls_last(c) if up else F.desc_nulls_first(c) for c, up in sort_columns(spec, column, way)]
 
 
 def clamp_page_size(size: int) -> int:
@@ -131,7 +131,7 @@ def page(
 ) -> DataFrame:
     """One page, each row with the filtered set's ``total_count``.
 
-    The order is a top-k over (page x size) rows, never a full sort.
+    The order is a top-k over (page x size) rows, never a full sort; for deep pages see ``pages``.
     """
     spec = spec_of(key)
     size = clamp_page_size(size)

@@ -6,7 +6,7 @@ one task.  Here rows are put in range partitions of (key, order), which splits
 a hot key over as many partitions as its rows need, and written once; each
 partition is a block.  Everything then works on bounded groups of (key, block):
 block summaries carry what earlier blocks contribute, and rows near a block's
-edge are copied to the neighbour that needs them.  Results are the same as one
+edge are copied to the neighbour that needs them; expanding ranks climb a merge tree over the blocks.  Results are the same as one
 window over the whole key.  (key, order) must be unique.
 """
 
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.rank import earlier_not_above
+from tidemark.operators.rank import BITS, earlier_not_above
 from tidemark.session import scratch_path
 
 
@@ -106,29 +106,34 @@ def running(s: Series, value: str, fold: str, out: str) -> DataFrame:
 def expanding_rank(s: Series, value: str) -> DataFrame:
     """(keys, i, k, n): among the key's first n = i + 1 rows, how many values are <= the current one.
 
-    Rows lie on a grid of index blocks by value blocks.  Earlier rows not above
-    the current one are (a) whole cells of earlier index blocks and lower value
-    blocks, summed over the grid; (b) rows of the same index block; (c) rows of
-    the same value block in earlier index blocks.  (b) and (c) are counted in
-    groups of one block.  The grid has (blocks of the key) squared cells.
+    A merge tree over the index blocks: blocks are the leaves, and every node has 16 children. Earlier rows not above
+    the current one lie in its own block, where they are counted at once, or, on exactly one level, in an earlier child
+    of a node that both are in. A level puts the rows of each node in order of value: one range exchange deals them out
+    evenly however large the node is, every partition counts its rows by child, and what the node's earlier
+    partitions hold is added from one row a node and partition. So n rows are moved for each of log16(blocks) levels.
     """
     keys = s.keys
-    rows = s.rows.select(*keys, "i", F.col(value).alias("_v")).where("_v IS NOT NULL")
-    x = _ranged(rows, [*keys, "_v", "i"], s.parts, "ranked", "_vb").withColumn("_ib", F.expr(f"i div {s.block}"))
-
-    cells = x.groupBy(*keys, "_ib", "_vb").agg(F.count("*").alias("_c"))
-    edges = cells.groupBy(*keys).agg(F.max("_ib").alias("ib"), F.min("_vb").alias("v0"), F.max("_vb").alias("v1"))
-    grid = edges.select(*keys, F.explode(F.sequence(F.lit(0), "ib")).alias("_ib"), "v0", "v1")
-    grid = grid.repartition(*keys, "_ib")  # a key's squared number of cells is made by as many tasks as it has index blocks
-    grid = grid.select(*keys, "_ib", F.explode(F.sequence("v0", "v1")).alias("_vb")).join(cells, [*keys, "_ib", "_vb"], "left")
-    down = Window.partitionBy(*keys, "_vb").orderBy("_ib").rowsBetween(Window.unboundedPreceding, -1)
-    grid = grid.withColumn("_above", F.coalesce(F.sum("_c").over(down), F.lit(0)))
-    across = Window.partitionBy(*keys, "_ib").orderBy("_vb").rowsBetween(Window.unboundedPreceding, -1)
-    grid = grid.select(*keys, "_ib", "_vb", F.coalesce(F.sum("_above").over(across), F.lit(0)).alias("_a"))
-
-    x = earlier_not_above(x, [*keys, "_ib"], ["i"], "_v", out="_bk")
-    # within a value block in (value, i) order: earlier rows of this or an earlier index block, less those of this one
-    x = earlier_not_above(x, [*keys, "_vb"], ["_v", "i"], "_ib", out="_ck")
-    same = F.row_number().over(Window.partitionBy(*keys, "_vb", "_ib").orderBy("_v", "i")) - 1
-    joined = x.withColumn("_same", same).join(grid, [*keys, "_ib", "_vb"])
-    return joined.select(*keys, "i", (F.col("_a") + F.col("_bk") + F.col("_ck") - F.col("_same") + 1).alias("k"), (F.col("i") + 1).alias("n"))
+    rows = s.rows.select(*keys, "i", F.col(value).alias("_v")).where("_v IS NOT NULL").withColumn("_ib", F.expr(f"i div {s.block}"))
+    x = _written(earlier_not_above(rows, [*keys, "_ib"], ["i"], "_v", out="_k"), "rank-blocks")
+    blocks, shift = (x.agg(F.max("_ib")).first()[0] or 0) + 1, 0
+    while 1 << shift < blocks:
+        x = _written(_merged(x, keys, shift, s.parts), "rank-level")
+        shift += BITS
+    return x.select(*keys, "i", (F.col("_k") + 1).alias("k"), (F.col("i") + 1).alias("n"))
+
+
+def _merged(x: DataFrame, keys: list[str], shift: int, parts: int) -> DataFrame:
+    """One level of the tree: ``_k`` grows by the rows of the earlier children of the row's node whose value is not above."""
+    children = 1 << BITS
+    node = x.withColumn("_g", F.expr(f"shiftright(_ib, {shift + BITS})"))
+    node = _ranged(node, [*keys, "_g", "_v", "i"], parts, "rank-ranges", "_p").withColumn("_d", F.expr(f"shiftright(_ib, {shift}) & {children - 1}"))
+    at = [*keys, "_g", "_p"]
+    # within a node, an earlier child's rows with the same value have smaller numbers, so they come first
+    here = Window.partitionBy(*at).orderBy("_v", "i").rowsBetween(Window.unboundedPreceding, -1)
+    inside = [F.coalesce(F.sum(F.when(F.col("_d") < d, 1)).over(here), F.lit(0)).alias(f"_c{d}") for d in range(1, children)]
+    held = node.groupBy(*at).agg(*[F.count_if(F.col("_d") < d).alias(f"_h{d}") for d in range(1, children)])
+    earlier = Window.partitionBy(*keys, "_g").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    carry = held.select(*at, F.array(*[F.coalesce(F.sum(f"_h{d}").over(earlier), F.lit(0)) for d in range(1, children)]).alias("_carry"))
+    counted = node.select(*x.columns, "_g", "_p", "_d", F.array(*inside).alias("_inside")).join(carry, at)
+    more = F.when(F.col("_d") > 0, F.col("_inside")[F.col("_d") - 1] + F.col("_carry")[F.col("_d") - 1]).otherwise(0)
+    return counted.select(*[(F.col("_k") + more).alias("_k") if c == "_k" else F.col(c) for c in x.columns])

@@ -20,16 +20,22 @@ def _state(spark: SparkSession, folder: str) -> tuple:
     """Names, lengths and times of what lies in an input folder, so that changed input is built anew."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(place)))
+    found, todo = [], [place]
+    while todo:
+        for f in fs.listStatus(todo.pop()):
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+            if f.isDirectory():
+                todo.append(f.getPath())
+    return tuple(sorted(found))
 
 
-def stored(spark: SparkSession, sf: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    """The named table of an input folder, written on first use in this application."""
+def stored(spark: SparkSession, sf: str, name: str, build: Callable[[SparkSession, str], DataFrame], by: str | None = None) -> DataFrame:
+    """The named table of an input folder, written on first use in this application, a folder for each value of ``by``."""
     key = (spark.sparkContext.applicationId, sf, name, _state(spark, sf))
     if key not in _WRITTEN:
         path = scratch_path(spark, name)
         df = build(spark, sf)
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         _WRITTEN[key] = (path, df.schema)
     path, schema = _WRITTEN[key]
     return spark.read.schema(schema).parquet(path)

@@ -7,10 +7,12 @@ made of line items. The statements are those of the first panel over other raw b
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators import asof, browse, coverage, health, market, regimes
+from tidemark.operators import asof, browse, coverage, health, market, pages, regimes
 from tidemark.plans import recipes as r
 from tidemark.plans import registry, suite_market, suite_quality
 from tidemark.plans.reference_sql import CTES
@@ -93,3 +95,47 @@ WHERE date >= DATE '1996-06-01' ORDER BY date ASC, symbol ASC LIMIT 500 OFFSET 1
 def _(spark, sf):
     p = browse.page(daily(spark, sf), "daily_market_data", browse.Filters(date_from="1996-06-01"), number=3, size=500, sort="date")
     return p.select("date", "symbol", "return_1d", "total_count")
+
+
+def outcomes(spark, sf):
+    return stored(spark, sf, "supplier_outcomes", lambda s, f: schemas.conform(market.forward_outcomes(daily(s, f), []), "market_outcomes"))
+
+
+def index(spark, sf, key: str, sort: str, direction: str = "asc") -> pages.Index:
+    """An index of a table of the panel, written once; ranges are small here, so that the small tables have some dozens."""
+    table = {"daily_market_data": daily, "market_outcomes": outcomes}[key]
+    name = f"supplier_{key}_by_{sort}_{direction}"
+    rows = stored(spark, sf, name, lambda s, f: pages.ranged(table(s, f), key, sort, direction, rows_per_range=2000), by=pages.RANGE)
+    ranges = stored(spark, sf, f"{name}_ranges", lambda s, f: pages.summary(rows, sort))
+    return pages.Index(key, sort, direction, rows, ranges)
+
+
+@query("q3_deep_page_by_supplier", """SELECT date, symbol, volume, (SELECT count(*) FROM bars) AS total_count FROM daily_market_data
+ORDER BY volume DESC NULLS FIRST, date ASC, symbol ASC LIMIT 5 OFFSET 49995""")
+def _(spark, sf):
+    p = pages.page(index(spark, sf, "daily_market_data", "volume", "desc"), number=10_000, size=5)
+    return p.select("date", "symbol", "volume", "total_count")
+
+
+@query("q3_deep_filtered_page_by_supplier", """SELECT date, symbol, return_20d, (SELECT count(*) FROM market_outcomes WHERE date BETWEEN DATE '1993-03-01' AND DATE '1997-06-30') AS total_count
+FROM market_outcomes WHERE date BETWEEN DATE '1993-03-01' AND DATE '1997-06-30' ORDER BY return_20d ASC NULLS LAST, date ASC, symbol ASC LIMIT 500 OFFSET 2000""", "return_20d")
+def _(spark, sf):
+    f = browse.Filters("1993-03-01", "1997-06-30")
+    p = pages.page(index(spark, sf, "market_outcomes", "return_20d"), number=5, size=9999, filters=f)
+    return p.select("date", "symbol", "return_20d", "total_count")
+
+
+@query("q3_seek_page_by_supplier", """SELECT date, symbol, volume FROM daily_market_data
+WHERE volume < 2 OR (volume = 2 AND (date > DATE '1996-02-29' OR (date = DATE '1996-02-29' AND symbol > 'S3')))
+ORDER BY volume DESC NULLS FIRST, date ASC, symbol ASC LIMIT 300""")
+def _(spark, sf):
+    last = {"volume": 2, "date": dt.date(1996, 2, 29), "symbol": "S3"}
+    return pages.page_after(index(spark, sf, "daily_market_data", "volume", "desc"), last, 300).select("date", "symbol", "volume")
+
+
+@query("q3_seek_nulls_by_supplier", """SELECT date, symbol, return_20d FROM market_outcomes WHERE symbol = 'S7' AND (return_20d IS NOT NULL
+  OR date > DATE '1998-06-01' OR (date = DATE '1998-06-01' AND symbol > 'S5')) ORDER BY return_20d DESC NULLS FIRST, date ASC, symbol ASC LIMIT 40""", "return_20d")
+def _(spark, sf):
+    last = {"return_20d": None, "date": dt.date(1998, 6, 1), "symbol": "S5"}
+    p = pages.page_after(index(spark, sf, "market_outcomes", "return_20d", "desc"), last, 40, browse.Filters(symbol="S7"))
+    return p.select("date", "symbol", "return_20d")
