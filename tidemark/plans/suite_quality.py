@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import scalar
-from tidemark.operators import coverage, fingerprint, health, macro, quality
+from tidemark.operators import coverage, digest_tree, fingerprint, health, macro, quality
 from tidemark.plans import builders as b
 from tidemark.plans import recipes as r
 from tidemark.plans.registry import query
@@ -392,6 +392,54 @@ def _(spark, sf):
     return fingerprint.change(fingerprint.database_digest(before, ALL_TABLES), fingerprint.database_digest(now, ALL_TABLES))
 
 
+ORDERS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_orderdate", "date"), ("o_orderpriority", "string")]
+DATED = "(SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders)"
+EDITED_ORDERS = f"""(SELECT * REPLACE (CASE WHEN o_orderkey % 977 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM {DATED} WHERE o_orderkey % 1499 <> 7
+  UNION ALL SELECT * REPLACE (-o_orderkey AS o_orderkey) FROM {DATED} WHERE o_orderkey % 1999 = 3)"""
+
+
+def _tree_levels(name: str, source: str, levels: int) -> str:
+    """CTEs {name}0, {name}1, ...: rows, then nodes, each (place, name, rows, digest, node); node is the one above."""
+    at = lambda k: f"""coalesce(last_value(CASE WHEN substr(sha256('{k}:' || name), 1, 2) = '{digest_tree.CUT}' THEN name END IGNORE NULLS) OVER (ORDER BY place ROWS UNBOUNDED PRECEDING), '{digest_tree.START}')"""
+    out = f"""{name}r AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS place, CAST(o_orderkey AS VARCHAR) AS name, 1 AS rows, sha256({_line(ORDERS)}) AS digest FROM {source}),
+{name}0 AS (SELECT *, {at(0)} AS node FROM {name}r)"""
+    for k in range(1, levels + 1):
+        out += f""",
+{name}n{k} AS (SELECT min(place) AS place, node AS name, CAST(sum(rows) AS BIGINT) AS rows, sha256(string_agg(digest, '' ORDER BY place)) AS digest FROM {name}{k - 1} GROUP BY node),
+{name}{k} AS (SELECT *, {at(k)} AS node FROM {name}n{k})"""
+    return out
+
+
+def _orders(spark, sf):
+    return r.table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
+def _order_trees(spark, sf):
+    o = _orders(spark, sf)
+    edited = o.where("o_orderkey % 1499 <> 7").withColumn("o_totalprice", F.col("o_totalprice") + F.when(F.col("o_orderkey") % 977 == 5, 1.0).otherwise(0.0))
+    more = o.where("o_orderkey % 1999 = 3").withColumn("o_orderkey", -F.col("o_orderkey"))
+    return [digest_tree.tree(six_places(x), ["o_orderkey"]) for x in (o, edited.unionByName(more))]
+
+
+@query("a11_ordered_digest", f"""WITH {_tree_levels('t', DATED, 5)}
+SELECT CAST(rows AS BIGINT) AS row_count, 'sha256:' || digest AS sha256 FROM (
+  {' UNION ALL '.join(f"SELECT {k} AS level, count(*) AS nodes, sum(rows) AS rows, min(digest) AS digest FROM tn{k}" for k in range(1, 6))}) WHERE nodes = 1 ORDER BY level LIMIT 1""")
+def _(spark, sf):
+    return digest_tree.tree(six_places(_orders(spark, sf)), ["o_orderkey"]).root()
+
+
+@query("j18_differing_ranges", f"""WITH {_tree_levels('a', DATED, 1)}, {_tree_levels('b', EDITED_ORDERS, 1)}
+SELECT coalesce(a.name, b.name) AS range_from, a.rows AS rows_before, b.rows AS rows_after FROM an1 a FULL JOIN bn1 b ON a.name = b.name WHERE a.digest IS DISTINCT FROM b.digest""")
+def _(spark, sf):
+    return digest_tree.differing_ranges(*_order_trees(spark, sf))
+
+
+@query("j18_differing_rows", """SELECT o_orderkey, CASE WHEN o_orderkey % 1499 = 7 THEN 'removed' ELSE 'changed' END AS change FROM orders WHERE o_orderkey % 1499 = 7 OR o_orderkey % 977 = 5
+UNION ALL SELECT -o_orderkey AS o_orderkey, 'added' AS change FROM orders WHERE o_orderkey % 1999 = 3""")
+def _(spark, sf):
+    return digest_tree.differing_rows(*_order_trees(spark, sf))
+
+
 # ------------------------------------------------------------------- checks
 def V(check: str, key: str, source: str, detail: str = "''") -> str:
     return f"SELECT '{check}' AS check_id, {key} AS \"key\", {detail} AS detail FROM {source}"
