@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import snapshots
-from tidemark.sources import artifacts, bars, html, observations
+from tidemark.sources import artifacts, bars, html, json_paths, observations
 
 D = dt.date
 
@@ -98,9 +98,9 @@ def test_artifacts_are_listed_with_their_errors(spark, folder):
 def test_identity_metadata(spark):
     a, b = '{"b":"1","a":"2"}', '{"a":"2","b":"1"}'
     df = spark.createDataFrame([(a, b, '{"url":"u","api_key":"k","header":"Token abc"}')], "a string, b string, c string")
-    r = df.select(artifacts.identity_key(F.col("a")).alias("x"), artifacts.identity_key(F.col("b")).alias("y"), artifacts.scrub(F.col("c")).alias("m"),
-                  artifacts.leaks_value(F.col("c")).alias("leak")).first()
-    assert r.x == r.y == b and set(r.m) == {"url", "header"} and r.leak
+    r = df.select(artifacts.identity_key(F.col("a")).alias("x"), artifacts.identity_key(F.col("b")).alias("y")).first()
+    c = json_paths.scrubbed(df, "c").first()
+    assert r.x == r.y == b and json.loads(c.scrubbed_text) == {"url": "u", "header": "Token abc"} and c.leaks
 
 
 def test_snapshot_check_order(spark):
@@ -127,9 +127,9 @@ def test_character_references(spark):
 def test_secrets_behind_escapes_and_at_depth(spark):
     rows = [(r'{"api\u005fkey":1}',), ('{"o":{"api_key":1,"x":[{"token":2,"y":"Token abc"}]}}',), ('{"plain":1}',), (None,)]
     df = spark.createDataFrame(rows, "j string")
-    got = df.select(F.size(artifacts.secret_keys(F.col("j"))).alias("n"), artifacts.scrubbed(F.col("j")).alias("s")).collect()
-    assert [r.n for r in got[:3]] == [1, 1, 0]
-    assert got[0].s.text == "{}" and got[1].s.text == '{"o":{"x":[{"y":"Token abc"}]}}' and got[1].s.leaks and not got[2].s.leaks and got[3].s.text is None
+    assert [r.n for r in df.select(F.size(artifacts.secret_keys(F.col("j"))).alias("n")).limit(3).collect()] == [1, 1, 0]
+    got = {r.j: (r.scrubbed_text, r.leaks) for r in json_paths.scrubbed(df, "j").collect()}
+    assert [got[j] for (j,) in rows] == [("{}", False), ('{"o":{"x":[{"y":"Token abc"}]}}', True), ('{"plain":1}', False), (None, None)]
 
 
 def test_sidecars_name_their_digest(spark):
@@ -150,3 +150,53 @@ def test_eligibility_reasons(spark):
     verified = spark.createDataFrame([("b1", "ok"), ("b5", "ok"), ("b5", "corrupt")], "build_id string, status string")
     got = {r.build_id: r.reason for r in artifacts.rebuild_eligibility(frame, verified).collect()}
     assert got == {"b1": None, "b2": "schema version", "b3": "not exact-rebuild capable", "b4": "no database fingerprint", "b5": "snapshot verification failed"}
+
+
+def _tree(pick, depth):
+    keys = ["a", "b c", "api_key", "Password", "token", "x.y", 'tok"en', "é", "database-url"]
+    kind = pick.randrange(6) if depth else 9
+    if kind < 3:
+        return {pick.choice(keys): _tree(pick, depth - 1) for _ in range(pick.randrange(4))}
+    if kind < 5:
+        return [_tree(pick, depth - 1) for _ in range(pick.randrange(4))]
+    return pick.choice([None, True, 1, 2.5, "s", "Token abc", 'q"\\n', ""])
+
+
+def test_json_of_any_depth(spark):
+    """Secret paths and scrubbed documents against plain recursion, with documents that are none."""
+    import random
+    import re
+
+    pick = random.Random(4)
+    broken = ["{bad", "", '{"token":1}}', '{"token":1}]', '{"a":1},{"b":2}', '{"a":1},"b":2', "[1] x", None]
+    docs = [json.dumps(_tree(pick, 5)) for _ in range(150)] + ["[]", "{}", "3", '"Token x"', "null"] + broken
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, text string")
+    secret, gone, value = (re.compile(p) for p in (artifacts.SECRET_KEY, artifacts.SECRET_METADATA_KEY, artifacts.SECRET_VALUE))
+
+    def hits(x, path=""):
+        if isinstance(x, dict):
+            for k, v in x.items():
+                p = f"{path}.{k}" if path else k
+                yield from [p] if secret.search(k) else []
+                yield from hits(v, p)
+        elif isinstance(x, list):
+            for i, v in enumerate(x):
+                yield from hits(v, f"{path}[{i}]")
+
+    def scrub(x, found):
+        if isinstance(x, dict):
+            return {k: scrub(v, found) for k, v in x.items() if not gone.search(k)}
+        if isinstance(x, list):
+            return [scrub(v, found) for v in x]
+        found += [x] if isinstance(x, str) and value.search(x) else []
+        return x
+
+    sound = {i: json.loads(t) for i, t in enumerate(docs) if t not in broken}
+    got = sorted((r.id, r.path) for r in json_paths.secret_paths(df, ["id"]).collect())
+    assert got == sorted((i, p) for i, x in sound.items() for p in hits(x)) and got
+    for r in json_paths.scrubbed(df).collect():
+        found = []
+        want = scrub(sound[r.id], found) if r.id in sound else None
+        assert (r.scrubbed_text is None) == (r.id not in sound) and r.leaks == (bool(found) if r.id in sound else None)
+        assert r.id not in sound or json.loads(r.scrubbed_text) == want
+    assert json_paths.scrubbed(df.limit(0)).count() == 0 == json_paths.secret_paths(df.limit(0), ["id"]).count()

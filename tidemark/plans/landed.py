@@ -118,6 +118,17 @@ def identities(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def nested_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """(event_id, text): request records with secrets at several depths, in lists, below other secrets, or nowhere."""
+    e = r.table(spark, sf, "events")
+    i, user = F.col("event_id"), F.col("user_id").cast("string")
+    auth = F.when(i % 5 == 0, F.concat(F.lit('"auth":{"password":"p","user":"u'), user, F.lit('","api_key":{"secret":"s","n":1}},'))).otherwise("")
+    items = F.when(i % 7 == 0, F.concat(F.lit('"items":[{"id":'), i.cast("string"), F.lit(',"token":"t"},[[{"Api-Key":null}],2],{}],'))).otherwise("")
+    note = F.when(i % 11 == 0, '"note":"Token abc",').when(i % 11 == 1, '"no\\u0074e":"plain",').otherwise("")
+    text = F.concat(F.lit('{"request":{'), auth, F.lit('"url":"/v1/'), "event_type", F.lit('"},'), items, note, F.lit('"user":'), user, F.lit("}"))
+    return e.select("event_id", F.when(i % 13 == 0, F.concat(text, F.lit("}"))).otherwise(text).alias("text"))
+
+
 def landed_pages(spark: SparkSession, sf: str) -> DataFrame:
     """(content, retrieved_at, meta): every page, each tenth one landed twice."""
     p = r.table(spark, sf, "pages").select("page_id", F.col("html").cast("binary").alias("content"))

@@ -10,7 +10,7 @@ from tidemark.plans import builders as b
 from tidemark.plans import landed
 from tidemark.plans import recipes as r
 from tidemark.plans.registry import query
-from tidemark.sources import artifacts, bars, html, observations, tables
+from tidemark.sources import artifacts, bars, html, json_paths, observations, tables
 
 SOUND = """symbol <> 'HOUSEHOLD' AND NOT (symbol = 'MACHINERY' AND year(date) = 1997) AND NOT (symbol = 'FURNITURE' AND year(date) = 1996)"""
 
@@ -249,14 +249,36 @@ def _(spark, sf):
   CAST(CASE WHEN event_id % 97 = 0 THEN 3 ELSE 2 END AS INTEGER) AS kept, event_id % 97 = 0 AS leaks,
   CAST(2 + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END + CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END AS INTEGER) AS listed FROM events""")
 def _(spark, sf):
-    i = landed.identities(spark, sf)
-    m = artifacts.scrub(F.col("identity"))
+    i = json_paths.scrubbed(landed.identities(spark, sf).select("event_id", "identity"), "identity")
+    m = F.from_json("scrubbed_text", "map<string,string>")
     return i.select(
-        "event_id", m["url"].alias("url"), m["user"].alias("user"), F.size(m).alias("kept"),
-        artifacts.leaks_value(F.col("identity")).alias("leaks"), F.size(artifacts.listed_metadata(F.col("identity"))).alias("listed"),
+        "event_id", m["url"].alias("url"), m["user"].alias("user"), F.size(m).alias("kept"), "leaks",
+        F.size(artifacts.listed_metadata(F.col("identity"))).alias("listed"),
     )
 
 
+NESTED = r"""(SELECT event_id, CASE WHEN event_id % 13 = 0 THEN t || '}' ELSE t END AS text FROM (SELECT event_id, '{"request":{' ||
+  CASE WHEN event_id % 5 = 0 THEN '"auth":{"password":"p","user":"u' || user_id || '","api_key":{"secret":"s","n":1}},' ELSE '' END || '"url":"/v1/' || event_type || '"},' ||
+  CASE WHEN event_id % 7 = 0 THEN '"items":[{"id":' || event_id || ',"token":"t"},[[{"Api-Key":null}],2],{}],' ELSE '' END ||
+  CASE WHEN event_id % 11 = 0 THEN '"note":"Token abc",' WHEN event_id % 11 = 1 THEN '"no\\u0074e":"plain",' ELSE '' END || '"user":' || user_id || '}' AS t FROM events))"""
+
+
+@query("p17_secret_paths", f"""SELECT event_id, regexp_replace(fullkey, '"([^"]*)"', '\\1', 'g')[3:] AS path FROM {NESTED} AS d, json_tree(text) AS j
+WHERE event_id % 13 <> 0 AND regexp_matches(key, '(?i)api[_-]?key|password|secret|authorization')""")
+def _(spark, sf):
+    return json_paths.secret_paths(landed.nested_documents(spark, sf), ["event_id"])
+
+
+@query("p18_scrubbed_documents", """SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN '{' || CASE WHEN event_id % 7 = 0 THEN '"items":[{"id":' || event_id || '},[[{}],2],{}],' ELSE '' END ||
+  CASE WHEN event_id % 11 = 0 THEN '"note":"Token abc",' WHEN event_id % 11 = 1 THEN '"note":"plain",' ELSE '' END || '"request":{' ||
+  CASE WHEN event_id % 5 = 0 THEN '"auth":{"user":"u' || user_id || '"},' ELSE '' END || '"url":"/v1/' || event_type || '"},"user":' || user_id || '}' END AS text,
+  CASE WHEN event_id % 13 <> 0 THEN event_id % 11 = 0 END AS leaks FROM events""")
+def _(spark, sf):
+    x = json_paths.scrubbed(landed.nested_documents(spark, sf))
+    # documents with nothing to look for keep their order of keys, so content is compared in the order of keys
+    return x.select("event_id", F.to_json(F.try_parse_json("scrubbed_text")).alias("text"), "leaks")
+
+
 @query("p19_identity_keys", """SELECT event_id, '{"url":"/v1/' || event_type || '","user":"' || CAST(user_id % 10 AS VARCHAR) || '"}' AS key FROM events""")
 def _(spark, sf):
     return landed.identities(spark, sf).select("event_id", artifacts.identity_key(F.col("clean")).alias("key"))

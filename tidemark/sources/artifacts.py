@@ -163,54 +163,6 @@ def rebuild_eligibility(artifacts: DataFrame, verified: DataFrame | None = None)
 
 
 # ---------------------------------------------------------------- metadata
-def scrubbed(identity: Column) -> Column:
-    """struct<text, leaks>: JSON without secret-like keys at any depth, and whether a kept value looks like a secret.
-
-    Spark has no expression that walks JSON of unknown depth, so documents go through a small function in Arrow batches.
-    The function holds all it needs, so workers need not import this package.
-    """
-    key_pattern, value_pattern = SECRET_METADATA_KEY, SECRET_VALUE
-
-    @F.pandas_udf("text string, leaks boolean")
-    def clean(texts):
-        import json
-        import re
-
-        import pandas as pd
-
-        secret_key, secret_value = re.compile(key_pattern), re.compile(value_pattern)
-
-        def walk(x, found):
-            if isinstance(x, dict):
-                return {k: walk(v, found) for k, v in x.items() if not secret_key.search(k)}
-            if isinstance(x, list):
-                return [walk(v, found) for v in x]
-            if isinstance(x, str) and secret_value.search(x):
-                found.append(x)
-            return x
-
-        out = []
-        for t in texts:
-            try:
-                found = []
-                out.append((json.dumps(walk(json.loads(t), found), separators=(",", ":"), ensure_ascii=False), bool(found)))
-            except (TypeError, ValueError):
-                out.append((None, None))
-        return pd.DataFrame(out, columns=["text", "leaks"])
-
-    return clean(identity)
-
-
-def scrub(identity: Column) -> Column:
-    """A JSON identity as a map without secret-like keys; nested values are JSON text, scrubbed at every depth."""
-    return F.from_json(scrubbed(identity)["text"], "map<string,string>")
-
-
-def leaks_value(identity: Column) -> Column:
-    """True if a kept value, at any depth, still looks like a secret, which must fail the write."""
-    return scrubbed(identity)["leaks"]
-
-
 def listed_metadata(identity: Column) -> Column:
     """The identity as shown in listings: no key with 'authorization' or 'api' in it."""
     return F.map_filter(
