@@ -10,7 +10,7 @@ from tidemark.plans import builders as b
 from tidemark.plans import recipes as r
 from tidemark.plans.registry import query
 from tidemark.session import scratch_path
-from tidemark.sinks import upsert
+from tidemark.sinks import deltas, upsert
 
 PK = ["date", "symbol"]
 UPSERTED = """SELECT date, symbol, CASE WHEN year(date) = 1998 THEN close * 2 ELSE close END AS close, volume FROM bars
@@ -94,3 +94,59 @@ def _(spark, sf):
         "event_id", F.when(i == 0, float("nan")).when(i == 1, float("inf")).otherwise(F.col("value")).alias("value"), F.col("value").alias("whole")
     )
     return scalar.sanitize(x, ("whole",))
+
+
+COLUMNS = ["date", "symbol", "close", "volume", "return_1d"]
+ROWS = """SELECT date, symbol, CASE WHEN symbol = 'MACHINERY' THEN -1.0::DOUBLE ELSE close END AS close, volume,
+  CASE WHEN symbol IN ('FURNITURE', 'MACHINERY') AND year(date) >= 1996 THEN 9.0::DOUBLE ELSE return_1d END AS return_1d FROM daily_market_data WHERE symbol <> 'MACHINERY' OR year(date) >= 1996"""
+
+
+def _table(spark, sf):
+    """A stored table without one symbol, and after a partial-column upsert of two symbols' later years, run twice."""
+    d = b.table(spark, sf, "daily_market_data").select(*COLUMNS)
+    stored = deltas.KeyedTable(spark, scratch_path(spark, "deltas"), d.schema, PK)
+    stored.replace(d.where("symbol <> 'MACHINERY'"))
+    new = d.where("symbol IN ('FURNITURE', 'MACHINERY') AND year(date) >= 1996").withColumns({"close": F.lit(-1.0), "return_1d": F.lit(9.0)})
+    stored.update(new, ["return_1d"])
+    stored.update(new, ["return_1d"])  # a second run changes nothing
+    return stored, d
+
+
+@query("k2_partial_upsert_of_rows", ROWS, "close return_1d")
+def _(spark, sf):
+    return _table(spark, sf)[0].read()
+
+
+@query("k2_rows_written", f"""SELECT CAST(1 AS INTEGER) AS delta, 'set' AS op, count(*) AS rows FROM daily_market_data WHERE symbol IN ('FURNITURE', 'MACHINERY') AND year(date) >= 1996""")
+def _(spark, sf):
+    return _table(spark, sf)[0].written()
+
+
+SYNCED = f"""SELECT date, symbol, CASE WHEN year(date) = 1997 AND month(date) = 5 THEN close + 1 ELSE close END AS close, volume, return_1d FROM ({ROWS}) AS t WHERE year(date) BETWEEN 1995 AND 1997"""
+
+
+def _synced(spark, sf):
+    import datetime as dt
+
+    stored, _ = _table(spark, sf)
+    new = stored.read().where("year(date) = 1997").withColumn("close", F.when(F.month("date") == 5, F.col("close") + 1).otherwise(F.col("close")))
+    stored.sync(new, dt.date(1995, 1, 1), dt.date(1997, 12, 31))
+    return stored
+
+
+@query("k4_range_sync_of_rows", SYNCED, "close return_1d")
+def _(spark, sf):
+    return _synced(spark, sf).read()
+
+
+@query("k4_compacted_rows", SYNCED, "close return_1d")
+def _(spark, sf):
+    stored = _synced(spark, sf)
+    stored.compact()
+    return stored.read()
+
+
+@query("k4_rows_written", f"""SELECT CAST(2 AS INTEGER) AS delta, 'put' AS op, count(*) AS rows FROM ({ROWS}) AS t WHERE year(date) = 1997 AND month(date) = 5
+UNION ALL SELECT CAST(2 AS INTEGER), 'delete', count(*) FROM ({ROWS}) AS t WHERE year(date) NOT BETWEEN 1995 AND 1997""")
+def _(spark, sf):
+    return _synced(spark, sf).written().where("delta = 2")

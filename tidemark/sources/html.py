@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,7 +37,8 @@ def unescaped(text: Column) -> Column:
 
     The text is cut at its references; what one decodes to is not read again. Unknown names stay as they are.
     """
-    names = F.create_map(*[F.lit(x) for name, char in sorted(html5.items()) if name.endswith(";") for x in ("&" + name, char)])
+    # one literal: a map built of thousands takes seconds to plan
+    names = F.from_json(F.lit(json.dumps({"&" + name: char for name, char in sorted(html5.items()) if name.endswith(";")})), "map<string,string>")
     found = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
     between = F.split(text, REFERENCE, -1)
     decoded = F.transform(found, lambda e: F.coalesce(F.when(e.startswith("&#"), _character(e)).otherwise(F.try_element_at(names, e)), e))
