@@ -183,6 +183,57 @@ def _documents(df: DataFrame, order: str) -> Column:
     return df.agg(F.array_sort(F.collect_list(cells))).scalar()
 
 
+# What is known not to be there, as listings show it.
+LIMITATIONS = [
+    "WTI begins 1986-01-02",
+    "CPI scheduled events from ~1972 (ALFRED)",
+    "Employment events from ~1960",
+    "core CPI PIT from ~1996",
+    "DGS2 from 1976-06-01",
+    "BAA10Y from ~1986",
+    "ICSA sparse pre-2009",
+    "Per-symbol ETF inception dates",
+    "PMI unresolved",
+    "XAU/USD and DXY unresolved",
+    "No raw snapshot archive (Phase 9)",
+]
+UNRESOLVED_SYMBOLS = ["XAU/USD", "DXY"]
+UNRESOLVED_MACRO = ["pmi"]
+
+
+def coverage_snapshot(
+    tables: dict[str, DataFrame], universe: DataFrame, close_only: list[str], limitations: list[str] = LIMITATIONS,
+    unresolved: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """(part, name, code, severity, first_date, last_date, n, share, detail): all that is known of coverage, a row each.
+
+    Parts: table and symbol (dates, rows, and of symbols the share of eligible sessions), freshness (classification as code,
+    lag), gap (finding with its code, severity and message), limitation, unresolved_symbol and unresolved_macro. The
+    rows grow with the symbols and nothing is gathered into one cell.
+    """
+    spark = tables["trading_days"].sparkSession
+    unresolved = {"unresolved_symbol": UNRESOLVED_SYMBOLS, "unresolved_macro": UNRESOLVED_MACRO} if unresolved is None else unresolved
+    cover = symbol_coverage(tables["daily_market_data"], tables["trading_days"], universe)
+    kinds = {"part": "string", "name": "string", "code": "string", "severity": "string", "first_date": "date", "last_date": "date", "n": "bigint", "share": "double", "detail": "string"}
+
+    def part(df: DataFrame, kind: str, **columns: str | Column) -> DataFrame:
+        given = {"part": F.lit(kind), **{k: F.col(v) if isinstance(v, str) else v for k, v in columns.items()}}
+        return df.select(*[given.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()])
+
+    known = [("limitation", x) for x in limitations] + [(k, x) for k, xs in unresolved.items() for x in xs]
+    parts = [
+        part(table_coverage(tables), "table", name="table", first_date="first_date", last_date="last_date", n="row_count"),
+        part(cover, "symbol", name="symbol", code="asset_type", first_date="first_date", last_date="last_date", n="row_count", share="coverage_pct"),
+        part(freshness(tables, close_only), "freshness", name="dataset", code="classification", severity="severity", last_date="latest_observation", n="lag_sessions", detail="missingness"),
+        part(gap_findings(cover, close_only), "gap", name="dataset", code="code", severity="severity", detail="message"),
+        spark.createDataFrame(known, "part string, name string").select(*[(F.col(k) if k in ("part", "name") else F.lit(None).cast(t)).alias(k) for k, t in kinds.items()]),
+    ]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
 def report(tables: dict[str, DataFrame], universe: DataFrame, close_only: list[str], violations: DataFrame) -> DataFrame:
     """(report): the health report as one JSON document.
 

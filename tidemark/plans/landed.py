@@ -146,6 +146,20 @@ def snapshot_entries(spark: SparkSession, sf: str) -> DataFrame:
     return r.table(spark, sf, "pages").select(i.alias("entry"), F.when(i % 31 != 0, ident).alias("snapshot_id"), meta.alias("meta"))
 
 
+def rebuild_manifests(spark: SparkSession, sf: str) -> DataFrame:
+    """(path, text): a manifest for every page, naming the page's snapshot and the next page's; some old, incapable or without parts."""
+    entries = snapshot_entries(spark, sf).select("entry", F.to_json(F.struct("snapshot_id", F.get_json_object("meta", "$.api_key").alias("api_key"))).alias("j"))
+    p = F.col("page_id")
+    both = r.table(spark, sf, "pages").select("page_id", F.explode(F.array(p, p + 1)).alias("entry")).join(entries, "entry")
+    snaps = both.groupBy("page_id").agg(F.array_join(F.sort_array(F.collect_list(F.struct("entry", "j")))["j"], ",").alias("snaps"))
+    text = F.concat(
+        F.lit('{"build_id":"m'), p.cast("string"), F.lit('","snapshot_capture":true,"exact_rebuild_capable":'), (p % 7 != 0).cast("string"),
+        F.when(p % 3 != 0, ',"schema_version":"1.1"').otherwise(""), F.when(p % 5 != 0, F.concat(F.lit(',"database_fingerprint":"f'), p.cast("string"), F.lit('"'))).otherwise(""),
+        F.lit(',"snapshots":['), F.when(p % 8 != 0, F.col("snaps")).otherwise(""), F.lit("]}"),
+    )
+    return snaps.select(F.concat(F.lit("reports/manifest_"), p.cast("string"), F.lit(".json")).alias("path"), text.alias("text"))
+
+
 def snapshot_blobs(spark: SparkSession, sf: str) -> DataFrame:
     """(snapshot_id, content, sidecar): stored payloads; some absent, altered, or without a sidecar."""
     i = F.col("page_id")

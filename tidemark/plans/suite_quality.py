@@ -240,6 +240,20 @@ def _(spark, sf):
     )
 
 
+_KNOWN = ", ".join(f"('{part}', '{x}')" for part, xs in (("limitation", health.LIMITATIONS), ("unresolved_symbol", health.UNRESOLVED_SYMBOLS), ("unresolved_macro", health.UNRESOLVED_MACRO)) for x in xs)
+
+
+@query("h4_coverage_with_findings", f"""SELECT 'table' AS part, "table" AS name, NULL AS code, NULL AS severity, first_date, last_date, row_count AS n, CAST(NULL AS DOUBLE) AS share, NULL AS detail FROM ({A1}) AS a
+UNION ALL SELECT 'symbol', symbol, asset_type, NULL, first_date, last_date, row_count, coverage_pct, NULL FROM ({A2}) AS a
+UNION ALL SELECT 'freshness', dataset, classification, severity, NULL, latest_observation, lag_sessions, NULL, missingness FROM ({H2}) AS h
+UNION ALL SELECT 'gap', dataset, code, severity, NULL, NULL, NULL, NULL, message FROM ({H1}) AS g
+UNION ALL SELECT part, name, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM (VALUES {_KNOWN}) AS k(part, name)""", "share")
+def _(spark, sf):
+    # sizes and gaps of the whole tables, freshness of late ones, so that every class occurs
+    whole, late = (health.coverage_snapshot(t, r.universe(spark), r.CLOSE_ONLY) for t in (b.tables(spark, sf), _late(spark, sf)))
+    return whole.where("part <> 'freshness'").unionByName(late.where("part = 'freshness'"))
+
+
 @query("h5_quick_audit", """SELECT 'on_spine_events' AS item, count(*) AS n FROM scheduled_events WHERE event_date IN (SELECT date FROM spine)
 UNION ALL SELECT 'off_spine_events', count(*) FROM scheduled_events WHERE event_date NOT IN (SELECT date FROM spine)
 UNION ALL SELECT 'labelled_regimes', count(volatility_regime) FROM asset_regimes UNION ALL SELECT 'labelled_rates', count(rate_regime) FROM macro_conditions""")

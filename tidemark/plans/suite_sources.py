@@ -315,6 +315,17 @@ def _(spark, sf):
     return snapshots.verify(landed.snapshot_entries(spark, sf), landed.snapshot_blobs(spark, sf))
 
 
+@query("h7_verified_rebuilds", f"""WITH s AS ({VERIFY}), found AS (SELECT p.page_id, bool_or(status <> 'ok') AS bad FROM pages p JOIN s ON s.entry IN (p.page_id, p.page_id + 1) WHERE p.page_id % 8 <> 0 GROUP BY 1)
+SELECT 'm' || CAST(page_id AS VARCHAR) AS build_id, CASE WHEN page_id % 3 = 0 THEN 'schema version' WHEN page_id % 7 = 0 OR page_id % 8 = 0 THEN 'not exact-rebuild capable'
+  WHEN page_id % 5 = 0 THEN 'no database fingerprint' WHEN bad THEN 'snapshot verification failed' END AS reason FROM pages LEFT JOIN found USING (page_id)
+WHERE NOT (page_id % 8 <> 0 AND (page_id % 23 = 0 OR (page_id + 1) % 23 = 0 AND page_id < (SELECT max(page_id) FROM pages)))""")
+def _(spark, sf):
+    # a manifest with a secret in an entry is unusable as a whole; without snapshots it is never capable, so that reason can't be reached
+    usable = artifacts.scan(landed.rebuild_manifests(spark, sf), "manifest").where("error IS NULL")
+    verified = snapshots.verify(artifacts.snapshot_entries(usable), landed.snapshot_blobs(spark, sf))
+    return artifacts.rebuild_eligibility(usable, verified.withColumnRenamed("entry", "build_id"))
+
+
 @query("j19_verification_counts", f"""SELECT count(*) AS checked, count(DISTINCT snapshot_id) AS unique_payloads, count(*) FILTER (status = 'missing') AS missing,
   count(*) FILTER (status = 'corrupt') AS corrupt, count(*) FILTER (status = 'invalid_metadata') AS invalid_metadata FROM ({VERIFY})""")
 def _(spark, sf):

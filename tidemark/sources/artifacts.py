@@ -162,6 +162,13 @@ def rebuild_eligibility(artifacts: DataFrame, verified: DataFrame | None = None)
     return s.select("build_id", reason.alias("reason"))
 
 
+def snapshot_entries(artifacts: DataFrame) -> DataFrame:
+    """(entry, snapshot_id, meta): one row for each snapshot that a usable manifest names; the entry is its build_id."""
+    x = artifacts.where("error IS NULL").select(F.inline(F.array(F.from_json("text", "struct<build_id:string,snapshots:array<string>>"))))
+    x = x.select(F.col("build_id").alias("entry"), F.explode("snapshots").alias("meta"))
+    return x.select("entry", F.get_json_object("meta", "$.snapshot_id").alias("snapshot_id"), "meta")
+
+
 # ---------------------------------------------------------------- metadata
 def listed_metadata(identity: Column) -> Column:
     """The identity as shown in listings: no key with 'authorization' or 'api' in it."""
