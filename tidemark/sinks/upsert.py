@@ -80,8 +80,8 @@ class PartitionedTable:
     def _commit(self, df: DataFrame, values: list, rows_per_file: int) -> None:
         run = uuid.uuid4().hex
         rest = [c for c in df.columns if c != self.partition]
-        spread = F.pmod(F.xxhash64(*rest), F.lit(max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))))
-        out = df.repartition(self.partition, spread).sortWithinPartitions(self.partition, *rest)
+        # small values share a task and large ones are split, each into files of about the advisory size
+        out = df.hint("rebalance", self.partition).sortWithinPartitions(self.partition, *rest)
         out.write.option("maxRecordsPerFile", rows_per_file).partitionBy(self.partition).parquet(f"{self.path}/data/write={run}")
         now = self.folders() | {_folder_name(v): f"write={run}" for v in values}
         versions = self._versions()
