@@ -113,17 +113,18 @@ def expanding_rank(s: Series, value: str) -> DataFrame:
     partitions hold is added from one row a node and partition. So n rows are moved for each of log16(blocks) levels.
     """
     keys = s.keys
-    rows = s.rows.select(*keys, "i", F.col(value).alias("_v")).where("_v IS NOT NULL").withColumn("_ib", F.expr(f"i div {s.block}"))
-    x = _written(earlier_not_above(rows, [*keys, "_ib"], ["i"], "_v", out="_k"), "rank-blocks")
-    blocks, shift = (x.agg(F.max("_ib")).first()[0] or 0) + 1, 0
+    x = s.rows.select(*keys, "i", F.col(value).alias("_v"), F.expr(f"i div {s.block}").alias("_ib"), F.lit(0).cast("long").alias("_sum")).where("_v IS NOT NULL")
+    blocks, shift = (s.rows.agg(F.max("i")).first()[0] or 0) // s.block + 1, 0
     while 1 << shift < blocks:
-        x = _written(_merged(x, keys, shift, s.parts), "rank-level")
-        shift += BITS
-    return x.select(*keys, "i", (F.col("_k") + 1).alias("k"), (F.col("i") + 1).alias("n"))
+        x, shift = _merged(x, keys, shift, s.parts), shift + BITS
+        if 1 << shift < blocks:
+            x = _written(x, "rank-level")  # the next exchange reads it twice, to sample and to deal out
+    x = earlier_not_above(x, [*keys, "_ib"], ["i"], "_v", out="_own")
+    return x.select(*keys, "i", (F.col("_sum") + F.col("_own") + 1).alias("k"), (F.col("i") + 1).alias("n"))
 
 
 def _merged(x: DataFrame, keys: list[str], shift: int, parts: int) -> DataFrame:
-    """One level of the tree: ``_k`` grows by the rows of the earlier children of the row's node whose value is not above."""
+    """One level of the tree: ``_sum`` grows by the rows of the earlier children of the row's node whose value is not above."""
     children = 1 << BITS
     node = x.withColumn("_g", F.expr(f"shiftright(_ib, {shift + BITS})"))
     node = _ranged(node, [*keys, "_g", "_v", "i"], parts, "rank-ranges", "_p").withColumn("_d", F.expr(f"shiftright(_ib, {shift}) & {children - 1}"))
@@ -136,4 +137,4 @@ def _merged(x: DataFrame, keys: list[str], shift: int, parts: int) -> DataFrame:
     carry = held.select(*at, F.array(*[F.coalesce(F.sum(f"_h{d}").over(earlier), F.lit(0)) for d in range(1, children)]).alias("_carry"))
     counted = node.select(*x.columns, "_g", "_p", "_d", F.array(*inside).alias("_inside")).join(carry, at)
     more = F.when(F.col("_d") > 0, F.col("_inside")[F.col("_d") - 1] + F.col("_carry")[F.col("_d") - 1]).otherwise(0)
-    return counted.select(*[(F.col("_k") + more).alias("_k") if c == "_k" else F.col(c) for c in x.columns])
+    return counted.select(*[(F.col("_sum") + more).alias("_sum") if c == "_sum" else F.col(c) for c in x.columns])
