@@ -25,6 +25,7 @@ HEADLINES = [
     "a12_database_digest", "q3_page", "j4_as_of_state", "w4_drawdown_on_ticks", "w15_moving_average_on_ticks",
     "w19_expanding_rank_on_ticks", "s8_artifact_scan", "j19_snapshot_verification", "k1_partition_upsert",
     "b2_daily_by_supplier", "b3_outcomes_by_supplier", "b4_regimes_by_supplier", "a2_coverage_by_supplier", "q3_page_by_supplier",
+    "q3_deep_page_by_supplier", "a11_ordered_digest", "k2_partial_upsert_of_rows",
 ]
 
 
