@@ -452,6 +452,22 @@ def test_vector_odd_rows(spark):
     assert product_quantisation.near_copies(frame.filter("vec_id in (202, 203)")).count() == 2
 
 
+def test_vectors_of_several_lengths(spark, monkeypatch):
+    pick = np.random.default_rng(8)
+    rows = []
+    for length, groups in ((8, 12), (5, 9), (3, 4), (1, 2)):
+        for g in range(groups):
+            v = pick.normal(size=length)
+            rows += [(len(rows) + i, (v + pick.normal(size=length) * 0.03).tolist(), g % 2) for i in range(6)]
+    rows += [(1000 + i, v, k) for i, (_, v, k) in enumerate(rows[::7])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = plain_links(rows)
+    assert sum(r[1] for r in want) > 500
+    assert sorted(map(tuple, product_quantisation.near_copies(frame).collect())) == want
+    monkeypatch.setattr(product_quantisation, "LENGTHS", 1)  # the other lengths are compared without codes
+    assert sorted(map(tuple, product_quantisation.near_copies(frame).collect())) == want
+
+
 # 9
 
 

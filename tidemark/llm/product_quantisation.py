@@ -5,6 +5,10 @@ vector x goes to its nearest centroid and asks all lists whose centroid is at mo
 nearest. Within a list the asymmetric distance of x to a code is summed from tables, and a code is passed on if it may
 be as near as the threshold given the error that its vector was quantised with, so the codes lose nothing. What is
 passed on is compared by exact cosine. Equal vectors of one label are one entry with its multiplicity.
+
+Vectors of different lengths have no cosine, so lists are kept by (label, length) and each of the ``LENGTHS`` most
+frequent lengths has an index of its own, fitted on its share of the sample. A rarer length has one list without codes:
+all its vectors are compared, block by block.
 """
 
 from __future__ import annotations
@@ -22,6 +26,10 @@ SIMILAR = 0.98
 SAMPLE = 8192
 CENTROIDS, PARTS, CODES = 256, 8, 64
 ROUNDS = 8
+#: Vectors a centroid is fitted on at least: a small sample must not make each of its vectors a list of its own.
+FEWEST = 16
+#: Lengths that are fitted, and the least number of vectors that each is fitted on where it has them.
+LENGTHS, LEAST = 16, 256
 #: A near copy's list is missed only if it lies across a boundary by more than this distance.
 MARGIN = 0.12
 #: Entries of a list that meet the queries of a list in one task.
@@ -43,7 +51,7 @@ class Index:
     """Centroids, and the codebooks of the parts of a residual."""
 
     def __init__(self, sample: np.ndarray):
-        self.centroids = _kmeans(sample, CENTROIDS, 1)
+        self.centroids = _kmeans(sample, max(1, min(CENTROIDS, len(sample) // FEWEST)), 1)
         near = self.distances(sample).argmin(1)
         rest = sample - self.centroids[near]
         self.cuts = np.array_split(np.arange(sample.shape[1]), min(PARTS, sample.shape[1]))
@@ -69,6 +77,16 @@ class Index:
         return out
 
 
+class Indexes:
+    """The index of each length; a length that was not fitted has a single centroid and a single code, the origin."""
+
+    def __init__(self, samples: dict[int, np.ndarray]):
+        self.fitted = {n: Index(_unit(x)) for n, x in samples.items()}
+
+    def of(self, n: int) -> Index:
+        return self.fitted[n] if n in self.fitted else Index(np.zeros((1, n)))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     values = np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
@@ -85,22 +103,25 @@ def _ask(index):
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _unit(_matrix(batch.column("v")))
-            d = index.value.distances(x)
-            own = d.argmin(1)
-            codes, error = index.value.encode(x, own)
-            row, lists = np.nonzero(d <= d.min(1)[:, None] + MARGIN)
-            n = batch.num_rows
-            take = np.concatenate([np.arange(n), row])
-            copied = batch.take(pa.array(take))
-            told = [codes[i].tobytes() if k < n else b"" for k, i in enumerate(take.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [copied.column("label"), pa.array(np.concatenate([own, lists]), pa.int32()), pa.array(np.arange(len(take)) >= n), copied.column("entry"), copied.column("copies"),
-                 copied.column("v"), pa.array(own[take], pa.int32()), pa.array(told, pa.binary()), pa.array(error[take])],
-                ["label", "list", "asks", "entry", "copies", "v", "home", "codes", "error"],
-            )
+            sizes = batch.column("n").to_numpy()
+            for size in np.unique(sizes).tolist():
+                yield one(batch.filter(pa.array(sizes == size)), index.value.of(size))
+
+    def one(batch, fitted):
+        x = _unit(_matrix(batch.column("v")))
+        d = fitted.distances(x)
+        own = d.argmin(1)
+        codes, error = fitted.encode(x, own)
+        row, lists = np.nonzero(d <= d.min(1)[:, None] + MARGIN)
+        n = batch.num_rows
+        take = np.concatenate([np.arange(n), row])
+        copied = batch.take(pa.array(take))
+        told = [codes[i].tobytes() if k < n else b"" for k, i in enumerate(take.tolist())]
+        return pa.RecordBatch.from_arrays(
+            [copied.column("label"), copied.column("n"), pa.array(np.concatenate([own, lists]), pa.int32()), pa.array(np.arange(len(take)) >= n), copied.column("entry"), copied.column("copies"),
+             copied.column("v"), pa.array(own[take], pa.int32()), pa.array(told, pa.binary()), pa.array(error[take])],
+            ["label", "n", "list", "asks", "entry", "copies", "v", "home", "codes", "error"],
+        )
 
     return run
 
@@ -135,15 +156,16 @@ def _meet(index, similar: float):
         if own.num_rows and ask.num_rows:
             which = own.column("list")[0].as_py()
             y = _unit(_matrix(own.column("v").combine_chunks()))
+            fitted = index.value.of(y.shape[1])
             codes = np.frombuffer(b"".join(own.column("codes").to_pylist()), np.uint8).reshape(own.num_rows, -1)
             error, ids, many = own.column("error").to_numpy(), own.column("entry").to_numpy(), own.column("copies").to_numpy()
-            away = index.value.distances(y)
+            away = fitted.distances(y)
             answers = away <= away.min(1)[:, None] + MARGIN
             q = _unit(_matrix(ask.column("v").combine_chunks()))
             asked, homes, copies = ask.column("entry").to_numpy(), ask.column("home").to_numpy(), ask.column("copies").to_numpy()
             for a in range(0, len(q), 256):
                 part = q[a : a + 256]
-                t = index.value.tables(part, which)
+                t = fitted.tables(part, which)
                 far = np.zeros((len(part), len(y)))
                 for i in range(codes.shape[1]):
                     far += t[:, i, codes[:, i]]
@@ -168,8 +190,8 @@ def near_copies(vectors: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row for every row with ``vec_id``, ``embedding`` and ``label``.
 
     Two rows link if their labels are equal and not null and the cosine of their vectors, in double precision, is at
-    least ``similar``. Vectors that are null, empty, zero, hold null or non-finite components, or have not the table's
-    most frequent length, link with nothing. Repeated rows are vectors of their own and link each other. A component is
+    least ``similar``. Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, and
+    vectors of different lengths do not link with each other. Repeated rows are vectors of their own and link each other. A component is
     named by its least vec_id; a null vec_id is never the least if there is another. Other columns are not used.
     """
     spark = vectors.sparkSession
@@ -177,26 +199,28 @@ def near_copies(vectors: DataFrame, similar: float = SIMILAR) -> DataFrame:
     wrong = F.exists("v", lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")))
     fine = F.col("label").isNotNull() & F.coalesce(~wrong & F.exists("v", lambda c: c != 0), F.lit(False))
     rows = rows.withColumns({"fine": fine, "k1": F.xxhash64("label", "v"), "k2": F.xxhash64(F.lit(1), "label", "v")})
-    usual = rows.filter("fine").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if usual is None:
-        return alone
-    rows = rows.withColumn("fine", F.col("fine") & (F.size("v") == usual["n"]))
     entries = rows.filter("fine").groupBy("k1", "k2").agg(F.any_value("label").alias("label"), F.any_value("v").alias("v"), F.min("vec_id").alias("least"), F.count("*").alias("copies"))
-    entries = C.stored(entries.withColumn("entry", F.monotonically_increasing_id()), "entries")
-    sample = entries.orderBy("k1", "k2").limit(SAMPLE).select("v").toArrow()
-    index = spark.sparkContext.broadcast(Index(_unit(_matrix(sample.column("v").combine_chunks()))))
+    entries = C.stored(entries.withColumns({"n": F.size("v"), "entry": F.monotonically_increasing_id()}), "entries")
+    usual = entries.groupBy("n").count().orderBy(F.desc("count"), "n").limit(LENGTHS).collect()
+    if not usual:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    share = SAMPLE / sum(u["count"] for u in usual)
+    samples = {}
+    for u in usual:
+        sample = entries.filter(F.col("n") == u["n"]).orderBy("k1", "k2").limit(max(LEAST, int(u["count"] * share))).select("v").toArrow()
+        samples[u["n"]] = _matrix(sample.column("v").combine_chunks())
+    index = spark.sparkContext.broadcast(Indexes(samples))
     kinds = dict(entries.dtypes)
     asked = C.stored(
-        entries.select("label", "entry", "copies", "v").mapInArrow(_ask(index), f"label {kinds['label']}, list int, asks boolean, entry long, copies long, v {kinds['v']}, home int, codes binary, error double"), "asked"
+        entries.select("label", "n", "entry", "copies", "v").mapInArrow(_ask(index), f"label {kinds['label']}, n int, list int, asks boolean, entry long, copies long, v {kinds['v']}, home int, codes binary, error double"), "asked"
     )
     # Members and queries of a list are dealt to blocks, and every block of members meets every block of queries.
-    sizes = asked.groupBy("label", "list").agg(F.ceil(F.count_if(~F.col("asks")) / BLOCK).alias("members"), F.ceil(F.count_if("asks") / BLOCK).alias("queries")).filter("members > 0 and queries > 0")
-    dealt = asked.join(sizes, ["label", "list"]).withColumn("mine", F.pmod(F.xxhash64("entry"), F.when(F.col("asks"), F.col("queries")).otherwise(F.col("members"))))
+    sizes = asked.groupBy("label", "n", "list").agg(F.ceil(F.count_if(~F.col("asks")) / BLOCK).alias("members"), F.ceil(F.count_if("asks") / BLOCK).alias("queries")).filter("members > 0 and queries > 0")
+    dealt = asked.join(sizes, ["label", "n", "list"]).withColumn("mine", F.pmod(F.xxhash64("entry"), F.when(F.col("asks"), F.col("queries")).otherwise(F.col("members"))))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("asks"), F.col("members")).otherwise(F.col("queries")) - 1))
-    dealt = dealt.select("label", "list", "asks", "entry", "copies", "v", "home", "codes", "error", "mine", other.alias("theirs"))
+    dealt = dealt.select("label", "n", "list", "asks", "entry", "copies", "v", "home", "codes", "error", "mine", other.alias("theirs"))
     pair = F.when(F.col("asks"), F.struct(F.col("theirs").alias("m"), F.col("mine").alias("q"))).otherwise(F.struct(F.col("mine").alias("m"), F.col("theirs").alias("q")))
-    met = C.stored(dealt.groupBy("label", "list", pair.alias("pair")).applyInArrow(_meet(index, similar), "entry long, links long, root long"), "met")
+    met = C.stored(dealt.groupBy("label", "n", "list", pair.alias("pair")).applyInArrow(_meet(index, similar), "entry long, links long, root long"), "met")
     near = components(met.select(F.col("entry").alias("a"), F.col("root").alias("b")).filter("a <> b"))
     links = met.groupBy("entry").agg(F.sum("links").alias("links"))
     named = entries.select("k1", "k2", "entry", "least", "copies").join(links, "entry", "left").join(near.withColumnRenamed("node", "entry"), "entry", "left")
