@@ -54,6 +54,39 @@ def test_pages_split_and_join(spark):
         observations.split_pages(bad, "series").collect()
 
 
+def test_page_files_are_read_by_several_tasks(spark, folder):
+    values = lambda o: [{"date": f"2020-01-{d:02}", "value": f"{o}.{d}", "realtime_start": "2020-02-01", "realtime_end": "9999-12-31"} for d in range(1, 1 + o % 7)]
+    pages = [(s, o, json.dumps({"observations": values(o)})) for s in ("a b", "7") for o in range(60)]
+    frame = spark.createDataFrame(pages[::-1], "series string, offset int, body string").repartition(5)
+    observations.write_pages(frame, "series", f"{folder}/pages")
+    text = observations.concat_pages(frame, "series")
+    want = {s: [(r.value, r.date) for r in observations.observations(text, "series").where(F.col("series") == s).orderBy("ordinal").collect()] for s in ("a b", "7")}
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (61, 333, 1000, 1 << 20):  # the boundary falls on a cut somewhere
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", str(size))
+            got = observations.read_observations(spark, f"{folder}/pages", "series")
+            if size < 1000:
+                assert got.rdd.getNumPartitions() > 20
+            for s, rows in want.items():
+                assert [(r.value, r.date) for r in got.where(F.col("series") == s).orderBy("ordinal").collect()] == rows
+            heads = observations.read_pages(spark, f"{folder}/pages", "series").where("series = '7'").orderBy("ordinal")
+            assert [r.offset for r in heads.collect()] == list(range(60))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    spark.createDataFrame([("x", "offset=1\n{}"), ("x", observations.BOUNDARY + "nope\n{}")], "series string, t string").coalesce(1).write.partitionBy("series").text(f"{folder}/bad")
+    with pytest.raises(Exception, match="bad page header in x"):
+        observations.read_pages(spark, f"{folder}/bad", "series").collect()
+    with pytest.raises(Exception, match="no offset or body"):
+        observations.write_pages(spark.createDataFrame([("x", None, "{}")], "series string, offset int, body string"), "series", f"{folder}/none")
+    empty = spark.createDataFrame([("x", 1, "")], "series string, offset int, body string")
+    observations.write_pages(empty, "series", f"{folder}/empty")
+    assert observations.read_observations(spark, f"{folder}/empty", "series").count() == 0
+
+
 def test_bar_documents(spark):
     full = {"date": "2024-01-02T00:00:00.000Z", **{f: 1.5 for f in bars.FIELD_MAP}, "more": 1}
     docs = spark.createDataFrame(

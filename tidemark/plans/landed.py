@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import recipes as r
 from tidemark.plans.store import stored
-from tidemark.sources.observations import concat_pages
+from tidemark.session import scratch_path
+from tidemark.sources.observations import concat_pages, write_pages
 
 PAGE_ROWS = 100
 
@@ -68,6 +69,21 @@ def vintage_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return concat_pages(vintage_pages(spark, sf), "series")
 
 
+def vintage_files(spark: SparkSession, sf: str) -> str:
+    """The folder the same pages are landed in, one file per series."""
+    path = scratch_path(spark, "vintage_files")
+    write_pages(vintage_pages(spark, sf), "series", path)
+    return path
+
+
+def bar_files(spark: SparkSession, sf: str) -> str:
+    """The folder the bar documents are landed in, one file per symbol and year."""
+    path = scratch_path(spark, "bar_files")
+    docs = bar_documents(spark, sf).select("symbol", "year", "payload")
+    docs.write.partitionBy("symbol", "year").text(path)
+    return path
+
+
 def build_artifact_documents(spark: SparkSession, sf: str) -> DataFrame:
     """(path, text): a manifest or run report per event; some malformed, no object, or with secret-like keys."""
     e = r.table(spark, sf, "events")

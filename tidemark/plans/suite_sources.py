@@ -33,6 +33,18 @@ def _(spark, sf):
     return bars.document_errors(landed.bar_documents(spark, sf), ["symbol", "year"])
 
 
+@query("s1_bar_files", f"""SELECT lower(symbol) AS symbol, CAST(year(date) AS INTEGER) AS year, strftime(date, '%Y-%m-%dT00:00:00.000Z') AS date,
+  close, volume, adj_close FROM all_bars WHERE {SOUND}""", "close adj_close")
+def _(spark, sf):
+    docs = bars.read_bar_documents(spark, landed.bar_files(spark, sf))
+    named = [F.regexp_extract("path", f"/{c}=([^/]*)/", 1).alias(c) for c in ("symbol", "year")]
+    rows = bars.bar_rows(docs.select(*named, "payload"), ["symbol", "year"])
+    return rows.select(
+        F.url_decode("symbol").alias("symbol"), F.col("year").cast("int").alias("year"), "date", F.col("close").cast("double").alias("close"),
+        F.col("volume").cast("bigint").alias("volume"), F.col("adjClose").cast("double").alias("adj_close"),
+    )
+
+
 OBS = ", ".join(schemas.OBSERVED_COLUMNS)
 OBSD = " ".join(c for c in schemas.OBSERVED_COLUMNS if not c.endswith("volume"))
 
@@ -84,6 +96,23 @@ def _(spark, sf):
     return o.select("series", F.col("ordinal.page").alias("page"), F.col("ordinal.pos").alias("pos"), "date", "value", "realtime_start", "realtime_end")
 
 
+@query("s2_paged_files", f"""SELECT series, CAST(rn AS BIGINT) AS place, CAST(rn % 100 AS INTEGER) AS pos,
+  strftime(ref_date, '%Y-%m-%d') AS date,
+  CASE WHEN month(ref_date) = 6 AND print = 2 THEN '.' ELSE CAST(value AS VARCHAR) END AS value,
+  strftime(realtime_start, '%Y-%m-%d') AS realtime_start, strftime(realtime_end, '%Y-%m-%d') AS realtime_end FROM {RN}""")
+def _(spark, sf):
+    pages = observations.read_pages(spark, landed.vintage_files(spark, sf), "series")
+    rows = pages.select("series", "offset", F.posexplode(F.from_json("body", observations.BODY)["observations"]).alias("pos", "o"))
+    return rows.select("series", (F.col("offset") + F.col("pos")).alias("place"), "pos", "o.*")
+
+
+@query("p3_parsed_vintage_files", """SELECT series, ref_date, value, realtime_start, realtime_end FROM vintages
+WHERE NOT (month(ref_date) = 6 AND print = 2)""", "value")
+def _(spark, sf):
+    o = observations.read_observations(spark, landed.vintage_files(spark, sf), "series")
+    return macro.parse_vintages(o).select("series", "ref_date", "value", "realtime_start", "realtime_end")
+
+
 @query("s3_concatenated_pages", f"""SELECT series, CAST(count(*) AS BIGINT) AS pages, string_agg(CAST(o AS VARCHAR), ',' ORDER BY o) AS offsets
 FROM (SELECT DISTINCT series, rn // 100 * 100 AS o FROM {RN}) GROUP BY 1""")
 def _(spark, sf):
