@@ -1,4 +1,5 @@
 import datetime as dt
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -7,8 +8,9 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.functions import scalar
-from tidemark.operators import browse, coverage, fingerprint, health
+from tidemark.operators import browse, coverage, fingerprint, health, quality
 from tidemark.plans import builders as b
+from tidemark.plans import recipes as r
 from tidemark.sinks import upsert
 from tidemark.sources import tables
 
@@ -155,3 +157,26 @@ def test_duplicates_treat_null_keys_as_equal(spark):
 def test_tables_have_their_declared_schemas(spark, sf_dir):
     for name, df in b.tables(spark, sf_dir).items():
         assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == schemas.TABLE_COLUMNS[name]
+
+
+def test_gate_joins_a_pair_once_where_it_lies(spark, sf_dir):
+    t = b.tables(spark, sf_dir)
+    found = quality.database_checks(t, r.universe(spark), r.CLOSE_ONLY)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert len(joins) == 2 and all("FullOuter" in line for line in joins)
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(symbol" in line]
+    assert len(moved) == 1  # the universe's few symbols, which are counted
+    for name in b.PANEL:
+        assert len(t[name].inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_beside_keeps_unmatched_and_null_keys(spark):
+    rows = [(D(2020, 1, 2), "A", 0.1), (D(2020, 1, 3), "A", 0.2), (None, "A", 0.3), (D(2020, 1, 2), "B", None)]
+    child = spark.createDataFrame(rows, "date date, symbol string, drawdown_pct double")
+    parent = spark.createDataFrame([(D(2020, 1, 2), "A", 0.5), (None, "A", 0.3), (D(2020, 1, 6), "A", 0.0)], "date date, symbol string, drawdown_from_high double")
+    got = Counter((str(x.date), x.symbol, x._child, x._parent) for x in quality.beside(child, parent).collect())
+    assert got == Counter([
+        ("2020-01-02", "A", True, True), ("2020-01-03", "A", True, None), ("None", "A", True, None), ("2020-01-02", "B", True, None),
+        ("None", "A", None, True), ("2020-01-06", "A", None, True),
+    ])

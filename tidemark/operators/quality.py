@@ -40,6 +40,30 @@ def found(df: DataFrame, check: str, key: Column, detail: Column | None = None)
     return df.select(F.lit(check).alias("check_id"), key.alias("key"), (detail if detail is not None else F.lit("")).alias("detail"))
 
 
+def rules_broken(df: DataFrame, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """As ``rows_failing``, with a key for each rule: every rule between two tables reads one join of them."""
+    broken = [F.when(bad, F.struct(F.lit(name).alias("check_id"), key.alias("key"))) for name, (bad, key) in rules.items()]
+    return df.select(F.inline(F.array_compact(F.array(*broken)))).select("check_id", "key", F.lit("").alias("detail"))
+
+
+def beside(child: DataFrame, parent: DataFrame) -> DataFrame:
+    """Two panel tables row by row on (symbol, date), ``_child`` and ``_parent`` telling which side a row is on.
+
+    A full join: rows of one side only stay, rows without a symbol or a date match nothing. Tables that are kept by
+    symbol (``plans.store``) meet where they lie.
+    """
+    return child.withColumn("_child", F.lit(True)).join(parent.withColumn("_parent", F.lit(True)), ["symbol", "date"], "full")
+
+
+def on_spine_flag(df: DataFrame, trading: DataFrame) -> DataFrame:
+    """``_on_spine`` beside each row; NULL where the row's date is no trading day."""
+    return df.join(trading.select("date").distinct().withColumn("_on_spine", F.lit(True)), "date", "left")
+
+
+def _pair_key() -> Column:
+    return F.concat_ws("/", F.col("date").cast("string"), "symbol")
+
+
 def mismatch(df: DataFrame, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
     """One row per pair of numbers that should be equal, from a one-row frame."""
     pairs = F.array(
@@ -186,26 +210,41 @@ def outcome_checks(outcomes: DataFrame, daily: DataFrame, close_only: list[str])
             null_counts(outcomes, {f"return_{n}d": n for n in schemas.RETURN_HORIZONS}, "outcomes_null_count"),
             null_counts(full, {f"max_{w}_{n}d": n for n in schemas.EXTREME_HORIZONS for w in ("up", "down")}, "outcomes_null_count"),
             rows_failing(outcomes, _bar_key(), rules),
-            orphans(outcomes, daily, ["date", "symbol"], "outcomes_orphan"),
-            orphans(daily, outcomes, ["date", "symbol"], "outcomes_absent"),
-            next_return_mismatch(outcomes, daily),
+            rules_broken(
+                beside(outcomes.select("date", "symbol", "return_1d"), _next_returns(daily)),
+                {
+                    "outcomes_orphan": (F.col("_parent").isNull(), _pair_key()),
+                    "outcomes_absent": (F.col("_child").isNull(), _pair_key()),
+                    "outcomes_next_return": (_next_differs(), _bar_key()),
+                },
+            ),
         ]
     )
 
 
+def _next_returns(daily: DataFrame) -> DataFrame:
+    return daily.select("date", "symbol", F.lead("return_1d").over(market.by_symbol()).alias("_next"))
+
+
+def _next_differs(tolerance: float = 1e-9) -> Column:
+    return F.abs(F.col("return_1d") - F.col("_next")) > tolerance
+
+
 def next_return_mismatch(outcomes: DataFrame, daily: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     """Forward one-day returns that are not the next bar's own return."""
-    nxt = daily.select("date", "symbol", F.lead("return_1d").over(market.by_symbol()).alias("_next"))
-    x = outcomes.select("date", "symbol", "return_1d").join(nxt, ["date", "symbol"])
-    return found(x.where(F.abs(F.col("return_1d") - F.col("_next")) > tolerance), "outcomes_next_return", _bar_key())
+    x = outcomes.select("date", "symbol", "return_1d").join(_next_returns(daily), ["date", "symbol"])
+    return found(x.where(_next_differs(tolerance)), "outcomes_next_return", _bar_key())
 
 
 def drawdown_mismatch(reg: DataFrame, daily: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     """Regime drawdowns that differ from the bar's, a NULL on one side included."""
-    d = daily.select("date", "symbol", "drawdown_from_high")
+    x = reg.select("date", "symbol", "drawdown_pct").join(daily.select("date", "symbol", "drawdown_from_high"), ["date", "symbol"])
+    return found(x.where(_drawdowns_differ(tolerance)), "regimes_drawdown", _bar_key())
+
+
+def _drawdowns_differ(tolerance: float) -> Column:
     a, b = F.col("drawdown_pct"), F.col("drawdown_from_high")
-    x = reg.select("date", "symbol", "drawdown_pct").join(d, ["date", "symbol"])
-    return found(x.where((a.isNull() != b.isNull()) | (F.abs(a - b) > tolerance)), "regimes_drawdown", _bar_key())
+    return (a.isNull() != b.isNull()) | (F.abs(a - b) > tolerance)
 
 
 # Fixed values.
@@ -243,9 +282,14 @@ def regime_checks(reg: DataFrame, daily: DataFrame, universe: DataFrame) -> Data
             duplicate_keys(reg, ["date", "symbol"], "regimes_duplicate"),
             null_counts(reg, warmup, "regimes_null_count"),
             rows_failing(x, _bar_key(), rules),
-            drawdown_mismatch(reg, daily, 1e-12),
-            orphans(reg, daily, ["date", "symbol"], "regimes_orphan"),
-            orphans(daily, reg, ["date", "symbol"], "regimes_absent"),
+            rules_broken(
+                beside(reg.select("date", "symbol", "drawdown_pct"), daily.select("date", "symbol", "drawdown_from_high")),
+                {
+                    "regimes_orphan": (F.col("_parent").isNull(), _pair_key()),
+                    "regimes_absent": (F.col("_child").isNull(), _pair_key()),
+                    "regimes_drawdown": (F.col("_child") & F.col("_parent") & _drawdowns_differ(1e-12), _bar_key()),
+                },
+            ),
         ]
     )
 
@@ -419,8 +463,17 @@ def database_checks(t: dict[str, DataFrame], universe: DataFrame, close_only: li
     mc, cc, ev = t["macro_conditions"], t["calendar_context"], t["scheduled_events"]
     n = lambda name: t[name].agg(F.count("*")).scalar()
     one = td.sparkSession.range(1)
-    pk = ["date", "symbol"]
-    first = dmd.withColumn("_rn", F.row_number().over(market.by_symbol())).where("_rn = 1")
+    close_shape = market.is_close_only(close_only)
+    bars = on_spine_flag(dmd.withColumn("_rn", F.row_number().over(market.by_symbol())), td)
+    bar_rules = {
+        "gate_drawdown_missing": F.col("drawdown_from_high").isNull(),
+        "gate_first_return": (F.col("_rn") == 1) & F.col("return_1d").isNotNull(),
+        "gate_full_shape": ~close_shape & reduce(lambda a, b: a | b, [F.col(c).isNull() for c in OHLC]),
+        "gate_close_only_shape": close_shape & (F.col("close").isNull() | reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in OHLC])),
+    }
+    day, off = F.coalesce(F.col("date").cast("string"), F.lit("")), F.col("_on_spine").isNull()
+    by_outcome = on_spine_flag(beside(mo.select("date", "symbol", "return_1d"), _next_returns(dmd)), td)
+    by_regime = on_spine_flag(beside(ar.select("date", "symbol", "drawdown_pct"), dmd.select("date", "symbol", "drawdown_from_high")), td)
     return union(
         [
             mismatch(
@@ -436,18 +489,22 @@ def database_checks(t: dict[str, DataFrame], universe: DataFrame, close_only: li
                 },
             ),
             orphans(td, mc, ["date"], "gate_macro_absent"), orphans(td, cc, ["date"], "gate_context_absent"),
-            orphans(mo, dmd, pk, "gate_outcome_orphan"), orphans(ar, dmd, pk, "gate_regime_orphan"),
-            orphans(dmd, td, ["date"], "gate_bars_off_spine"), orphans(mo, td, ["date"], "gate_outcomes_off_spine"),
-            orphans(ar, td, ["date"], "gate_regimes_off_spine"),
-            drawdown_mismatch(ar, dmd), next_return_mismatch(mo, dmd), flag_count_mismatch(cc, ev, td),
-            found(dmd.where("drawdown_from_high IS NULL"), "gate_drawdown_missing", _bar_key()),
-            found(first.where("return_1d IS NOT NULL"), "gate_first_return", _bar_key()),
-            rows_failing(
-                dmd, _bar_key(),
+            flag_count_mismatch(cc, ev, td),
+            rules_broken(bars, {name: (bad, _bar_key()) for name, bad in bar_rules.items()} | {"gate_bars_off_spine": (off, day)}),
+            rules_broken(
+                by_outcome,
+                {
+                    "gate_outcome_orphan": (F.col("_parent").isNull(), _pair_key()),
+                    "gate_outcomes_off_spine": (F.col("_child") & off, day),
+                    "outcomes_next_return": (_next_differs(), _bar_key()),
+                },
+            ),
+            rules_broken(
+                by_regime,
                 {
-                    "gate_full_shape": ~market.is_close_only(close_only) & reduce(lambda a, b: a | b, [F.col(c).isNull() for c in OHLC]),
-                    "gate_close_only_shape": market.is_close_only(close_only)
-                    & (F.col("close").isNull() | reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in OHLC])),
+                    "gate_regime_orphan": (F.col("_parent").isNull(), _pair_key()),
+                    "gate_regimes_off_spine": (F.col("_child") & off, day),
+                    "regimes_drawdown": (F.col("_child") & F.col("_parent") & _drawdowns_differ(1e-9), _bar_key()),
                 },
             ),
         ]

@@ -27,7 +27,7 @@ def market_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def asset_regimes(spark: SparkSession, sf: str) -> DataFrame:
-    trailing = stored(spark, sf, "trailing_fields", _trailing)  # the window pass is read twice
+    trailing = stored(spark, sf, "trailing_fields", _trailing, together=PANEL_ORDER)  # the window pass is read twice
     return schemas.conform(regimes.labelled(trailing), "asset_regimes")
 
 
@@ -76,6 +76,9 @@ def calendar_context(spark: SparkSession, sf: str) -> DataFrame:
     return schemas.conform(c, "calendar_context")
 
 
+PANEL_ORDER = ("symbol", "date")  # a symbol's rows of every panel table lie together, in date order
+PANEL = ("daily_market_data", "market_outcomes", "asset_regimes")
+
 BUILDERS = {
     "trading_days": trading_days,
     "daily_market_data": daily_market_data,
@@ -89,7 +92,7 @@ BUILDERS = {
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A canonical table as written parquet, built on first use."""
-    return stored(spark, sf, name, BUILDERS[name])
+    return stored(spark, sf, name, BUILDERS[name], together=PANEL_ORDER if name in PANEL else None)
 
 
 def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

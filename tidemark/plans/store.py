@@ -29,16 +29,32 @@ def _state(spark: SparkSession, folder: str) -> tuple:
     return tuple(sorted(found))
 
 
-def stored(spark: SparkSession, sf: str, name: str, build: Callable[[SparkSession, str], DataFrame], by: str | None = None) -> DataFrame:
-    """The named table of an input folder, written on first use in this application, a folder for each value of ``by``."""
+def stored(
+    spark: SparkSession, sf: str, name: str, build: Callable[[SparkSession, str], DataFrame], by: str | None = None,
+    together: tuple[str, str] | None = None,
+) -> DataFrame:
+    """The named table of an input folder, written on first use in this application, a folder for each value of ``by``.
+
+    Tables kept ``together`` by (key, order) share one bucketing on the key, as many buckets as shuffle partitions, sorted
+    in each: joins, windows and aggregates by that key then read them where they lie, without an exchange.
+    """
     key = (spark.sparkContext.applicationId, sf, name, _state(spark, sf))
     if key not in _WRITTEN:
         path = scratch_path(spark, name)
         df = build(spark, sf)
-        (df.write.partitionBy(by) if by else df.write).parquet(path)
+        if together:
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            df.write.bucketBy(n, together[0]).sortBy(*together).option("path", path).saveAsTable(_entry(path))
+        else:
+            (df.write.partitionBy(by) if by else df.write).parquet(path)
         _WRITTEN[key] = (path, df.schema)
     path, schema = _WRITTEN[key]
-    return spark.read.schema(schema).parquet(path)
+    return spark.table(_entry(path)) if together else spark.read.schema(schema).parquet(path)
+
+
+def _entry(path: str) -> str:
+    """The catalog's name of a bucketed table; each written folder is new, so each name is."""
+    return path.rsplit("/", 1)[1].replace("-", "_")
 
 
 def forget() -> None:

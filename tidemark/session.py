@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", app: str = "tidemark", shuffle: int =
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")  # small local data
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")  # tables kept by symbol join on (symbol, date) in place
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
