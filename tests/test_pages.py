@@ -88,6 +88,16 @@ def test_a_deep_page_reads_few_ranges(spark, folder):
     assert len(re.findall(r"\b\d+\b", re.sub(r"#\d+", "", asked[0]))) <= 2  # the ranges that hold ranks 590 to 599
 
 
+def test_ranges_grow_where_they_would_be_too_many(spark, folder, monkeypatch):
+    monkeypatch.setattr(pages, "MAX_RANGES", 6)
+    df, rows = table(spark, 300)
+    index = pages.write(df, os.path.join(folder, "index"), "daily_market_data", "close", "desc", rows_per_range=5)
+    assert 3 < index.ranges.count() <= 6
+    want = in_order(rows, "close", "desc")
+    assert got(pages.page(index, 12, 20)) == want[220:240]
+    assert got(pages.page_after(index, dict(zip(NAMES, want[149], strict=True)), 30, browse.Filters(symbol="S2"))) == [r for r in want[150:] if r[1] == "S2"][:30]
+
+
 def test_an_empty_table_has_empty_pages(spark, folder):
     df, _ = table(spark, 5)
     index = pages.write(df.limit(0), os.path.join(folder, "index"), "daily_market_data", "volume")

@@ -21,6 +21,8 @@ from tidemark.operators import browse
 RANGE = "_range"
 #: Rows of a range, about: what a page reads at least.
 ROWS_PER_RANGE = 100_000
+#: Ranges of an index, at most: more rows make them longer, so the exchange, the folders and the summary stay few.
+MAX_RANGES = 1000
 #: Ranges a seek reads at first; as many again while filters leave a page short.
 SEEK_RANGES = 2
 
@@ -46,7 +48,7 @@ def ranged(df: DataFrame, key: str, sort: str | None = None, direction: str = "a
     """The rows with their range under a sort; one exchange. To be written with ``_range`` as the partition column."""
     spec = browse.spec_of(key)
     keys = browse.sort_keys(spec, *browse.resolve_sort(spec, sort, direction))
-    parts = max(1, -(-df.count() // rows_per_range))
+    parts = min(MAX_RANGES, max(1, -(-df.count() // rows_per_range)))
     return df.repartitionByRange(parts, *keys).withColumn(RANGE, F.spark_partition_id())
 
 
