@@ -100,9 +100,9 @@ def adjusted(raw: DataFrame) -> DataFrame:
     split = F.col("symbol") == SPLIT_SYMBOL
     late = F.col("date") >= F.lit(SPLIT_DATE).cast("date")
     k = F.when(split & ~late, 0.5).otherwise(1.0)
-    from pyspark.sql import Window
+    from tidemark.operators.market import by_symbol
 
-    first_late = F.row_number().over(Window.partitionBy("symbol", late).orderBy("date")) == 1
+    first_late = late & ~F.coalesce(F.lag(late).over(by_symbol()), F.lit(False))  # in the order of the panel's other windows
     keep = lambda c: F.when(full, c)
     return raw.select(
         "date", "symbol",
@@ -111,7 +111,7 @@ def adjusted(raw: DataFrame) -> DataFrame:
         keep(F.col("open") * k).alias("adj_open"), keep(F.col("high") * k).alias("adj_high"),
         keep(F.col("low") * k).alias("adj_low"), keep(F.col("close") * k).alias("adj_close"),
         keep(F.col("volume")).alias("adj_volume"), keep(F.lit(0.0)).alias("dividend_cash"),
-        keep(F.when(split & late & first_late, 2.0).otherwise(1.0)).alias("split_factor"),
+        keep(F.when(split & first_late, 2.0).otherwise(1.0)).alias("split_factor"),
     )
 
 

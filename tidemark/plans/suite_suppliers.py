@@ -15,6 +15,7 @@ from tidemark import schemas
 from tidemark.operators import asof, browse, coverage, health, market, pages, regimes
 from tidemark.plans import recipes as r
 from tidemark.plans import registry, suite_market, suite_quality
+from tidemark.plans.builders import PANEL_ORDER
 from tidemark.plans.reference_sql import CTES
 from tidemark.plans.store import stored
 
@@ -25,6 +26,9 @@ SELECT CAST(l_shipdate AS DATE) AS date, 'S' || l_suppkey AS symbol,
 FROM lineitem GROUP BY 1, 2"""
 
 
+ITEMS_PER_TASK = 500_000
+
+
 def query(name: str, statement: str, doubles: str = ""):
     add = registry.query(name, statement, doubles)
 
@@ -39,16 +43,25 @@ def query(name: str, statement: str, doubles: str = ""):
 
 
 def build_bars(spark, sf):
+    """Bars of the line items. Hardly two items share a day and a supplier, so items aren't summed up before their one
+    exchange, by symbol alone: the bars, and every window by symbol over them, then stay in place. Its partitions are as many
+    as the items need to be sorted in memory, a multiple of the buckets the panel is kept in, so that each writes to one."""
     li = r.table(spark, sf, "lineitem")
-    px, at = F.col("l_extendedprice"), F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    raw = li.groupBy(F.col("l_shipdate").cast("date").alias("date"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol")).agg(
-        F.min_by(px, at).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"), F.max_by(px, at).alias("close"), F.count("*").alias("volume")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = buckets * max(1, -(-li.count() // (buckets * ITEMS_PER_TASK)))
+    symbol = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
+    sales = li.select(
+        F.col("l_shipdate").cast("date").alias("date"), symbol.alias("symbol"), F.col("l_extendedprice").alias("px"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("at"),
+    ).repartition(parts, "symbol")
+    raw = sales.groupBy("date", "symbol").agg(
+        F.min_by("px", "at").alias("open"), F.max("px").alias("high"), F.min("px").alias("low"), F.max_by("px", "at").alias("close"), F.count("*").alias("volume")
     )
     return asof.on_spine(r.adjusted(raw), r.spine(spark, sf))
 
 
 def build_daily(spark, sf):
-    return schemas.conform(market.daily_fields(stored(spark, sf, "supplier_bars", build_bars), []), "daily_market_data")
+    return schemas.conform(market.daily_fields(build_bars(spark, sf), []), "daily_market_data")
 
 
 def build_trailing(spark, sf):
@@ -56,7 +69,7 @@ def build_trailing(spark, sf):
 
 
 def daily(spark, sf):
-    return stored(spark, sf, "supplier_daily", build_daily)
+    return stored(spark, sf, "supplier_daily", build_daily, together=PANEL_ORDER)
 
 
 def universe(spark, sf):
@@ -77,7 +90,7 @@ def _(spark, sf):
 
 @query("b4_regimes_by_supplier", suite_market._all("asset_regimes"), suite_market.REG)
 def _(spark, sf):
-    return schemas.conform(regimes.labelled(stored(spark, sf, "supplier_trailing", build_trailing)), "asset_regimes")
+    return schemas.conform(regimes.labelled(stored(spark, sf, "supplier_trailing", build_trailing, together=PANEL_ORDER)), "asset_regimes")
 
 
 @query("a2_coverage_by_supplier", suite_quality.A2, "coverage_pct")
