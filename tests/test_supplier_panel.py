@@ -1,8 +1,10 @@
-"""The panel of suppliers: bars of line items by one exchange."""
+"""The panel of suppliers: bars of line items by one exchange, labels without another."""
 
 import datetime as dt
 import os
+import random
 
+from tidemark.operators import rank, regimes
 from tidemark.plans import suite_suppliers
 
 DAY = dt.date(1998, 5, 4)
@@ -39,3 +41,35 @@ def test_bars_and_windows_need_one_exchange(spark, folder):
         assert r.close == max(xs)[1]
         if k[0] is not None:
             assert (r.open, r.high, r.low, r.volume) == (min(xs)[1], max(x for _, x in xs), min(x for _, x in xs), len(xs))
+
+
+def test_earlier_rows_are_counted_in_place(spark):
+    pick = random.Random(3)
+    rows = [(k, i, pick.choice([1.0, 2.0, 3.0, 4.5])) for k in "ab" for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, i int, v double").repartition("k")
+    ranked = rank.earlier_not_above(df, ["k"], ["i"], "v", out="n")
+    assert len(exchanges(ranked)) == 1 and "Join" not in ranked._jdf.queryExecution().executedPlan().toString()
+    assert {(r.k, r.i, r.v, r.n) for r in ranked.collect()} == {
+        (k, i, v, sum(1 for a, b, c in rows if a == k and b < i and c <= v)) for k, i, v in rows
+    }
+
+
+def test_labels_meet_rows_by_symbol(spark):
+    pick = random.Random(5)
+    rows = [(s, DAY + dt.timedelta(days=i), pick.choice([None, round(pick.random(), 1)])) for s in ("A", "B", "C", None) for i in range(400)]
+    rows = [(s, d, None if s == "C" else v) for s, d, v in rows]
+    df = spark.createDataFrame(rows, "symbol string, date date, volatility_20d double").repartition("symbol")
+    labelled, together = regimes.labelled(df), "spark.sql.requireAllClusterKeysForCoPartition"
+    held = spark.conf.get(together)
+    spark.conf.set(together, "true")  # as a session that sets nothing has it
+    try:
+        assert not [e for e in exchanges(labelled) if "date" in e]
+    finally:
+        spark.conf.set(together, held)
+    least, want = regimes.schemas.VOL_MIN_OBSERVATIONS, {}
+    for s, d, v in rows:
+        seen = [x for a, b, x in rows if a == s and b <= d and x is not None]
+        k, n = sum(x <= v for x in seen) if v is not None else 0, len(seen)
+        none = s is None or v is None or n < least
+        want[s, d] = (v, None if none else "low" if 3 * k <= n else "normal" if 3 * k <= 2 * n else "high")
+    assert {(r.symbol, r.date): (r.volatility_20d, r.volatility_regime) for r in labelled.collect()} == want

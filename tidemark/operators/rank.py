@@ -6,7 +6,8 @@ earlier row j and a later row i first differ, from the top, at one digit, where
 j's is the smaller.  So for each digit position, rows sharing the higher digits
 form a group in which one window ordered by value keeps a running count per
 digit, and each row adds the counts of the smaller digits.  Every pair is counted
-once: n log16 n rows, one shuffle for all positions.
+once: n log16 n rows, one shuffle for all positions, and none where the rows already
+lie by key: the row itself travels with its first digit, so it's not joined back.
 """
 
 from __future__ import annotations
@@ -26,16 +27,18 @@ def earlier_not_above(
     n = df.withColumn("_w", (weight if weight is not None else F.lit(1)).cast("bigint"))
     n = n.withColumn("_i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_n", F.count("*").over(w))
     top = F.ceil(F.log2(F.greatest(F.col("_n"), F.lit(2))) / BITS).cast("int") - 1
-    at = n.select(*keys, "_i", "_w", F.col(value).alias("_v"), F.explode(F.sequence(F.lit(0), top)).alias("_l"))
+    rest = {f"_r{j}": c for j, c in enumerate(df.columns) if c not in keys}  # carried by the rows of the first digit
+    at = n.select(*keys, *[F.col(c).alias(r) for r, c in rest.items()], "_i", "_w", F.col(value).alias("_v"), F.explode(F.sequence(F.lit(0), top)).alias("_l"))
+    at = at.withColumns({r: F.when(F.col("_l") == 0, F.col(r)) for r in rest})
     at = at.withColumn("_g", F.expr(f"shiftright(_i, {BITS} * (_l + 1))"))
     at = at.withColumn("_d", F.expr(f"shiftright(_i, {BITS} * _l) & {2**BITS - 1}"))
     below = Window.partitionBy(*keys, "_l", "_g").orderBy("_v").rangeBetween(Window.unboundedPreceding, 0)
     counts = [F.sum(F.when(F.col("_d") < d, F.col("_w"))).over(below).alias(f"_c{d}") for d in range(1, 2**BITS)]
-    part = at.select(*keys, "_i", "_d", *counts).where("_d > 0")
-    mine = F.array(*[F.col(f"_c{d}") for d in range(1, 2**BITS)])[F.col("_d") - 1]
-    counted = part.groupBy(*keys, "_i").agg(F.sum(mine).alias("_k"))
-    joined = n.join(counted, [*keys, "_i"], "left")
-    return joined.select(*df.columns, F.coalesce("_k", F.lit(0)).alias(out))
+    part = at.select(*keys, *rest, "_i", "_d", "_l", *counts).where("_d > 0 OR _l = 0")
+    mine = F.when(F.col("_d") > 0, F.array(*[F.col(f"_c{d}") for d in range(1, 2**BITS)])[F.col("_d") - 1])
+    whole = [F.first(r, ignorenulls=True).alias(c) for r, c in rest.items()]
+    counted = part.groupBy(*keys, "_i").agg(*whole, F.sum(mine).alias("_k"))
+    return counted.select(*df.columns, F.coalesce("_k", F.lit(0)).alias(out))
 
 
 def tercile(k: Column, n: Column, least: int) -> Column:

@@ -98,9 +98,17 @@ def asset_regimes(daily: DataFrame, universe: DataFrame, close_only: list[str])
 
 
 def labelled(trailing: DataFrame) -> DataFrame:
-    """Trailing fields with the expanding volatility label."""
+    """Trailing fields with the expanding volatility label.
+
+    A symbol's labels, one for each known volatility, meet its rows as one array (the calendar bounds it): a join by symbol
+    alone, for which rows that lie by symbol stay in place.
+    """
     labels = volatility_regime(trailing.select("symbol", "date", "volatility_20d"))
-    return trailing.join(labels, ["symbol", "date"], "left")
+    known = labels.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("date", "volatility_regime"))).alias("_labels"))
+    nth = F.count("volatility_20d").over(by_symbol().rowsBetween(Window.unboundedPreceding, 0))
+    label = F.when(F.col("volatility_20d").isNotNull(), F.get("_labels", F.col("_nth") - 1)["volatility_regime"])
+    joined = trailing.withColumn("_nth", nth.cast("int")).join(known, "symbol", "left")
+    return joined.select(*trailing.columns, label.alias("volatility_regime"))
 
 
 def full_sample_tercile(df: DataFrame, value: str, out: str) -> DataFrame:
