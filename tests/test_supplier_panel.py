@@ -73,3 +73,14 @@ def test_labels_meet_rows_by_symbol(spark):
         none = s is None or v is None or n < least
         want[s, d] = (v, None if none else "low" if 3 * k <= n else "normal" if 3 * k <= 2 * n else "high")
     assert {(r.symbol, r.date): (r.volatility_20d, r.volatility_regime) for r in labelled.collect()} == want
+
+
+def test_labels_of_repeated_days(spark):
+    """Rows and labels of a day meet as in a join by symbol and day; a row without a value takes its day's label, one without a day none."""
+    days = [DAY + dt.timedelta(days=i) for i in range(280)]
+    rows = [("A", d, 0.5) for d in days for _ in range(2)] + [("B", d, 0.5) for d in days] + [("B", days[-1], None), ("B", None, None), ("C", days[0], None)]
+    df = spark.createDataFrame(rows, "symbol string, date date, volatility_20d double")
+    got = [(r.symbol, r.date, r.volatility_20d, r.volatility_regime) for r in regimes.labelled(df).collect()]
+    assert sum(r[0] == "A" for r in got) == 4 * len(days) and {r[3] for r in got if r[0] == "A"} == {None, "high"}
+    assert ("B", days[-1], None, "high") in got and ("B", None, None, None) in got and ("C", days[0], None, None) in got
+    assert sum(r[0] == "B" for r in got) == len(days) + 2

@@ -53,8 +53,7 @@ def tercile(k: Column, n: Column, least: int) -> Column:
 
 def expanding_tercile(df: DataFrame, keys: list[str], order: str, value: str, least: int, out: str) -> DataFrame:
     """(keys, order, out): label of each non-NULL value by its rank among those seen so far, itself included."""
-    seen = df.where(F.col(value).isNotNull()).select(*keys, order, value)
     w = (Window.partitionBy(*keys) if keys else Window).orderBy(order)
-    ranked = earlier_not_above(seen, keys, [order], value)
-    n = F.row_number().over(w)
-    return ranked.select(*keys, order, tercile(F.col("k") + 1, n, least).alias(out))
+    seen = df.where(F.col(value).isNotNull()).select(*keys, order, value, F.row_number().over(w).alias("_nth"))
+    ranked = earlier_not_above(seen, keys, ["_nth"], value)  # the rank and the number of rows so far go by one numbering
+    return ranked.select(*keys, order, tercile(F.col("k") + 1, F.col("_nth"), least).alias(out))

@@ -100,15 +100,18 @@ def asset_regimes(daily: DataFrame, universe: DataFrame, close_only: list[str])
 def labelled(trailing: DataFrame) -> DataFrame:
     """Trailing fields with the expanding volatility label.
 
-    A symbol's labels, one for each known volatility, meet its rows as one array (the calendar bounds it): a join by symbol
-    alone, for which rows that lie by symbol stay in place.
+    A symbol's labels, one for each known volatility, meet its rows as one array in date order (the calendar bounds it): a
+    join by symbol alone, for which rows that lie by symbol stay in place. A row takes the labels of its day from the array,
+    as a join by day would give them where days repeat.
     """
     labels = volatility_regime(trailing.select("symbol", "date", "volatility_20d"))
     known = labels.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("date", "volatility_regime"))).alias("_labels"))
-    nth = F.count("volatility_20d").over(by_symbol().rowsBetween(Window.unboundedPreceding, 0))
-    label = F.when(F.col("volatility_20d").isNotNull(), F.get("_labels", F.col("_nth") - 1)["volatility_regime"])
-    joined = trailing.withColumn("_nth", nth.cast("int")).join(known, "symbol", "left")
-    return joined.select(*trailing.columns, label.alias("volatility_regime"))
+    through = F.count("volatility_20d").over(by_symbol().rangeBetween(Window.unboundedPreceding, 0)).cast("int")
+    today = F.count("volatility_20d").over(Window.partitionBy("symbol", "date")).cast("int")
+    joined = trailing.withColumns({"_through": through, "_today": today}).join(known, "symbol", "left")
+    found = F.when(F.col("date").isNotNull(), F.slice("_labels", F.col("_through") - F.col("_today") + 1, F.col("_today")))
+    out = joined.select(*trailing.columns, F.explode_outer(found).alias("_label"))
+    return out.select(*trailing.columns, F.col("_label.volatility_regime").alias("volatility_regime"))
 
 
 def full_sample_tercile(df: DataFrame, value: str, out: str) -> DataFrame:
