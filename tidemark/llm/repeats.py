@@ -27,10 +27,13 @@ GRAM = 100
 REACH = LENGTH - GRAM
 #: Surroundings of one gram that a task puts in suffix order, and the bytes it puts in order at a time.
 CROWD = 8000
-SORTED_BYTES = 2 << 20
+SORTED_BYTES = 1 << 19
 #: Repeated grams that are sent to all tasks (32 MB) to drop others early; more of them are joined instead.
 SENT = 4 << 20
 
+#: Text bytes whose grams are made at a time: some hundred bytes of numbers go with each.
+HASHED_BYTES = 1 << 18
+
 SPAN = "array<struct<begin:int,end:int>>"
 SPAN_ARROW = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
 
@@ -82,7 +85,7 @@ def _node(raw: bytes) -> bytes:
 def _different(batches, seen: set):
     """Slices of texts of at least LENGTH bytes, each text once a task: (nodes, flat, bounds)."""
     for batch in batches:
-        for part in C.slices(batch, "text"):
+        for part in C.slices(batch, "text", HASHED_BYTES):
             flat, bounds = C.flat_bytes(part.column("text"))
             raw, keep, nodes = flat.tobytes(), [], []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -123,7 +126,7 @@ def _occurrences(known):
 def _cut(batches):
     """The bytes around the wanted places of a text."""
     for batch in batches:
-        for part in C.slices(batch, "text", 4 << 20):
+        for part in C.slices(batch, "text"):
             out = []
             for node, least, text, places in zip(*(part.column(c).to_pylist() for c in ("node", "least", "text", "places")), strict=True):
                 raw = text.encode()
