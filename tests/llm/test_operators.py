@@ -644,6 +644,23 @@ def test_near_copies_behind_unlike_centres(spark):
     assert got[120:] == 2 * [min(map(order_minhash._node, p)) for p in pairs]
 
 
+def test_near_copies_of_a_template_list_few_pairs(spark, monkeypatch):
+    """Texts of one template, unlike each other, that meet in three buckets: lengths and bitmaps tell them apart, once a pair."""
+    shared = versions(1, 0, 400, 260)[0]
+    texts = [shared + " " + versions(1, 0, 500 + i, 40)[0] for i in range(60)]
+    texts += [t + " end" for t in texts[:5]]
+    assert not similar(texts[0], texts[1]) and similar(texts[0], texts[60])
+    tried, scored = [], order_minhash._scored
+    monkeypatch.setattr(order_minhash, "_scored", lambda pairs, texts: (tried.append(pairs.count()), scored(pairs, texts))[1])
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    sketched = spark.createDataFrame([(order_minhash._node(t), [1, 2, 3]) for t in texts], "node binary, sketches array<long>")
+    label = {bytes(r.node): bytes(r.label) for r in order_minhash.labels(docs, sketched).collect()}
+    got = [label.get(order_minhash._node(t), order_minhash._node(t)) for t in texts]
+    want = [min(map(order_minhash._node, (texts[i], texts[60 + i]))) for i in range(5)]
+    assert got == want + [order_minhash._node(t) for t in texts[5:60]] + want
+    assert sum(tried) <= 2 * len(texts)  # of 2,080
+
+
 def test_near_copies_odd_rows(odd):
     got = [(r.doc_id, r.class_id, r.kept) for r in order_minhash.classes(odd).collect()]
     assert len(got) == odd.count()

@@ -2,8 +2,8 @@
 
 A document is the sequence of its five-word shingles, each labelled with its occurrence. Every sketch takes the
 ``MINIMA`` least shingles under one hash function and keeps them in text order, so that equal sketches speak for equal
-order too. Documents with a sketch in common are candidates; each is aligned with one document of its bucket, and then
-all pairs of a bucket that are still in different components are, unless their lengths or the histograms of their
+order too. Documents with a sketch in common are candidates; each is aligned with one document of its buckets, and then
+all pairs of a bucket that are still in different components are, unless their lengths or the bitmaps of their
 shingles prove them unlike. Equal texts count once.
 """
 
@@ -14,7 +14,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
@@ -26,10 +26,14 @@ SHINGLE = 5
 #: and none of 20 with probability below 1e-6.
 SKETCHES, MINIMA = 20, 3
 SIMILAR = 0.8
-#: Bins of a text's histogram of shingles, members of a bucket that meet in one task, and pairs of a component in the first round.
-BINS = 128
+#: Bits of a text's bitmap for each of its shingles, at least; members of a bucket that meet in one task; partners that a
+#: text hands on in the first round; pairs that a task holds before it keeps so many of each text.
+BITS = 8
 BLOCK = 1024
-FIRST = 16
+FIRST = 4
+HELD = 1 << 18
+#: Text bytes whose shingles are made at a time: some hundred bytes of numbers go with each.
+SHINGLED_BYTES = 1 << 18
 
 
 def _shingles(words: Words, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,54 +172,105 @@ def _verify(batches):
             yield pa.RecordBatch.from_arrays([part.column("node"), part.column("centre"), pa.array(score, pa.float64())], ["node", "centre", "similarity"])
 
 
-def _histogram(batches):
-    """Of every text its number of shingles and an upper bound of their counts by ``BINS`` hashes, as bytes times 2**shift."""
+def _bitmap(batches):
+    """Of every text its number of shingles and a bitmap of them, each with its occurrence; a power of two of bits."""
     for batch in batches:
-        for part in C.slices(batch, "text", 4 << 20):
-            n = part.num_rows
-            row, h = _shingles(Words(*C.flat_bytes(part.column("text"))), n)
-            counts = np.bincount(row * BINS + (h % np.uint64(BINS)).astype(np.int64), minlength=n * BINS).reshape(n, BINS)
-            shift = np.zeros(n, np.int64)
-            while (over := counts > 255 << shift[:, None]).any():
-                shift += over.any(axis=1)
-            told = (counts + (1 << shift[:, None]) - 1 >> shift[:, None]).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("node"), pa.array(np.bincount(row, minlength=n), pa.int64()), pa.array(shift.astype(np.int32)), pa.array([t.tobytes() for t in told], pa.binary())], ["node", "size", "shift", "bins"]
-            )
-
-
-def _possible(table: pa.Table) -> pa.Table:
-    """Pairs of a bucket, from two components, that their lengths and histograms allow to be similar, with the bound."""
-    table = table.sort_by([("bucket", "ascending"), ("low", "ascending"), ("high", "ascending"), ("node", "ascending")])
-    node, label = (table.column(c).combine_chunks().dictionary_encode().indices.to_numpy() for c in ("node", "label"))
-    bucket, low, high, mine, size = (table.column(c).to_numpy() for c in ("bucket", "low", "high", "mine", "size"))
-    bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
-    scale = table.column("shift").to_numpy().astype(np.int64)
-    left, right, bound = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-    n, d = len(node), 1
-    i = np.arange(n - 1)
-    while len(i := i[i + d < n]):
-        j = i + d
-        same = (bucket[i] == bucket[j]) & (low[i] == low[j]) & (high[i] == high[j])
-        i, j = i[same], j[same]  # who has no neighbour at this distance has none farther away
-        ok = (label[i] != label[j]) & ((low[i] == high[i]) | (mine[i] != mine[j])) & (np.minimum(size[i], size[j]) >= SIMILAR * np.maximum(size[i], size[j]) - 1e-9)
-        for a in range(0, len(some := np.flatnonzero(ok)), 8192):
-            x, y = i[some[a : a + 8192]], j[some[a : a + 8192]]
-            plain = (scale[x] == 0) & (scale[y] == 0)
-            shared = np.minimum(bins[x], bins[y]).sum(axis=1, dtype=np.int64)
-            if not plain.all():
-                u, v = x[~plain], y[~plain]
-                shared[~plain] = np.minimum(bins[u].astype(np.int64) << scale[u][:, None], bins[v].astype(np.int64) << scale[v][:, None]).sum(axis=1)
-            total = size[x] + size[y]
-            near = shared >= SIMILAR * total / (1 + SIMILAR) - 1e-9
-            left.append(x[near])
-            right.append(y[near])
-            bound.append((shared / total)[near])
-        d += 1
-    x, y, most = np.concatenate(left), np.concatenate(right), np.concatenate(bound)
-    _, once = np.unique(node[x].astype(np.int64) * n + node[y], return_index=True)
-    names = table.column("node").combine_chunks()
-    return pa.table([names.take(pa.array(y[once])), names.take(pa.array(x[once])), pa.array(most[once])], ["node", "centre", "bound"])
+        for part in C.slices(batch, "text", SHINGLED_BYTES):
+            row, h = _shingles(Words(*C.flat_bytes(part.column("text"))), part.num_rows)
+            labelled = C.mixed(h + _occurrences(row, h).astype(np.uint64) * np.uint64(C.WORD_BASE))
+            size = np.bincount(row, minlength=part.num_rows)
+            bits = []
+            for mine in np.split(labelled, np.cumsum(size)[:-1]):
+                marks = np.zeros(1 << max(9, (BITS * len(mine) - 1).bit_length()), bool)
+                marks[mine & np.uint64(len(marks) - 1)] = True
+                bits.append(np.packbits(marks, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(size, pa.int64()), pa.array(bits, pa.binary())], ["node", "size", "bits"])
+
+
+class _Bitmaps:
+    """Bitmaps of many texts; two are compared at the length of the shorter, to which the longer is folded."""
+
+    def __init__(self, bits: list[bytes], size: np.ndarray):
+        self.length, self.size, self.at = np.array([len(b) for b in bits]), size, {}
+        for n in np.unique(self.length).tolist():
+            own, twice = (np.flatnonzero(self.length == k) for k in (n, 2 * n))
+            flat = np.frombuffer(b"".join([bits[i] for i in own]), np.uint64).reshape(len(own), -1)
+            if len(twice):
+                wide = np.frombuffer(b"".join([bits[i] for i in twice]), np.uint64).reshape(len(twice), 2, -1)
+                flat = np.concatenate([flat, wide[:, 0] | wide[:, 1]])
+            slot = np.zeros(len(bits), np.int64)
+            slot[own], slot[twice] = np.arange(len(own)), len(own) + np.arange(len(twice))
+            self.at[n] = slot, flat, np.bitwise_count(flat).sum(axis=1, dtype=np.int64)
+
+    def shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """So many shingles two texts have in common at most: a bit of one alone is a shingle that the other lacks."""
+        out, short = np.zeros(len(i), np.int64), np.minimum(self.length[i], self.length[j])
+        for n in np.unique(short).tolist():
+            some = np.flatnonzero(short == n)
+            slot, flat, ones = self.at[n]
+            a, b = slot[i[some]], slot[j[some]]
+            both = np.bitwise_count(flat[a] & flat[b]).sum(axis=1, dtype=np.int64)
+            out[some] = np.minimum(self.size[i[some]] - ones[a], self.size[j[some]] - ones[b]) + both
+        return out
+
+
+def _likeliest(node: np.ndarray, x: np.ndarray, y: np.ndarray, bound: np.ndarray, many: int) -> np.ndarray:
+    """Places of the pairs that are among the ``many`` likeliest of text ``x``."""
+    order = np.lexsort((node[y], -bound, node[x]))
+    first = np.flatnonzero(np.diff(node[x][order], prepend=-1))
+    rank = np.arange(len(order)) - np.repeat(first, np.diff([*first, len(order)]))
+    return order[rank < many]
+
+
+def _possible(many: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Pairs of a bucket, from two components, that their lengths and bitmaps allow to be similar, with the bound.
+
+        A pair is listed in the first bucket that its texts share. A text hands on its ``many`` likeliest pairs; a row of
+        nulls tells that there are more.
+        """
+        table = table.sort_by([("bucket", "ascending"), ("low", "ascending"), ("high", "ascending"), ("node", "ascending")])
+        node, label = (table.column(c).combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64) for c in ("node", "label"))
+        bucket, place, low, high, mine, size = (table.column(c).to_numpy() for c in ("bucket", "place", "low", "high", "mine", "size"))
+        n = len(node)
+        maps = _Bitmaps(table.column("bits").to_pylist(), size)
+        places, buckets = (table.column(c).combine_chunks() for c in ("places", "buckets"))
+        column = places.flatten().to_numpy()
+        sketch = np.zeros((n, column.max(initial=0) + 1), np.int64)  # 0 where a text meets no other
+        sketch[np.repeat(np.arange(n), places.value_lengths().to_numpy()), column] = buckets.flatten().to_numpy()
+        earlier = np.arange(sketch.shape[1])
+        x, y, bound = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        new, waiting, more = [], 0, False
+        d = 1
+        i = np.arange(n - 1)
+        while len(i := i[i + d < n]) or new:
+            j = i + d
+            same = (bucket[i] == bucket[j]) & (low[i] == low[j]) & (high[i] == high[j])
+            i, j = i[same], j[same]  # who has no neighbour at this distance has none farther away
+            ok = (label[i] != label[j]) & ((low[i] == high[i]) | (mine[i] != mine[j])) & (np.minimum(size[i], size[j]) >= SIMILAR * np.maximum(size[i], size[j]) - 1e-9)
+            for a in range(0, len(some := np.flatnonzero(ok)), 4096):
+                u, v = i[some[a : a + 4096]], j[some[a : a + 4096]]
+                shared, total = maps.shared(u, v), size[u] + size[v]
+                near = shared >= SIMILAR * total / (1 + SIMILAR) - 1e-9
+                u, v, most = u[near], v[near], (shared / total)[near]
+                before = ((sketch[u] == sketch[v]) & (sketch[u] != 0) & (earlier < place[u][:, None])).any(axis=1)
+                new.append((u[~before], v[~before], most[~before]))
+                waiting += len(u) - int(before.sum())
+            if waiting > HELD or not len(i):
+                x, y, bound = (np.concatenate([a, *b]) for a, b in zip((x, y, bound), zip(*new, strict=True) if new else ((), (), ()), strict=True))
+                some = _likeliest(node, x, y, bound, many)
+                more |= len(some) < len(x)
+                x, y, bound = x[some], y[some], bound[some]
+                new, waiting = [], 0
+            d += 1
+        names = table.column("node").combine_chunks()
+        null = [None] * more
+        return pa.table(
+            [pa.array(names.take(pa.array(y)).to_pylist() + null, pa.binary()), pa.array(names.take(pa.array(x)).to_pylist() + null, pa.binary()), pa.array(bound.tolist() + null, pa.float64())],
+            ["node", "centre", "bound"],
+        )
+
+    return run
 
 
 def _scored(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -230,65 +285,57 @@ def _links(scored: DataFrame) -> DataFrame:
 def labels(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     """(node, label) of every text (by its digest) with a verified link: the least node of its component.
 
-    First every bucket aligns its members with its least one. Then all other pairs of a bucket that lie in different
-    components and may be similar by length and histogram are listed, and aligned in rounds, the likeliest of each
-    component first and more of them in every round, until no pair of two components is left. So a pair with a sketch in
-    common is aligned, in one component, or proved to be below ``SIMILAR``.
+    First every text is aligned with the least of the least members of its buckets. Then all other pairs of a bucket that
+    lie in different components and may be similar by length and bitmap are listed and aligned in rounds, of each text the
+    likeliest and more of them in every round, until no pair is left out. So a pair with a sketch in common is aligned, in
+    one component, or proved to be below ``SIMILAR``.
     """
     narrow = docs.select(F.col("text").cast("string").alias("text"))
-    member = C.stored(
-        sketched.filter("node is not null").select("node", "sketches").dropDuplicates(["node"]).select("node", F.explode(F.array_distinct("sketches")).alias("bucket")), "buckets"
-    )
-    near = member.sparkSession.createDataFrame([], "node binary, label binary")
-    centres = member.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1").select("bucket", "centre")
-    pairs = C.stored(member.join(centres, "bucket").filter("node <> centre").select("node", "centre").distinct(), "pairs")
+    once = sketched.filter("node is not null").select("node", "sketches").dropDuplicates(["node"])
+    every = C.stored(once.select("node", F.posexplode(F.array_distinct("sketches")).alias("place", "bucket")), "buckets")
+    near = every.sparkSession.createDataFrame([], "node binary, label binary")
+    centres = every.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).filter("n > 1").select("bucket", "centre")
+    # Documents that are in no bucket with another never move; later rounds stay within these buckets and texts.
+    member = C.stored(every.join(centres, "bucket"), "shared")
+    least = C.stored(member.groupBy("node").agg(F.min("centre").alias("centre"), F.collect_list(F.struct("place", "bucket")).alias("own")), "pairs")
+    pairs = least.filter("node <> centre").select("node", "centre")
     if pairs.isEmpty():
         return near
-    # Documents that are in no bucket with another never move; later rounds stay within these texts.
-    wanted = pairs.select("node").union(pairs.select("centre")).distinct()
-    texts = C.stored(narrow.mapInArrow(_once, "node binary, text string").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
-    scored = _scored(pairs, texts)
-    found = _links(scored)
-    if not found.isEmpty():
-        near = components(found)
-    left = _untried(member, near, texts, scored)
-    many = FIRST
-    while left is not None and not left.isEmpty():
-        order = Window.partitionBy(F.greatest("label", "centre_label")).orderBy(F.desc("bound"), "node", "centre")
-        # row_number below a limit keeps that many rows of each component in every task before the exchange
-        some = C.stored(left.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= many).select("node", "centre"), "pairs")
-        scored = _scored(some, texts)
-        new = _links(scored)
+    texts = C.stored(narrow.mapInArrow(_once, "node binary, text string").join(least.select("node"), "node", "left_semi").dropDuplicates(["node"]), "texts")
+    marks = C.stored(texts.mapInArrow(_bitmap, "node binary, size long, bits binary").join(least.select("node", F.col("own.place").alias("places"), F.col("own.bucket").alias("buckets")), "node"), "marks")
+    found, many = None, FIRST
+    tried, left, more = pairs, pairs, True
+    while True:
+        new = _links(_scored(left, texts))
         if not new.isEmpty():
-            found = found.union(new)
+            found = new if found is None else found.union(new)
             near = components(found)
-        left = C.stored(_apart(left.select("node", "centre", "bound").join(some, ["node", "centre"], "left_anti"), near), "left")
-        many *= FIRST
-    return near
-
-
-def _untried(member: DataFrame, near: DataFrame, texts: DataFrame, scored: DataFrame) -> DataFrame | None:
-    """Pairs of a bucket in two components that may be similar and aren't in ``scored``."""
-    named = member.join(near, "node", "left").select("node", "bucket", F.coalesce("label", "node").alias("label"))
-    mixed = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most")).filter("n > 2 and least <> most")
+        listed = _untried(member, near, marks, many) if more else None
+        while listed is not None:
+            more = not listed.filter("node is null").isEmpty()
+            left = C.stored(listed.filter("node is not null").select("node", "centre").distinct().join(tried, ["node", "centre"], "left_anti"), "pairs")
+            many *= FIRST
+            if not left.isEmpty():
+                break
+            listed = _untried(member, near, marks, many) if more else None
+        if listed is None:
+            return near
+        tried = tried.union(left)
+
+
+def _untried(member: DataFrame, near: DataFrame, marks: DataFrame, many: int) -> DataFrame | None:
+    """The ``many`` likeliest pairs of each text in a task: of a bucket, in two components, perhaps similar."""
+    named = member.join(near, "node", "left").select("node", "bucket", "place", F.coalesce("label", "node").alias("label"))
+    mixed = named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
     held = C.stored(named.join(mixed.select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks")), "bucket"), "held")
     rows = held.agg(F.sum("blocks")).first()[0]
     if not rows:
         return None
-    bins = texts.join(held.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(_histogram, "node binary, size long, shift int, bins binary")
     # Members are dealt to blocks, and every block of a bucket meets every other; chunks are sets of such meetings.
     dealt = held.withColumn("mine", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("node", "label", "bucket", "mine", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
-    dealt = dealt.join(bins, "node").withColumn("chunk", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(rows // (4 * BLOCK) + 1)))
-    met = dealt.groupBy("chunk").applyInArrow(_possible, "node binary, centre binary, bound double")
-    return C.stored(_apart(met.distinct().join(scored.select("node", "centre"), ["node", "centre"], "left_anti"), near), "left")
-
-
-def _apart(pairs: DataFrame, near: DataFrame) -> DataFrame:
-    """Pairs of nodes that are not in one component, with the components' labels."""
-    known = pairs.join(near.select("node", "label"), "node", "left").join(near.select(F.col("node").alias("centre"), F.col("label").alias("centre_label")), "centre", "left")
-    known = known.withColumns({"label": F.coalesce("label", "node"), "centre_label": F.coalesce("centre_label", "centre")})
-    return known.filter("label <> centre_label")
+    dealt = dealt.select("node", "label", "bucket", "place", "mine", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
+    dealt = dealt.join(marks, "node").withColumn("chunk", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(rows // (4 * BLOCK) + 1)))
+    return C.stored(dealt.groupBy("chunk").applyInArrow(_possible(many), "node binary, centre binary, bound double"), "listed")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -300,7 +347,7 @@ def classes(docs: DataFrame) -> DataFrame:
     document and stay alike. Columns other than doc_id and text are not used. An empty table has no classes.
     """
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    sketched = C.stored(narrow.mapInArrow(C.over_slices(_sketch, "text"), "doc_id " + dict(narrow.dtypes)["doc_id"] + ", node binary, sketches array<bigint>"), "sketches")
+    sketched = C.stored(narrow.mapInArrow(C.over_slices(_sketch, "text", SHINGLED_BYTES), "doc_id " + dict(narrow.dtypes)["doc_id"] + ", node binary, sketches array<bigint>"), "sketches")
     label = labels(docs, sketched)
     least = sketched.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     named = least.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
