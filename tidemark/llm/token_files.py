@@ -7,6 +7,7 @@ packed blocks (``blocks``). Only Spark writes and reads the folder, so it may li
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 
@@ -21,8 +22,8 @@ from tidemark.llm import common as C
 
 END_ID = 2
 SEGMENT_IDS = 1 << 20
-#: Texts between white space whose ids a worker keeps; it starts anew when full.
-KEPT = 300_000
+#: Texts between white space whose ids a worker keeps: so many new ones, and those of the generation before.
+KEPT = 400_000
 
 SEGMENTS = "part int, seq int, n_ids long, doc_ids array<bigint>, lengths array<bigint>, image binary"
 
@@ -33,8 +34,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-#: Letters below U+0250 with some marks after them: one or two words to the tokenizer, whatever stands around them.
-PLAIN = re.compile(r"([^\W\d_]*)([.,;:!?%$&*#]*)")
+#: Letters below U+0250 with some marks after them: one or two words to the tokenizer, whatever stands around them. İ is
+#: none of them, since it becomes a letter and a mark. Lines that are no such piece give two empty groups.
+LETTERS = "".join(c for c in map(chr, range(0x250)) if re.fullmatch(r"[^\W\d_]", c) and c != "İ")
+PLAIN = re.compile(rf"^(?:([{LETTERS}]*)([.,;:!?%$&*#]*)|.*)$", re.MULTILINE)
+#: The same in lower case, whose letters may be any.
+LOWER = re.compile(r"(?:[^\W\d_]*[.,;:!?%$&*#]*\n)*")
 
 
 class Encoder:
@@ -59,6 +64,7 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)], bool)
         self.pieces: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -70,7 +76,7 @@ class Encoder:
             low = [w.lower() for w in some]
             ids = np.array(self.merges.encode_batch_fast([" ".join(low)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some) and ends[-1] == len(ids) and all(map(PLAIN.fullmatch, low)):
+            if len(ends) == len(some) and ends[-1] == len(ids) and LOWER.fullmatch("\n".join(low) + "\n"):
                 raw, a = ids.tobytes(), 0
                 for w, b in zip(some, (4 * ends).tolist(), strict=True):
                     self.words[w] = raw[a:b]
@@ -78,33 +84,28 @@ class Encoder:
             else:
                 self.words.update(zip(some, self._library(some), strict=True))
 
-    def _learn(self, new: set[bytes]) -> None:
-        if len(self.pieces) + len(new) > KEPT:
-            self.pieces.clear()
+    def _learn(self, new: list[bytes]) -> None:
         if len(self.words) > KEPT:
             self.words.clear()
-        plain, rest = [], []
-        for raw in new:
-            text = raw.decode()
-            m = PLAIN.fullmatch(text) if raw.isascii() or max(text) < "ɐ" and "İ" not in text else None  # İ becomes a letter and a mark
-            if m:
-                plain.append((raw, *m.groups()))
-            else:
-                rest.append((raw, text))
-        self._learn_words([w for w in dict.fromkeys(x for _, a, b in plain for x in (a, b) if x) if w not in self.words])
-        for raw, a, b in plain:
-            self.pieces[raw] = (self.words[a] if a else b"") + (self.words[b] if b else b"")
-        self.pieces.update(zip([raw for raw, _ in rest], self._library([t for _, t in rest]), strict=True))
+        found = PLAIN.findall(b"\n".join(new).decode())
+        self._learn_words([w for w in {x for pair in found for x in pair} if w and w not in self.words])
+        words = self.words
+        words[""] = b""
+        self.pieces.update((raw, words[a] + words[b]) for raw, (a, b) in zip(new, found, strict=True) if a or b)
+        rest = [raw for raw, (a, b) in zip(new, found, strict=True) if not (a or b)]
+        self.pieces.update(zip(rest, self._library([raw.decode() for raw in rest]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        got = [list(map(self.pieces.get, pieces)) for pieces in split]
-        new = {p for pieces, g in zip(split, got, strict=True) if None in g for p, x in zip(pieces, g, strict=True) if x is None}
-        if new:
+        here = dict.fromkeys(itertools.chain.from_iterable(split))
+        if len(self.pieces) > KEPT:
+            self.before, self.pieces = self.pieces, {}
+        new = [p for p in here if p not in self.pieces]
+        self.pieces.update((p, self.before[p]) for p in new if p in self.before)
+        if new := [p for p in new if p not in self.pieces]:
             self._learn(new)
-            get = self.pieces.get
-            got = [[x if x is not None else get(p) for p, x in zip(pieces, g, strict=True)] if None in g else g for pieces, g in zip(split, got, strict=True)]
-        return [b"".join(g) for g in got]
+        here = dict(zip(here, map(self.pieces.__getitem__, here), strict=True))  # few enough to be found fast
+        return [b"".join(map(here.__getitem__, pieces)) for pieces in split]
 
 
 _ENCODERS: dict[str, Encoder] = {}
