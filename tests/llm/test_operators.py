@@ -509,6 +509,35 @@ def test_repeats_odd_rows(spark, odd, monkeypatch):
     assert repeats.digests(empty(odd)).count() == 0
 
 
+def test_longest_factors_equal_plain():
+    pick = random.Random(12)
+    for _ in range(60):
+        gram, texts, left, group = bytes(pick.choices(b"ab\0", k=repeats.GRAM)), [], [], []
+        for g in range(3):
+            sides = [bytes(pick.choices(b"a\0", k=pick.choice((100, 100, 100, 40, 0)))) for _ in range(8)]
+            for _ in range(pick.randint(1, 12)):
+                a, b = (bytearray(pick.choice(sides[:3])) for _ in range(2))
+                for x in (a, b):
+                    if x and pick.random() < 0.7:
+                        x[pick.randrange(len(x))] ^= 1
+                texts.append(bytes(a) + gram + bytes(b))
+                left.append(len(a))
+                group.append(g)
+        anywhere, earlier = repeats.longest_factors(texts, np.array(left), np.array(group))
+        seen = defaultdict(list)
+        for i, t in enumerate(texts):
+            for k in range(left[i] + 1):
+                if len(s := t[left[i] - k : left[i] - k + repeats.LENGTH]) == repeats.LENGTH:
+                    seen[group[i], k, s].append(i)
+        want, late = np.zeros((2, *anywhere.shape), bool)
+        for (_, k, _), found in seen.items():
+            want[found, k] = len(found) > 1
+            late[found[1:], k] = True
+        assert (anywhere == want).all() and (earlier == late).all()
+        starts = [np.flatnonzero(x) for x in want]
+        assert repeats._span(anywhere).to_pylist() == [[{"begin": -int(x[-1]), "end": repeats.LENGTH - int(x[0])}] if len(x) else [] for x in starts]
+
+
 def test_repeats_keep_the_first(spark):
     rows = sorted(set(odd_repeats()), key=lambda r: r[0])
     seen, want = set(), {}

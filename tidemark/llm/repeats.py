@@ -2,9 +2,9 @@
 
 A string of ``LENGTH`` bytes that occurs twice has the same anchors in both places: the least hash of a ``GRAM``-byte
 string within it. Anchors whose gram occurs once in the corpus are dropped; the bytes around the others (all that a
-string holding the anchor can reach) are compared by hash, and where they differ within one gram their strings of
-``LENGTH`` bytes are put in order by two ranks of 128 bytes. Of each run of equal strings the least and the greatest
-place tell which have an earlier or a later copy. Longest-previous-factor arrays would tell more than is asked: that a
+string holding the anchor can reach) are compared by hash, and where they differ within one gram the bytes before and
+those from the anchor are put in suffix order. Strings of ``LENGTH`` bytes are equal if both of their parts are, which
+the bytes that neighbours in either order share tell for every offset to the anchor. Longest-previous-factor arrays would tell more than is asked: that a
 factor has at least ``LENGTH`` bytes is the equality of strings of that length, so they are not computed.
 Grams with more than ``CROWD`` different surroundings are decided by counting the hashes of their strings instead, which
 spreads them over all tasks.
@@ -138,22 +138,6 @@ def _cut(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["gram", "around", "node", "least", "pos", "left", "bytes", "crowd"])
 
 
-def _ranks(flat: np.ndarray) -> np.ndarray:
-    """Ranks of the 128-byte strings that begin at each byte, by prefix doubling from eight bytes."""
-    n = len(flat)
-    padded = np.zeros(n + 8, np.uint64)
-    padded[:n] = flat
-    key = np.zeros(n, np.uint64)
-    for k in range(8):
-        key = key << np.uint64(8) | padded[k : k + n]
-    rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
-    for step in (8, 16, 32, 64):
-        later = np.zeros(n, np.int64)
-        later[:-step] = rank[step:] + 1
-        rank = np.unique(rank << 32 | later, return_inverse=True)[1].astype(np.int64)
-    return rank
-
-
 def _starts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Number of starts of LENGTH-byte strings in each text; of every start its text, offset and place end to end."""
     size = np.array([len(t) for t in texts], np.int64)
@@ -163,62 +147,74 @@ def _starts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return n, which, offset, (np.cumsum(size) - size)[which] + offset
 
 
-def _twice(texts: list[bytes], group: np.ndarray) -> np.ndarray:
-    """Texts with a string whose hash occurs twice in the group: only these can share a string."""
-    _, which, _, at = _starts(texts)
-    h = C.stretch_hash(C.prefix_hash(np.frombuffer(b"".join(texts), np.uint8)), at, at + LENGTH)
-    _, same, n = np.unique(C.mixed(h + group[which].astype(np.uint64) * np.uint64(C.WORD_BASE)), return_inverse=True, return_counts=True)
-    return np.bincount(which, n[same] > 1, len(texts)) > 0
-
+def _suffix_order(rows: np.ndarray, size: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of byte strings (rows filled up with zeros) within their groups, and what each shares with the one before.
 
-def longest_factors(texts: list[bytes], group: np.ndarray, place: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For every start in every text: whether LENGTH bytes from it also start elsewhere in its group, and earlier.
-
-    ``place`` names the starts: equal places within a group are one and the same, and earlier ones are smaller.
+    Strings of different groups share -1 bytes.
+    """
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    keys = wide.view(">u8").astype(np.uint64)
+    order = np.lexsort((size, *keys.T[::-1], group))
+    differ = rows[order[1:]] != rows[order[:-1]]
+    same = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+    shared = np.full(len(rows), -1, np.int64)
+    shared[1:] = np.where(group[order[1:]] == group[order[:-1]], np.minimum(same, np.minimum(size[order[1:]], size[order[:-1]])), -1)
+    return order, shared
+
+
+def longest_factors(texts: list[bytes], left: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every text and number of bytes k before its anchor (at ``left``): whether the LENGTH bytes from there also stand
+    so around the anchor of another text of the group, and of an earlier one.
+
+    Equal strings have equal anchors at equal offsets, so only strings that begin as far before their anchors are
+    compared: two are equal if the k bytes before the anchors and the LENGTH - k bytes from them are. Both sides are put
+    in suffix order once, in which neighbours that share fewer bytes part the classes of each k.
     """
-    starts, which, offset, at = _starts(texts)
-    where = np.concatenate([p[:s] for p, s in zip(place, starts.tolist(), strict=True)]) if len(texts) else np.zeros(0, np.int64)
-    rank = _ranks(np.frombuffer(b"".join(texts), np.uint8))
-    head, tail = rank[at], rank[at + LENGTH - 128]
-    order = np.lexsort((where, tail, head, group[which]))
-    g, h, t, p = group[which][order], head[order], tail[order], where[order]
-    shares = np.zeros(len(order), bool)  # the LENGTH bytes of the neighbour before in suffix order
-    shares[1:] = (g[1:] == g[:-1]) & (h[1:] == h[:-1]) & (t[1:] == t[:-1])
-    run = np.cumsum(~shares) - 1
-    begin = np.flatnonzero(~shares)
-    low, high = (np.minimum.reduceat(p, begin), np.maximum.reduceat(p, begin)) if len(p) else (p, p)
-    previous, following = np.zeros(len(order), bool), np.zeros(len(order), bool)
-    if len(p):
-        previous[order] = p > low[run]
-        following[order] = p < high[run]
-    cut = np.cumsum(starts)[:-1]
-    return np.split(previous | following, cut), np.split(previous, cut)
-
-
-def _runs(hit: np.ndarray, shift: int) -> list[dict]:
-    """Bytes covered by LENGTH-byte strings at the marked starts, as spans moved by ``shift``."""
-    at = np.flatnonzero(hit)
-    if not len(at):
-        return []
-    new = np.flatnonzero(np.diff(at, prepend=at[0] - LENGTH - 1) > LENGTH)
-    last = np.append(at[new[1:] - 1], at[-1])
-    return [{"begin": int(a) + shift, "end": int(b) + LENGTH + shift} for a, b in zip(at[new], last, strict=True)]
+    n, size = len(texts), np.array([len(t) for t in texts], np.int64)
+    flat = np.frombuffer(b"".join(texts) + bytes(1), np.uint8)
+    anchor = np.cumsum(size) - size + left
+    back, ahead = np.minimum(left, REACH), np.minimum(size - left, LENGTH)
+    offset = np.arange(LENGTH)
+    before = np.where(offset[:REACH] < back[:, None], flat[np.maximum(anchor[:, None] - 1 - offset[:REACH], 0)], 0)
+    after = np.where(offset < ahead[:, None], flat[np.minimum(anchor[:, None] + offset, len(flat) - 1)], 0)
+    sides = [_suffix_order(before, back, group), _suffix_order(after, ahead, group)]
+    anywhere, earlier = np.zeros((n, REACH + 1), bool), np.zeros((n, REACH + 1), bool)
+    for k in range(REACH + 1):
+        some = np.flatnonzero((back >= k) & (ahead >= LENGTH - k))
+        if len(some) < 2:
+            continue
+        classes = []
+        for (order, shared), depth in zip(sides, (k, LENGTH - k), strict=True):
+            number = np.empty(n, np.int64)
+            number[order] = np.cumsum(shared < depth)
+            classes.append(number[some])
+        key = classes[0] * (n + 1) + classes[1]
+        at = np.argsort(key, kind="stable")  # a class keeps the order of the texts
+        equal = np.diff(key[at]) == 0
+        late, early = some[at[1:][equal]], some[at[:-1][equal]]
+        anywhere[late, k] = anywhere[early, k] = earlier[late, k] = True
+    return anywhere, earlier
+
+
+def _span(hit: np.ndarray) -> pa.Array:
+    """Bytes that the strings found in each row cover, by offset to the anchor: their starts are near enough for one span."""
+    some = hit.any(axis=1)
+    first, last = hit.shape[1] - 1 - hit[some, ::-1].argmax(axis=1), hit[some].argmax(axis=1)
+    spans = pa.StructArray.from_arrays([pa.array(-first, pa.int32()), pa.array(LENGTH - last, pa.int32())], fields=list(SPAN_ARROW.value_type))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some)]), pa.int32()), spans).cast(SPAN_ARROW)
 
 
 def _order(batches):
-    """Whole grams at a time, in suffix order."""
+    """Whole grams at a time, in suffix order; rows come by gram, least, node and pos."""
     held, held_bytes = [], 0
 
     def flush(rows):
         group = np.cumsum([i == 0 or rows[i][0] != rows[i - 1][0] for i in range(len(rows))])
-        some = np.flatnonzero(_twice([r[5] for r in rows], group)).tolist()
-        rows, group = [rows[i] for i in some], group[some]
-        texts = [r[5] for r in rows]
-        doc = np.cumsum([i == 0 or rows[i][0] != rows[i - 1][0] or rows[i][2] != rows[i - 1][2] for i in range(len(rows))]).astype(np.int64)
-        place = [(int(d) << 32) + r[3] - r[4] + np.arange(len(r[5])) for d, r in zip(doc, rows, strict=True)]
-        anywhere, earlier = longest_factors(texts, group, place) if rows else ([], [])
-        cols = [[r[0] for r in rows], [r[1] for r in rows], [_runs(x, -r[4]) for x, r in zip(anywhere, rows, strict=True)], [_runs(x, -r[4]) for x, r in zip(earlier, rows, strict=True)]]
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], SPAN_ARROW), pa.array(cols[3], SPAN_ARROW)], ["gram", "around", "anywhere", "earlier"])
+        anywhere, earlier = longest_factors([r[5] for r in rows], np.array([r[4] for r in rows], np.int64), group)
+        some = np.flatnonzero(anywhere.any(axis=1))
+        ids = [pa.array([rows[i][c] for i in some.tolist()], pa.int64()) for c in (0, 1)]
+        return pa.RecordBatch.from_arrays([*ids, _span(anywhere[some]), _span(earlier[some])], ["gram", "around", "anywhere", "earlier"])
 
     for batch in batches:
         for r in zip(*(batch.column(c).to_pylist() for c in ("gram", "around", "node", "pos", "left", "bytes")), strict=True):
