@@ -14,7 +14,7 @@ sys.path.insert(0, __file__.rsplit("/", 1)[0])
 
 import brute  # noqa: E402
 
-from tidemark.llm import blocks, context_tree, crf, decontamination, language_id, order_minhash, product_quantisation, queries, repeats, sentence_pieces, sharding, token_files, toxicity  # noqa: E402
+from tidemark.llm import blocks, context_tree, crf, decontamination, graph, language_id, order_minhash, product_quantisation, queries, repeats, sentence_pieces, sharding, token_files, toxicity  # noqa: E402
 from tidemark.llm import common as C  # noqa: E402
 
 
@@ -690,6 +690,33 @@ def test_near_copies_of_a_template_list_few_pairs(spark, monkeypatch):
     assert sum(tried) <= 2 * len(texts)  # of 2,080
 
 
+def test_joined_components_walk_new_edges_only(spark, monkeypatch):
+    walked, components = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda edges: (walked.append(edges.filter("a <> b").distinct().count()), components(edges))[1])
+    frame = lambda edges: spark.createDataFrame(edges, "a long, b long")
+    near = graph.joined(spark.createDataFrame([], "node long, label long"), frame([(i, i + 1) for i in range(10, 40)] + [(i, i + 1) for i in range(50, 70)]))
+    assert dict(near.collect()) == {i: 10 for i in range(10, 41)} | {i: 50 for i in range(50, 71)}
+    near = graph.joined(near, frame([(10 + i, 70 - i) for i in range(20)] + [(60, 3), (80, 81), (12, 30)]))
+    assert dict(near.collect()) == {i: 3 for i in [3, *range(10, 41), *range(50, 71)]} | {80: 80, 81: 80}
+    assert walked == [50, 3]
+
+
+def test_keep_first_joins_documents_of_listed_hashes_only(spark, monkeypatch):
+    """Whole texts that stay are in no shuffle, however large the table of copies is to Spark; the plain join gives the same."""
+    rows = [(i, words(30, i % 70 if i < 100 else i)) for i in range(200)] + [(None, words(30, 5)), (None, None), (300, None), (3, words(30, 5)), (3, words(30, 5))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = order_minhash.keep_first(frame)
+        assert sorted(map(tuple, kept.collect()), key=repr) == sorted([r for r in rows if r[0] is None and r[1] is None or r[0] == 300 or r[0] is not None and r[0] < 200 and not 70 <= r[0] < 100 and not (r[0] == 5)], key=repr)
+        assert "LeftAnti, BuildRight" in kept._jdf.queryExecution().toString()
+        monkeypatch.setattr(order_minhash, "SENT", -1)
+        assert sorted(map(tuple, order_minhash.keep_first(frame).collect()), key=repr) == sorted(map(tuple, kept.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
 def test_near_copies_odd_rows(odd):
     got = [(r.doc_id, r.class_id, r.kept) for r in order_minhash.classes(odd).collect()]
     assert len(got) == odd.count()

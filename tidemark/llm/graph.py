@@ -25,3 +25,17 @@ def components(edges: DataFrame) -> DataFrame:
         if new.filter("label <> old").isEmpty():
             return new.select("node", "label")
         labels = new.select("node", "label")
+
+
+def joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The components of a graph of which ``labels`` tells those of its other edges.
+
+    A component that is known takes part as one node, its label, so that edges are walked once and not again with all
+    that follow.
+    """
+    named = edges.select("a", "b")
+    for end in ("a", "b"):
+        named = named.join(labels.select(F.col("node").alias(end), F.col("label").alias("label")), end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    moved = components(named)
+    known = labels.join(moved.select(F.col("node").alias("label"), F.col("label").alias("far")), "label", "left").select("node", F.coalesce("far", "label").alias("label"))
+    return C.stored(known.union(moved.join(labels.select("node"), "node", "left_anti").select("node", "label")), "labels")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
 from tidemark.llm.decontamination import Words
-from tidemark.llm.graph import components
+from tidemark.llm.graph import joined
 
 SHINGLE = 5
 #: Sketches of a document and shingles of a sketch. Two documents at 0.8 share a sketch with probability near 0.8**3,
@@ -32,6 +32,8 @@ BITS = 8
 BLOCK = 1024
 FIRST = 4
 HELD = 1 << 18
+#: Hashes of copies that are sent to all tasks (32 MB), at most.
+SENT = 4 << 20
 #: Text bytes whose shingles are made at a time: some hundred bytes of numbers go with each.
 SHINGLED_BYTES = 1 << 18
 
@@ -303,13 +305,12 @@ def labels(docs: DataFrame, sketched: DataFrame) -> DataFrame:
         return near
     texts = C.stored(narrow.mapInArrow(_once, "node binary, text string").join(least.select("node"), "node", "left_semi").dropDuplicates(["node"]), "texts")
     marks = C.stored(texts.mapInArrow(_bitmap, "node binary, size long, bits binary").join(least.select("node", F.col("own.place").alias("places"), F.col("own.bucket").alias("buckets")), "node"), "marks")
-    found, many = None, FIRST
+    many = FIRST
     tried, left, more = pairs, pairs, True
     while True:
         new = _links(_scored(left, texts))
         if not new.isEmpty():
-            found = new if found is None else found.union(new)
-            near = components(found)
+            near = joined(near, new)
         listed = _untried(member, near, marks, many) if more else None
         while listed is not None:
             more = not listed.filter("node is null").isEmpty()
@@ -359,10 +360,19 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents without those that a document with a lesser doc_id is a near copy of."""
-    gone = C.stored(classes(docs).filter("not kept").select(F.col("doc_id").alias("_gone"), F.hex("node").alias("_node")).distinct(), "gone")
-    match = F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.upper(F.md5(F.col("text").cast("string").cast("binary"))) == F.col("_node"))
-    return docs.join(gone, match, "left_anti")
+    """The documents without those that a document with a lesser doc_id is a near copy of.
+
+    Hashes of those that go are sent to all tasks if they are few enough, and then only documents with such a hash, and
+    not all texts, meet them in a join.
+    """
+    node = F.unhex(F.md5(F.col("text").cast("string").cast("binary")))
+    gone = C.stored(classes(docs).filter("not kept").select(F.col("doc_id").alias("_gone"), F.col("node").alias("_node"), F.xxhash64("doc_id", "node").alias("_hash")).distinct(), "gone")
+    match = F.col("doc_id").eqNullSafe(F.col("_gone")) & (node == F.col("_node"))
+    if gone.count() > SENT:
+        return docs.join(gone, match, "left_anti")
+    sent = F.broadcast(gone.select("_hash").distinct())
+    listed = F.xxhash64("doc_id", node) == F.col("_hash")
+    return docs.join(sent, listed, "left_anti").union(docs.join(sent, listed, "left_semi").join(gone, match, "left_anti"))
 
 
 def digests(docs: DataFrame) -> DataFrame:
