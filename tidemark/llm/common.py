@@ -82,13 +82,21 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         yield batch.slice(a, b - a)
 
 
-def over_slices(fn: Callable[[pa.RecordBatch], pa.RecordBatch], column: str, limit: int = SLICE_BYTES):
-    """A mapInArrow function that applies ``fn`` to slices of every batch."""
+def over_slices(fn: Callable[[pa.RecordBatch], pa.RecordBatch], column: str, limit: int = SLICE_BYTES, done: Callable[[], None] | None = None):
+    """A mapInArrow function that applies ``fn`` to slices of every batch; at its end it calls ``done``.
+
+    A worker outlives its task and waits for others beside the executor, so it gives back what its batches took.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, column, limit):
-                yield fn(part)
+        try:
+            for batch in batches:
+                for part in slices(batch, column, limit):
+                    yield fn(part)
+        finally:
+            if done:
+                done()
+            pa.default_memory_pool().release_unused()
 
     return run
 

@@ -19,6 +19,8 @@ WINDOW = 10
 #: Bytes of item words that are broadcast at a time, and the words of one piece of an item.
 BLOCK_BYTES = 4 << 20
 PIECE_WORDS = 50_000
+#: Text bytes looked up at a time: some ten numbers go with each word.
+SCANNED_BYTES = 1 << 18
 
 SPANS = T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 RESULTS = T.StructType([
@@ -205,7 +207,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, cleaned: bool = True, b
     for k, block in enumerate(item_blocks(benchmark, block_bytes)):
         if k:
             found = C.stored(found, "decontaminated")
-        found = C.mapped(found, C.over_slices(_scan(block, others, cleaned), "text"), schema)
+        found = C.mapped(found, C.over_slices(_scan(block, others, cleaned), "text", SCANNED_BYTES), schema)
     return found
 
 

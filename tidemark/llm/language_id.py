@@ -24,6 +24,8 @@ SAMPLE = 150
 LANGUAGES = 64
 WORDS = 240
 STRETCH = 12
+#: Text bytes labelled at a time: some hundred bytes of numbers go with each.
+LABELLED_BYTES = 1 << 18
 EPOCHS = 30
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -117,7 +119,7 @@ def label(docs: DataFrame, model: Model, spans: bool = True) -> DataFrame:
     others = [c for c in C.without(docs, RESULTS.names) if c != "text"]
     narrow = docs.select(*map(C.quoted, others), F.col("text").cast("string").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return C.mapped(narrow, C.over_slices(_label(sent, others, spans), "text"), T.StructType([*narrow.schema.fields, *RESULTS.fields]))
+    return C.mapped(narrow, C.over_slices(_label(sent, others, spans), "text", LABELLED_BYTES), T.StructType([*narrow.schema.fields, *RESULTS.fields]))
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:

@@ -21,6 +21,8 @@ from tidemark.llm import common as C
 BLANK = "▁"
 #: Parts of texts whose pieces a worker keeps; it starts anew when full.
 KEPT = 250_000
+#: Text bytes encoded at a time.
+ENCODED_BYTES = 1 << 18
 RESULTS = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("begins", T.ArrayType(T.IntegerType())),
     T.StructField("ends", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType()),
@@ -268,7 +270,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """
     others = [c for c in C.without(docs, RESULTS.names) if c != "text"]
     narrow = docs.select(*map(C.quoted, others), F.col("text").cast("string").alias("text"))
-    return C.mapped(narrow, C.over_slices(_encode(model, others), "text"), T.StructType([*narrow.schema.fields, *RESULTS.fields]))
+    return C.mapped(narrow, C.over_slices(_encode(model, others), "text", ENCODED_BYTES, lambda: codec(model).parts.clear()), T.StructType([*narrow.schema.fields, *RESULTS.fields]))
 
 
 def digests(encoded: DataFrame) -> DataFrame:
