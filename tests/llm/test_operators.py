@@ -725,3 +725,22 @@ def test_near_copies_odd_rows(odd):
     assert sorted(map(repr, (r for r in got if r[0] is None))) == ["(None, 5, False)", "(None, None, True)"]
     assert {r.doc_id for r in order_minhash.keep_first(odd).collect()} == {None, 1, 2, 3, 4, 5, 8, 9, 11}
     assert order_minhash.classes(empty(odd)).count() == 0
+
+
+def test_token_files_numbers_beside_letters():
+    tokens = token_files.Encoder(token_files.tokenizer_path())
+    texts = ["5 m² x", "a¹², b ¾cup", "½a µm ªº"]
+    for text, ids in zip(texts, tokens.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokens.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_blocks_pack_as_their_layout_says():
+    pick = np.random.default_rng(5)
+    for width in (1, 7, 14, 16, 31, 32):
+        values = pick.integers(0, 1 << width, 300, dtype=np.uint64).astype(np.uint32)
+        image = blocks.encode(values)
+        assert (blocks.decode(image) == values).all() and (blocks.decode(image, 1, 2) == values[128:256]).all()
+        least, bits = int(values[:128].min()), image[24 + 12 * 3]
+        packed = np.frombuffer(image, np.uint8, 16 * bits, 24 + 14 * 3)
+        first = np.unpackbits(packed, bitorder="little").reshape(128, bits) @ (1 << np.arange(bits))
+        assert (first == (values[:128] - least) & ((1 << bits) - 1)).all()

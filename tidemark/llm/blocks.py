@@ -17,6 +17,32 @@ BLOCK = 128
 PERCENTILE = 0.9
 
 
+def _packed(v: np.ndarray, width: int) -> np.ndarray:
+    """Rows of values below 2**width as bytes, lowest bits first; 64 values fill ``width`` words."""
+    v = v.astype("<u8").reshape(len(v), -1, 64)
+    words = np.zeros((*v.shape[:2], width), "<u8")
+    for i in range(64):
+        at, shift = divmod(i * width, 64)
+        words[:, :, at] |= v[:, :, i] << np.uint64(shift)
+        if shift + width > 64:
+            words[:, :, at + 1] |= v[:, :, i] >> np.uint64(64 - shift)
+    return words.reshape(len(v), -1).view(np.uint8)
+
+
+def _unpacked(packed: np.ndarray, width: int) -> np.ndarray:
+    """The values of such rows."""
+    words = np.ascontiguousarray(packed).view("<u8").reshape(len(packed), -1, width)
+    v = np.empty((*words.shape[:2], 64), np.uint32)
+    mask = np.uint64((1 << width) - 1)
+    for i in range(64):
+        at, shift = divmod(i * width, 64)
+        x = words[:, :, at] >> np.uint64(shift)
+        if shift + width > 64:
+            x |= words[:, :, at + 1] << np.uint64(64 - shift)
+        v[:, :, i] = x & mask
+    return v.reshape(len(packed), -1)
+
+
 def encode(values: np.ndarray) -> bytes:
     n = len(values)
     nb = -(-n // BLOCK)
@@ -40,8 +66,7 @@ def encode(values: np.ndarray) -> bytes:
     payload = np.zeros(int(size.sum()), np.uint8)
     for w in np.unique(width[width > 0]).tolist():
         mine = np.flatnonzero(width == w)
-        bits = np.unpackbits(np.ascontiguousarray(v[mine]).astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :w]
-        payload[start[mine][:, None] + np.arange(16 * w)] = np.packbits(bits.reshape(len(mine), -1), axis=1, bitorder="little")
+        payload[start[mine][:, None] + np.arange(16 * w)] = _packed(v[mine] & np.uint32((1 << w) - 1), w)
     if len(blk):
         first = np.zeros(nb, np.int64)
         np.cumsum(count[:-1], out=first[1:])
@@ -69,10 +94,7 @@ def decode(image: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     v = np.zeros((len(start), BLOCK), np.uint32)
     for w in np.unique(width[width > 0]).tolist():
         mine = np.flatnonzero(width == w)
-        packed = payload[start[mine][:, None] + np.arange(16 * w)]
-        bits = np.zeros((len(mine) * BLOCK, 32), np.uint8)
-        bits[:, :w] = np.unpackbits(packed, axis=1, bitorder="little").reshape(-1, w)
-        v[mine] = np.packbits(bits, axis=1, bitorder="little").view("<u4").reshape(-1, BLOCK)
+        v[mine] = _unpacked(payload[start[mine][:, None] + np.arange(16 * w)], w)
     if count.sum():
         blk = np.repeat(np.arange(len(start)), count)
         rank = np.arange(len(blk)) - np.repeat(np.cumsum(count) - count, count)

@@ -8,6 +8,7 @@ packed blocks (``blocks``). Only Spark writes and reads the folder, so it may li
 from __future__ import annotations
 
 import itertools
+import operator
 import os
 import re
 
@@ -35,8 +36,9 @@ def tokenizer_path() -> str:
 
 
 #: Letters below U+0250 with some marks after them: one or two words to the tokenizer, whatever stands around them. İ is
-#: none of them, since it becomes a letter and a mark. Lines that are no such piece give two empty groups.
-LETTERS = "".join(c for c in map(chr, range(0x250)) if re.fullmatch(r"[^\W\d_]", c) and c != "İ")
+#: none of them, since it becomes a letter and a mark, nor are ² or ¾, which are numbers. Lines that are no such piece give
+#: two empty groups.
+LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c != "İ")
 PLAIN = re.compile(rf"^(?:([{LETTERS}]*)([.,;:!?%$&*#]*)|.*)$", re.MULTILINE)
 #: The same in lower case, whose letters may be any.
 LOWER = re.compile(r"(?:[^\W\d_]*[.,;:!?%$&*#]*\n)*")
@@ -73,10 +75,10 @@ class Encoder:
     def _learn_words(self, words: list[str]) -> None:
         for k in range(0, len(words), 500):
             some = words[k : k + 500]
-            low = [w.lower() for w in some]
-            ids = np.array(self.merges.encode_batch_fast([" ".join(low)], add_special_tokens=False)[0].ids, "<u4")
+            low = " ".join(some).lower()
+            ids = np.array(self.merges.encode_batch_fast([low], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some) and ends[-1] == len(ids) and LOWER.fullmatch("\n".join(low) + "\n"):
+            if len(ends) == len(some) and ends[-1] == len(ids) and LOWER.fullmatch(low.replace(" ", "\n") + "\n"):
                 raw, a = ids.tobytes(), 0
                 for w, b in zip(some, (4 * ends).tolist(), strict=True):
                     self.words[w] = raw[a:b]
@@ -97,15 +99,19 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        here = dict.fromkeys(itertools.chain.from_iterable(split))
+        pieces = list(itertools.chain.from_iterable(split))
         if len(self.pieces) > KEPT:
             self.before, self.pieces = self.pieces, {}
-        new = [p for p in here if p not in self.pieces]
-        self.pieces.update((p, self.before[p]) for p in new if p in self.before)
-        if new := [p for p in new if p not in self.pieces]:
-            self._learn(new)
-        here = dict(zip(here, map(self.pieces.__getitem__, here), strict=True))  # few enough to be found fast
-        return [b"".join(map(here.__getitem__, pieces)) for pieces in split]
+        ids = list(map(self.pieces.get, pieces))
+        if new := dict.fromkeys(itertools.compress(pieces, map(operator.is_, ids, itertools.repeat(None)))):
+            known = self.before
+            self.pieces.update((p, known[p]) for p in new if p in known)
+            if unknown := [p for p in new if p not in self.pieces]:
+                self._learn(unknown)
+            found = self.pieces
+            ids = [found[p] if x is None else x for p, x in zip(pieces, ids, strict=True)]
+        ends = list(itertools.accumulate(map(len, split)))
+        return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
